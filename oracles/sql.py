@@ -316,7 +316,7 @@ ORACLES = {
         """SELECT feed, key, count(*) AS messages FROM (
         SELECT 'reports' AS feed, report_id AS key FROM reports_raw UNION ALL SELECT 'weather', district FROM weather_raw
         UNION ALL SELECT 'traffic', road_name FROM traffic_raw UNION ALL SELECT 'news', event_id FROM news_raw
-        UNION ALL SELECT 'accidents', road_name FROM accidents_raw) GROUP BY ALL""",
+        UNION ALL SELECT 'accidents', accident_id FROM accidents_raw) GROUP BY ALL""",
         "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw"),
     "partition_columns": (
         f"SELECT event_id, {_DATE_PARTS}, {_ISO} AS date_partition, lower(replace(district, ' ', '_')) AS district_partition FROM reports_raw",
@@ -474,7 +474,7 @@ ORACLES = {
     "stream_bronze": (
         f"""SELECT event_id, date_trunc('second', event_time) AS event_time, rainfall_mm, condition, 'kafka_weather' AS source, {_ISO} AS date_partition,
         lower(replace(district, ' ', '_')) AS district_partition FROM weather_raw""", "weather_raw"),
-    "stream_dead_letter": ("SELECT event_id, severity_score IS NULL AS dead FROM reports_raw", "reports_raw"),
+    "stream_dead_letter": ("SELECT event_id, condition IS NULL AS dead FROM weather_raw", "weather_raw"),
     "stream_dedup": ("SELECT DISTINCT event_id, road_name, vehicle_count FROM traffic_raw", "traffic_raw"),
     "stream_simple_priority": ("SELECT * FROM simple", "simple"),
     "stream_damage_records": ("SELECT report_id, road_name, district, damage_type, severity_score, confidence, status, event_time FROM reports_raw", "reports_raw"),

@@ -4,27 +4,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake import rules
+from roadlake.session import local_table
+
+
+def inside(lat: str, lon: str, box=rules.CITY_BOX) -> Column:
+    """Inside the box; NULL where a coordinate is. A filter on it reaches the scan."""
+    return F.col(lat).between(box["min_lat"], box["max_lat"]) & F.col(lon).between(box["min_lon"], box["max_lon"])
 
 
 def in_box(lat: str, lon: str, box=rules.CITY_BOX) -> Column:
     """True inside the box, False outside it or where a coordinate is NULL."""
-    inside = F.col(lat).between(box["min_lat"], box["max_lat"]) & F.col(lon).between(box["min_lon"], box["max_lon"])
-    return F.coalesce(inside, F.lit(False))
+    return F.coalesce(inside(lat, lon, box), F.lit(False))
 
 
 def on_map(lat: str = "latitude", lon: str = "longitude") -> Column:
-    """Both coordinates are known and neither is zero."""
-    return F.coalesce((F.col(lat) != 0) & (F.col(lon) != 0), F.lit(False))
+    """Filter for rows whose coordinates are both known and not zero."""
+    return (F.col(lat) != 0) & (F.col(lon) != 0)
 
 
 def districts_table(spark: SparkSession, centroids=rules.DISTRICT_CENTROIDS) -> DataFrame:
-    rows = [(name, lat, lon) for name, (lat, lon) in centroids.items()]
-    return spark.createDataFrame(rows, "district string, latitude double, longitude double")
+    return local_table(
+        spark,
+        district=list(centroids),
+        latitude=[lat for lat, _ in centroids.values()],
+        longitude=[lon for _, lon in centroids.values()],
+    )
 
 
 def bounds_table(spark: SparkSession, box=rules.CITY_BOX, center=rules.CITY_CENTER) -> DataFrame:
     row = {**box, "center_lat": center[0], "center_lon": center[1]}
-    return spark.createDataFrame([row], ", ".join(f"{k} double" for k in row))
+    return local_table(spark, **{k: [v] for k, v in row.items()})
 
 
 def with_centroid(df: DataFrame, district: str = "district", centroids=rules.DISTRICT_CENTROIDS,

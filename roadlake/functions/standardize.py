@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake import rules
+from roadlake.session import local_table
 
 _BLANKS = r"' \t\n\r\u000b\u000c'"
 
@@ -123,4 +124,5 @@ def rules_table(spark: SparkSession) -> DataFrame:
         "congestion_levels": rules.CONGESTION_LEVELS,
     }
     rows = [(domain, k, v) for domain, entries in domains.items() for k, v in entries.items()]
-    return spark.createDataFrame(rows, "domain string, key string, value string")
+    domain, key, value = map(list, zip(*rows))
+    return local_table(spark, domain=domain, key=key, value=value)

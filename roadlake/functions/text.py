@@ -68,15 +68,12 @@ def around(text: Column, name: Column, width: int = rules.LOCAL_WINDOW) -> Colum
 def district(low: Column, names=rules.NEWS_DISTRICTS) -> Column:
     """The longest district name that stands in the text as whole words, else NULL."""
     ranked = sorted(names, key=len, reverse=True)
-    choice = "|".join(_quoted(n.lower()) for n in ranked)
-    # the look-ahead takes no characters, so overlapping names are all found
-    found = F.regexp_extract_all(low, F.lit(rf"(?U)\b(?=({choice})\b)"), F.lit(1))
-    return _let(
-        found,
-        lambda f: F.get(
-            F.filter(F.array(*[F.lit(n) for n in ranked]), lambda n: F.array_contains(f, F.lower(n))), F.lit(0)
-        ),
-    )
+    # the plain search rules out most names before a pattern is tried
+    hits = [
+        F.when(F.contains(low, F.lit(n.lower())) & F.rlike(low, F.lit(rf"(?U)\b{_quoted(n.lower())}\b")), n)
+        for n in ranked
+    ]
+    return F.coalesce(*hits)
 
 
 def damage(low: Column, banks=rules.DAMAGE_KEYWORDS) -> Column:
@@ -146,8 +143,12 @@ def _occurrences(low: Column, keyword: str, negations, width: int) -> Column:
     # one left-to-right scan for the word; the group is empty where the look-behind does not hold
     found = F.regexp_extract_all(low, F.lit(rf"(?s){word}(?:(?<=({before}){word})|)"), F.lit(1))
     marks = F.when(F.contains(low, F.lit(keyword)), found).otherwise(F.array().cast("array<string>"))
-    negated = F.size(F.filter(marks, lambda m: m != ""))
-    return F.struct((F.size(marks) - negated).alias("plain"), negated.alias("negated"))
+
+    def count(m: Column) -> Column:
+        negated = F.size(F.filter(m, lambda x: x != ""))
+        return F.struct((F.size(m) - negated).alias("plain"), negated.alias("negated"))
+
+    return _let(marks, count)
 
 
 def sentiment(low: Column, positive=rules.POSITIVE_KEYWORDS, negative=rules.NEGATIVE_KEYWORDS,

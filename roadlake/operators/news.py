@@ -16,8 +16,10 @@ def article_id(url: str = "url") -> Column:
 
 
 def published_at(raw: str) -> Column:
-    """Timestamp of an RFC 2822 date; NULL for any other text."""
-    return F.try_to_timestamp(F.regexp_replace(raw, r"^\s*[A-Za-z]{3},\s*", ""), F.lit("d MMM yyyy HH:mm:ss z"))
+    """Timestamp of an RFC 2822 date with a zone name or an offset; NULL for any other text."""
+    day = F.regexp_replace(F.trim(raw), r"^[A-Za-z]{3},\s*", "")
+    formats = ("d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm z", "d MMM yyyy HH:mm Z")
+    return F.coalesce(*[F.try_to_timestamp(day, F.lit(f)) for f in formats])
 
 
 def top_entries(feed: DataFrame, query: str, position: str, n: int = rules.ARTICLES_PER_QUERY) -> DataFrame:

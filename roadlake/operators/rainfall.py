@@ -9,10 +9,10 @@ from roadlake.operators.clean import first_per_key
 
 def unpack_daily(payloads: DataFrame, day: str = "time",
                  measures=("precipitation_sum", "rain_sum", "precipitation_hours")) -> DataFrame:
-    """One row per day from parallel arrays; a measure array that is too short gives NULL."""
-    rows = F.arrays_zip(day, *measures)
+    """One row per day from parallel arrays; a measure array that is too short or absent gives NULL."""
+    present = payloads.withColumns({m: F.coalesce(m, F.array().cast("array<double>")) for m in measures})
     return (
-        payloads.select(F.inline(rows))
+        present.select(F.inline(F.arrays_zip(day, *measures)))
         .filter(F.col(day).isNotNull())
         .select(F.col(day).cast("date").alias("date"), *measures)
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake import rules
-from roadlake.session import materialize
+from roadlake.session import local_table, materialize
 
 
 def _count(condition: Column) -> Column:
@@ -69,11 +69,11 @@ def top_districts(reports: DataFrame, n: int = 5) -> DataFrame:
 
 def status_counts(reports: DataFrame, statuses=rules.STATUSES) -> DataFrame:
     """One row per known status in fixed order, zero where no report has it."""
-    wanted = reports.sparkSession.createDataFrame(list(enumerate(statuses)), "position int, status string")
+    wanted = local_table(reports.sparkSession, position=list(range(len(statuses))), status=list(statuses))
     counts = reports.groupBy("status").agg(F.count("*").alias("report_count"))
     return (
         wanted.join(counts, "status", "left")
-        .select("position", "status", F.coalesce("report_count", F.lit(0)).alias("report_count"))
+        .select(F.col("position").cast("int"), "status", F.coalesce("report_count", F.lit(0)).alias("report_count"))
         .orderBy("position")
     )
 
@@ -98,7 +98,7 @@ def latest_health(history: DataFrame, batch: str = "batch_time") -> DataFrame:
             (F.col("road_name") == F.col("_road")) & (F.col(batch) == F.col("_newest")),
         )
         .drop("_road", "_newest")
-        .orderBy(F.desc_nulls_last("road_health_index"))
+        .orderBy(F.desc_nulls_last("road_health_index"), "road_name", "district")
     )
 
 

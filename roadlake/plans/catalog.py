@@ -617,40 +617,39 @@ def _messages(spark, folder, feed):
     return events.to_envelope(stream_view(spark, folder, f"{feed}_raw"), events.KEYS[feed])
 
 
+def _live(spark, folder, feed):
+    return jobs.valid_rows(jobs.parse(_messages(spark, folder, feed), feed, as_of()))
+
+
 @query
 def stream_bronze(spark, folder):
     root = scratch_path(spark, "stream-bronze")
-    jobs.finish(jobs.start_bronze(_messages(spark, folder, "weather"), "weather", root, as_of()))
-    rows = spark.read.parquet(f"{root}/raw/weather")
+    jobs.finish([jobs.start_bronze(_messages(spark, folder, "weather"), "weather", root, as_of())])
+    rows = jobs.valid_rows(spark.read.parquet(f"{root}/raw/weather"))
     return plain(rows.select(
-        "event_id", "event_time", "rainfall_mm", "condition", "source", F.col("date_partition").cast("string").alias("date_partition"),
-        "district_partition",
+        "event_id", "event_time", "rainfall_mm", "condition", "source",
+        F.col("date_partition").cast("string").alias("date_partition"), "district_partition",
     ))
 
 
 @query
 def stream_dead_letter(spark, folder):
-    """Messages cut short, here those of unrated reports, go to the dead letters."""
+    """Messages cut short, here those of days without a condition, become dead letters."""
     root = scratch_path(spark, "stream-dead")
-    whole = F.get_json_object("value", "$.severity_score").isNotNull()
-    messages = _messages(spark, folder, "reports")
-    messages = messages.withColumn("value", F.when(whole, F.col("value")).otherwise(F.expr("left(value, length(value) - 4)")))
-    good, dead = jobs.parse(messages, "reports", as_of())
-    jobs.finish([
-        jobs.start_append(good.select("event_id"), f"{root}/good", f"{root}/checkpoints/good"),
-        jobs.start_append(dead, f"{root}/dead", f"{root}/checkpoints/dead"),
-    ])
-    dead_ids = F.regexp_extract("value", '"event_id":"([^"]+)"', 1).alias("event_id")
-    return (
-        spark.read.parquet(f"{root}/dead").select(dead_ids, F.lit(True).alias("dead"))
-        .unionByName(spark.read.parquet(f"{root}/good").select("event_id", F.lit(False).alias("dead")))
-    )
+    whole = F.get_json_object("value", "$.condition").isNotNull()
+    cut = F.expr("left(value, length(value) - 4)")
+    messages = _messages(spark, folder, "weather").withColumn("value", F.when(whole, F.col("value")).otherwise(cut))
+    jobs.finish([jobs.start_bronze(messages, "weather", root, as_of())])
+    table = spark.read.parquet(f"{root}/raw/weather")
+    dead_id = F.regexp_extract("value", '"event_id":"([^"]+)"', 1)
+    dead = jobs.dead_letters(table).select(dead_id.alias("event_id"), F.lit(True).alias("dead"))
+    return dead.unionByName(jobs.valid_rows(table).select("event_id", F.lit(False).alias("dead")))
 
 
 @query
 def stream_dedup(spark, folder):
     root = scratch_path(spark, "stream-dedup")
-    rows, _ = jobs.parse(_messages(spark, folder, "traffic"), "traffic", as_of())
+    rows = _live(spark, folder, "traffic")
     copies = rows.unionByName(rows)
     jobs.finish([jobs.start_append(jobs.dedup(copies, ["event_id"]), f"{root}/traffic", f"{root}/checkpoint")])
     return spark.read.parquet(f"{root}/traffic").select("event_id", "road_name", "vehicle_count")
@@ -658,7 +657,7 @@ def stream_dedup(spark, folder):
 
 def _scored(spark, folder, score, name):
     root = scratch_path(spark, name)
-    rows, _ = jobs.parse(_messages(spark, folder, "reports"), "reports", as_of())
+    rows = _live(spark, folder, "reports")
     jobs.finish([jobs.start_scores(rows, score, jobs.dual_sink(f"{root}/scores", as_of=as_of()), f"{root}/checkpoint")])
     return plain(spark.read.parquet(f"{root}/scores"), "batch_id", "batch_time")
 
@@ -676,7 +675,7 @@ def stream_damage_records(spark, folder):
 @query
 def stream_district_health(spark, folder):
     root = scratch_path(spark, "stream-health")
-    rows, _ = jobs.parse(_messages(spark, folder, "reports"), "reports", as_of())
+    rows = _live(spark, folder, "reports")
     jobs.finish([jobs.start_district_health(rows, f"{root}/health", f"{root}/checkpoint")])
     return spark.read.parquet(f"{root}/health").drop("batch_id", "batch_time")
 
@@ -685,7 +684,7 @@ def stream_district_health(spark, folder):
 def stream_accident_enrich(spark, folder):
     """Accident stream joined to the district features of the clean tables."""
     root = scratch_path(spark, "stream-accidents")
-    rows, _ = jobs.parse(_messages(spark, folder, "accidents"), "accidents", as_of())
+    rows = _live(spark, folder, "accidents")
     rows = rows.withColumn("district", standardize.clean_name("district"))
 
     def context():

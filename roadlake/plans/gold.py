@@ -52,7 +52,7 @@ def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: di
     under ``rejects``.
     """
     for feed in FEEDS:
-        raw = events.read_or_empty(spark, f"{root}/raw/{feed}", schemas.EVENT[feed])
+        raw = events.read_raw(spark, root, feed)
         events.write_snapshot(silver.clean_batch(feed, raw), f"{root}/silver/{feed}")
     tables = {
         feed: events.read_or_empty(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]) for feed in FEEDS
@@ -69,9 +69,9 @@ def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: di
 
 def refresh_reports(spark: SparkSession, root: str, since: str) -> None:
     """Bring silver/reports up to date from the raw partitions of ``since`` (yyyy-MM-dd) and later."""
-    raw = spark.read.parquet(f"{root}/raw/reports").filter(F.col("date_partition") >= since)
+    raw = events.read_raw(spark, root, "reports", since)
     known = events.read_or_empty(spark, f"{root}/silver/reports", schemas.EVENT["reports"])
-    merged = silver.refresh_batch("reports", known, schemas.conform(raw, schemas.EVENT["reports"]))
+    merged = silver.refresh_batch("reports", known, raw)
     # stored apart first: a table cannot be replaced while it is read
     events.write_snapshot(materialize(merged, "refreshed-reports"), f"{root}/silver/reports")
 

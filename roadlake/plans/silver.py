@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from roadlake import rules, schemas
 from roadlake.functions import geo, standardize
 from roadlake.operators import clean, quality
+from roadlake.session import materialize
 
 BATCH_KEYS = {
     "reports": ["report_id"],
@@ -32,7 +33,7 @@ _TRIMMED = ("status", "condition", "congestion_level", "source")
 def clean_batch(feed: str, raw: DataFrame) -> DataFrame:
     """Drop rows without a key or, for reports, without a place on earth; keep the newest row per key."""
     if feed == "reports":
-        raw = raw.filter(geo.in_box("latitude", "longitude", rules.WORLD_BOX))
+        raw = raw.filter(geo.inside("latitude", "longitude", rules.WORLD_BOX))
     rows = clean.latest_per_key(raw, BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST))
     names = {c: standardize.clean_name(c) for c in _NAMES if c in rows.columns}
     trimmed = {c: F.trim(c) for c in _TRIMMED if c in rows.columns}
@@ -65,7 +66,8 @@ def clean_enriched(feed: str, raw: DataFrame, as_of: Column | None = None) -> Da
         )
         rows = geo.fill_coordinates(rows, zero_is_missing=True)
     elif feed == "weather":
-        rows = rows.withColumn("condition", standardize.weather_condition("condition"))
+        # stored once: the rows and the mean temperature that fills them both read it
+        rows = materialize(rows, "weather").withColumn("condition", standardize.weather_condition("condition"))
     elif feed == "traffic":
         rows = rows.withColumn("congestion_level", standardize.congestion_level("congestion_level"))
     elif feed == "accidents":

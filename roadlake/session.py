@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -24,6 +25,11 @@ def build(app: str = "roadlake", master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+def local_table(spark: SparkSession, **columns: list) -> DataFrame:
+    """A fixed table given by its columns; the plan holds its rows, so it needs no job to read."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a local run without one gets a scratch folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from roadlake import rules, schemas
 from roadlake.operators import clean
@@ -11,7 +11,7 @@ from roadlake.operators import clean
 CORRUPT = "_corrupt_record"
 ISO_SECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 KEYS = {"reports": "report_id", "weather": "district", "traffic": "road_name", "news": "event_id",
-        "accidents": "road_name", "rain": "date"}
+        "accidents": "accident_id", "rain": "date"}
 
 
 def topic_options(feed: str, servers: str) -> dict[str, str]:
@@ -34,7 +34,9 @@ def parse_envelope(messages: DataFrame, schema: StructType, keep_corrupt: bool =
     if keep_corrupt:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.select(F.from_json(F.col("value").cast("string"), schema, options).alias("data")).select("data.*")
+    parsed = F.from_json(F.col("value").cast("string"), schema, options)
+    # inline keeps later filters above the parser, which then runs once per message
+    return messages.select(F.inline(F.array(parsed)))
 
 
 def to_envelope(df: DataFrame, key: str) -> DataFrame:
@@ -52,7 +54,8 @@ def raw_events(parsed: DataFrame, feed: str, as_of: Column | None = None) -> Dat
     timed = parsed.withColumn("event_time", clean.event_time("event_time", now))
     if feed == "reports":
         timed = clean.fill_constants(timed, rules.REPORT_DEFAULTS)
-    return schemas.conform(timed, schemas.EVENT[feed])
+    kept = [CORRUPT] if CORRUPT in parsed.columns else []
+    return schemas.conform(timed, StructType([*schemas.EVENT[feed], *[StructField(c, StringType()) for c in kept]]))
 
 
 def with_lineage(raw: DataFrame, feed: str, as_of: Column | None = None) -> DataFrame:
@@ -65,7 +68,7 @@ def with_lineage(raw: DataFrame, feed: str, as_of: Column | None = None) -> Data
 
 
 def partition_columns(feed: str) -> list[str]:
-    return ["date_partition"] if feed == "traffic" else ["date_partition", "district_partition"]
+    return ["valid", "date_partition"] if feed == "traffic" else ["valid", "date_partition", "district_partition"]
 
 
 def route_weather(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -88,6 +91,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def read_raw(spark: SparkSession, root: str, feed: str, since: str | None = None) -> DataFrame:
+    """Valid rows of a raw table; ``since`` (yyyy-MM-dd) reads only the partitions from that day on."""
+    stored = StructType(
+        [*schemas.EVENT[feed], StructField("valid", BooleanType()), StructField("date_partition", StringType())]
+    )
+    rows = read_or_empty(spark, f"{root}/raw/{feed}", stored).filter("valid")
+    if since:
+        rows = rows.filter(F.col("date_partition") >= since)
+    return rows.drop("valid", "date_partition")
+
+
 def write_partitioned(df: DataFrame, path: str, by) -> None:
     """Append to a partitioned table. Rebalancing gathers a partition's rows and splits large ones."""
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)

@@ -26,14 +26,19 @@ def read_stream(spark: SparkSession, fmt: str = "kafka", feed: str | None = None
     return spark.readStream.format(fmt).options(**options).load()
 
 
-def parse(messages: DataFrame, feed: str, as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raw rows, dead letters): a message that does not fit the feed's schema is a dead letter."""
+def parse(messages: DataFrame, feed: str, as_of: Column | None = None) -> DataFrame:
+    """Raw rows with ``valid``; a message that does not fit the feed's schema is not, and keeps its text."""
     parsed = events.parse_envelope(messages, schemas.WIRE[feed], keep_corrupt=True)
-    bad = F.col(events.CORRUPT).isNotNull()
-    return (
-        events.raw_events(parsed.filter(~bad), feed, as_of),
-        parsed.filter(bad).select(F.lit(feed).alias("feed"), F.col(events.CORRUPT).alias("value")),
-    )
+    return events.raw_events(parsed, feed, as_of).withColumn("valid", F.col(events.CORRUPT).isNull())
+
+
+def valid_rows(parsed: DataFrame) -> DataFrame:
+    """Works on a stream and on a stored raw table, whose partition values read back as text."""
+    return parsed.filter(F.col("valid").cast("boolean")).drop("valid", events.CORRUPT)
+
+
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("valid").cast("boolean")).select(F.col(events.CORRUPT).alias("value"))
 
 
 def _start(writer, trigger: dict) -> StreamingQuery:
@@ -48,20 +53,16 @@ def start_append(df: DataFrame, path: str, checkpoint: str, by=(), trigger=None)
     return _start(writer.option("path", path), trigger or {"availableNow": True})
 
 
-def start_bronze(messages: DataFrame, feed: str, root: str, as_of: Column | None = None, trigger=None) -> list[StreamingQuery]:
-    """Raw table and dead letters of one feed, each with its own checkpoint."""
-    raw, dead = parse(messages, feed, as_of)
-    return [
-        start_append(
-            events.with_lineage(raw, feed, as_of), f"{root}/raw/{feed}", f"{root}/checkpoints/raw/{feed}",
-            events.partition_columns(feed), trigger,
-        ),
-        start_append(dead, f"{root}/dead/{feed}", f"{root}/checkpoints/dead/{feed}", trigger=trigger),
-    ]
+def start_bronze(messages: DataFrame, feed: str, root: str, as_of: Column | None = None, trigger=None) -> StreamingQuery:
+    """The raw table of one feed. Dead letters go to its partition ``valid=false``, so each message is parsed once."""
+    rows = events.with_lineage(parse(messages, feed, as_of), feed, as_of)
+    by = events.partition_columns(feed)
+    return start_append(rows, f"{root}/raw/{feed}", f"{root}/checkpoints/raw/{feed}", by, trigger)
 
 
 def start_all(sources: dict[str, DataFrame], root: str, trigger=None) -> list[StreamingQuery]:
-    return [q for feed, messages in sources.items() for q in start_bronze(messages, feed, root, trigger=trigger)]
+    """All raw tables at once, each with its own checkpoint."""
+    return [start_bronze(messages, feed, root, trigger=trigger) for feed, messages in sources.items()]
 
 
 def finish(queries: list[StreamingQuery], timeout: int | None = None) -> None:
@@ -74,8 +75,13 @@ def finish(queries: list[StreamingQuery], timeout: int | None = None) -> None:
 
 
 def dedup(rows: DataFrame, keys, lateness: str = "1 day", time: str = "event_time") -> DataFrame:
-    """First arrival of each key; copies may be apart, and rows late, by up to ``lateness``."""
-    return rows.withWatermark(time, lateness).dropDuplicatesWithinWatermark(keys)
+    """First arrival of each key; copies may be apart, and rows late, by up to ``lateness``.
+
+    Copies are cut per input partition before they meet, so a key with many copies is spread over
+    the cluster first.
+    """
+    spread = rows.withWatermark(time, lateness).withColumn("_part", F.spark_partition_id())
+    return spread.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part").dropDuplicatesWithinWatermark(keys)
 
 
 def dual_sink(path: str, serve: Callable[[DataFrame, int], None] | None = None,
