@@ -1,35 +1,35 @@
 """Road, damage, severity, complaint and sentiment signals in Indonesian news text.
 
-All functions map a text column to a column and stay inside the JVM. ``text`` is the original
-text, ``low`` its lower-case form.
+Each function takes the text of SQL expressions and returns the text of another one, which stays
+inside the JVM. ``text`` is the original text, ``low`` its lower-case form.
 """
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from roadlake import rules
+from roadlake.functions.standardize import quote
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once per row."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _quoted(word: str) -> str:
+def _literal(word: str) -> str:
+    """A word as a regular expression that matches just it."""
     return re.sub(r"([^\w\s])", r"\\\1", word)
 
 
-def _hits(low: Column, keywords) -> Column:
+def _list(words) -> str:
+    return f"array({', '.join(quote(w) for w in words)})"
+
+
+def _hits(low: str, keywords) -> str:
     """How many of the keywords occur."""
-    hits = F.lit(0)
-    for k in keywords:
-        hits = hits + F.contains(low, F.lit(k)).cast("int")
-    return hits
+    return "(" + " + ".join(f"int(contains({low}, {quote(k)}))" for k in keywords) + ")"
 
 
-def road_names(text: Column, pattern: str = rules.ROAD_PATTERN, stop_words=rules.ROAD_STOP_WORDS) -> Column:
+def road_names(text: str, pattern: str = rules.ROAD_PATTERN, stop_words=rules.ROAD_STOP_WORDS) -> str:
     """Distinct road names of 4 to 39 characters in order of appearance.
 
     A name is one to four capitalised words after "Jalan" or "Jl.", up to a stop word, a comma, a
@@ -37,154 +37,108 @@ def road_names(text: Column, pattern: str = rules.ROAD_PATTERN, stop_words=rules
     is left out.
     """
     pattern = "(?U)" + pattern.replace("{stop_words}", "|".join(stop_words))
-    found = F.transform(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
-        lambda n: F.regexp_replace(n, r"[.,]+$", ""),
+    found = f"regexp_extract_all({text}, {quote(pattern)}, 1)"
+    trimmed = f"transform({found}, road -> regexp_replace(road, '[.,]+$', ''))"
+    fitting = f"filter({trimmed}, road -> length(road) BETWEEN 4 AND 39)"
+    first_spellings = let(
+        "keys",
+        "transform(spelled, road -> lower(road))",
+        "filter(spelled, (road, i) -> array_position(keys, lower(road)) = i + 1)",
     )
-    fitting = F.filter(found, lambda n: F.length(n).between(4, 39))
-
-    def first_spellings(names: Column) -> Column:
-        keys = F.transform(names, F.lower)
-        return F.filter(names, lambda n, i: F.array_position(keys, F.lower(n)) == i + 1)
-
-    def most_specific(names: Column) -> Column:
-        return F.filter(
-            names,
-            lambda n: ~F.exists(
-                names, lambda other: (F.lower(other) != F.lower(n)) & F.contains(F.lower(other), F.lower(n))
-            ),
-        )
+    part_of_other = "exists(distinct_roads, r -> lower(r) <> lower(road) AND contains(lower(r), lower(road)))"
+    most_specific = f"filter(distinct_roads, road -> NOT {part_of_other})"
+    return let("distinct_roads", let("spelled", fitting, first_spellings), most_specific)
 
-    return _let(_let(fitting, first_spellings), most_specific)
 
-
-def around(text: Column, name: Column, width: int = rules.LOCAL_WINDOW) -> Column:
+def around(text: str, name: str, width: int = rules.LOCAL_WINDOW) -> str:
     """The text from ``width`` characters before the first ``name`` to ``width`` after it."""
-    at = F.position(name, text)
-    first = F.greatest(at - width, F.lit(1))
-    return F.when(at == 0, text).otherwise(F.substr(text, first, at + F.length(name) + width - first))
+    cut = f"substr({text}, greatest(at - {width}, 1), at + length({name}) + {width} - greatest(at - {width}, 1))"
+    return let("at", f"position({name}, {text})", f"if(at = 0, {text}, {cut})")
 
 
-def district(low: Column, names=rules.NEWS_DISTRICTS) -> Column:
+def district(low: str, names=rules.NEWS_DISTRICTS) -> str:
     """The longest district name that stands in the text as whole words, else NULL."""
-    ranked = sorted(names, key=len, reverse=True)
     # the plain search rules out most names before a pattern is tried
-    hits = [
-        F.when(F.contains(low, F.lit(n.lower())) & F.rlike(low, F.lit(rf"(?U)\b{_quoted(n.lower())}\b")), n)
-        for n in ranked
-    ]
-    return F.coalesce(*hits)
+    steps = " ".join(
+        f"WHEN contains({low}, {quote(n.lower())}) AND rlike({low}, {quote(rf'(?U)\b{_literal(n.lower())}\b')}) THEN {quote(n)}"
+        for n in sorted(names, key=len, reverse=True)
+    )
+    return f"CASE {steps} END"
 
 
-def damage(low: Column, banks=rules.DAMAGE_KEYWORDS) -> Column:
+def damage(low: str, banks=rules.DAMAGE_KEYWORDS) -> str:
     """struct(damage_type, confidence): the type with most keywords, the first one on ties."""
-    types = F.array(*[F.lit(t) for t in banks])
-    hits = F.array(*[_hits(low, words) for words in banks.values()])
+    hits = f"array({', '.join(_hits(low, words) for words in banks.values())})"
+    best = (
+        "named_struct("
+        f"'damage_type', if(array_max(hits) > 0, get({_list(banks)}, int(array_position(hits, array_max(hits)) - 1)), NULL), "
+        "'confidence', if(array_max(hits) > 0, least(1e0, 0.4e0 + 0.2e0 * array_max(hits)), 0e0))"
+    )
+    return let("hits", hits, best)
 
-    def best(h: Column) -> Column:
-        top = F.array_max(h)
-        return F.struct(
-            F.when(top > 0, F.get(types, (F.array_position(h, top) - 1).cast("int"))).alias("damage_type"),
-            F.when(top > 0, F.least(F.lit(1.0), F.lit(0.4) + F.lit(0.2) * top)).otherwise(F.lit(0.0)).alias("confidence"),
-        )
 
-    return _let(hits, best)
+def _severity(level: str, score: str, confidence: str) -> str:
+    return (
+        f"named_struct('severity_level', CAST({level} AS STRING), 'severity_score', CAST({score} AS INT), "
+        f"'confidence', CAST({confidence} AS DOUBLE))"
+    )
 
 
-def severity(low: Column, banks=rules.SEVERITY_KEYWORDS, weak=rules.WEAK_SEVERITY) -> Column:
+def severity(low: str, banks=rules.SEVERITY_KEYWORDS, weak=rules.WEAK_SEVERITY) -> str:
     """struct(severity_level, severity_score, confidence): the worst level with a keyword."""
-
-    def signal(level: Column, score: Column, confidence: Column) -> Column:
-        return F.struct(
-            level.cast("string").alias("severity_level"),
-            score.cast("int").alias("severity_score"),
-            confidence.cast("double").alias("confidence"),
-        )
-
     weak_level, weak_score, weak_confidence, weak_words = weak
-    hits = F.array(*[_hits(low, words) for _, words in banks.values()])
-
-    def worst(h: Column) -> Column:
-        none = signal(F.lit(None), F.lit(None), F.lit(0.0))
-        weak_signal = signal(F.lit(weak_level), F.lit(weak_score), F.lit(weak_confidence))
-        result = F.when(_hits(low, weak_words) > 0, weak_signal).otherwise(none)
-        for i, (level, (score, _)) in reversed(list(enumerate(banks.items()))):
-            n = F.get(h, F.lit(i))
-            confidence = F.least(F.lit(1.0), F.lit(0.5) + F.lit(0.25) * n)
-            result = F.when(n > 0, signal(F.lit(level), F.lit(score), confidence)).otherwise(result)
-        return result
-
-    return _let(hits, worst)
+    hits = f"array({', '.join(_hits(low, words) for _, words in banks.values())})"
+    steps = " ".join(
+        f"WHEN get(hits, {i}) > 0 THEN {_severity(quote(level), score, f'least(1e0, 0.5e0 + 0.25e0 * get(hits, {i}))')}"
+        for i, (level, (score, _)) in enumerate(banks.items())
+    )
+    weak_case = f"WHEN {_hits(low, weak_words)} > 0 THEN {_severity(quote(weak_level), weak_score, weak_confidence)}"
+    return let("hits", hits, f"CASE {steps} {weak_case} ELSE {_severity('NULL', 'NULL', '0')} END")
 
 
-def complaints(low: Column, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APPROX) -> Column:
+def complaints(low: str, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APPROX) -> str:
     """struct(complaint_count, confidence): a stated number, else an estimate from a quantity word."""
-    stated = F.regexp_extract(low, rf"(?U)([0-9]+)\s*(?:{'|'.join(nouns)})", 1).try_cast("int")
-    estimate = F.lit(None).cast("int")
-    for word, n in reversed(approx.items()):
-        estimate = F.when(F.contains(low, F.lit(word)), F.lit(n)).otherwise(estimate)
-
-    def signal(pair: Column) -> Column:
-        return F.struct(
-            F.coalesce(pair["stated"], pair["estimate"]).alias("complaint_count"),
-            F.when(pair["stated"].isNotNull(), 0.9)
-            .when(pair["estimate"].isNotNull(), 0.4)
-            .otherwise(0.0)
-            .alias("confidence"),
-        )
-
-    return _let(F.struct(stated.alias("stated"), estimate.alias("estimate")), signal)
-
-
-def _occurrences(low: Column, keyword: str, negations, width: int) -> Column:
-    """struct(plain, negated) occurrences; negated means a negation word lies in the ``width`` characters before."""
-    word = _quoted(keyword)
-    before = "|".join(rf"{_quoted(n)}.{{0,{width - len(n)}}}" for n in negations if len(n) <= width)
-    # one left-to-right scan for the word; the group is empty where the look-behind does not hold
-    found = F.regexp_extract_all(low, F.lit(rf"(?s){word}(?:(?<=({before}){word})|)"), F.lit(1))
-    marks = F.when(F.contains(low, F.lit(keyword)), found).otherwise(F.array().cast("array<string>"))
+    pattern = rf"(?U)([0-9]+)\s*(?:{'|'.join(nouns)})"
+    stated = f"try_cast(regexp_extract({low}, {quote(pattern)}, 1) AS INT)"
+    estimate = "CASE " + " ".join(f"WHEN contains({low}, {quote(w)}) THEN {n}" for w, n in approx.items()) + " END"
+    signal = (
+        "named_struct('complaint_count', coalesce(s.stated, s.estimate), 'confidence', "
+        "CASE WHEN s.stated IS NOT NULL THEN 0.9e0 WHEN s.estimate IS NOT NULL THEN 0.4e0 ELSE 0e0 END)"
+    )
+    return let("s", f"named_struct('stated', {stated}, 'estimate', {estimate})", signal)
 
-    def count(m: Column) -> Column:
-        negated = F.size(F.filter(m, lambda x: x != ""))
-        return F.struct((F.size(m) - negated).alias("plain"), negated.alias("negated"))
 
-    return _let(marks, count)
+def _occurrences(low: str, keyword: str, negations, width: int) -> str:
+    """struct(plain, negated) counts; negated means a negation word lies in the ``width`` characters before."""
+    word = _literal(keyword)
+    before = "|".join(rf"{_literal(n)}.{{0,{width - len(n)}}}" for n in negations if len(n) <= width)
+    # one left-to-right scan for the word; the group is empty where the look-behind does not hold
+    found = f"regexp_extract_all({low}, {quote(rf'(?s){word}(?:(?<=({before}){word})|)')}, 1)"
+    marks = f"if(contains({low}, {quote(keyword)}), {found}, CAST(array() AS ARRAY<STRING>))"
+    negated = "size(filter(marks, m -> m <> ''))"
+    return let("marks", marks, f"named_struct('plain', size(marks) - {negated}, 'negated', {negated})")
 
 
-def sentiment(low: Column, positive=rules.POSITIVE_KEYWORDS, negative=rules.NEGATIVE_KEYWORDS,
-              negations=rules.NEGATION_WORDS, width: int = rules.NEGATION_WINDOW) -> Column:
+def sentiment(low: str, positive=rules.POSITIVE_KEYWORDS, negative=rules.NEGATIVE_KEYWORDS,
+              negations=rules.NEGATION_WORDS, width: int = rules.NEGATION_WINDOW) -> str:
     """struct(sentiment, sentiment_score) from keyword counts.
 
     A negated positive keyword counts as negative, a negated negative one as half a positive.
     """
 
-    def total(keywords, name: str) -> Column:
-        counts = F.array(*[_occurrences(low, k, negations, width) for k in keywords])
-        zero = F.struct(F.lit(0).alias("plain"), F.lit(0).alias("negated"))
-        return F.aggregate(
-            counts,
-            zero,
-            lambda n, c: F.struct(
-                (n["plain"] + c["plain"]).alias("plain"), (n["negated"] + c["negated"]).alias("negated")
-            ),
-        ).alias(name)
-
-    def scores(n: Column) -> Column:
-        good, bad = n["positive"], n["negative"]
-        return F.struct(
-            (good["plain"] + 0.5 * bad["negated"]).alias("good"),
-            (bad["plain"] + F.lit(1.0) * good["negated"]).alias("bad"),
-        )
-
-    def label(s: Column) -> Column:
-        total = s["good"] + s["bad"]
-        return _let(
-            F.when(total > 0, (s["good"] - s["bad"]) / total).otherwise(0.0),
-            lambda net: F.struct(
-                F.when(net > 0.15, "positive").when(net < -0.15, "negative").otherwise("neutral").alias("sentiment"),
-                F.round(net, 2).alias("sentiment_score"),
-            ),
-        )
-
-    counted = F.struct(total(positive, "positive"), total(negative, "negative"))
-    return _let(_let(counted, scores), label)
+    def total(keywords) -> str:
+        counts = ", ".join(_occurrences(low, k, negations, width) for k in keywords)
+        added = "named_struct('plain', n.plain + c.plain, 'negated', n.negated + c.negated)"
+        return f"aggregate(array({counts}), named_struct('plain', 0, 'negated', 0), (n, c) -> {added})"
+
+    scores = (
+        "named_struct('good', t.positive.plain + 0.5e0 * t.negative.negated, "
+        "'bad', t.negative.plain + 1e0 * t.positive.negated)"
+    )
+    net = "if(s.good + s.bad > 0, (s.good - s.bad) / (s.good + s.bad), 0e0)"
+    label = (
+        "named_struct('sentiment', CASE WHEN net > 0.15e0 THEN 'positive' WHEN net < -0.15e0 THEN 'negative' "
+        "ELSE 'neutral' END, 'sentiment_score', round(net, 2))"
+    )
+    counted = f"named_struct('positive', {total(positive)}, 'negative', {total(negative)})"
+    return let("s", let("t", counted, scores), let("net", net, label))

@@ -7,10 +7,6 @@ from roadlake import rules
 from roadlake.functions import text as T
 from roadlake.operators.clean import first_per_key
 
-_DAMAGE = ("damage_type",)
-_SEVERITY = ("severity_level", "severity_score")
-
-
 def article_id(url: str = "url") -> Column:
     return F.left(F.sha2(F.col(url), 256), F.lit(16))
 
@@ -43,80 +39,62 @@ def mark_seen(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     return new.join(ledger.select("article_id"), "article_id", "left_anti")
 
 
-def _mention(road: Column, district: Column, damage: Column, severity: Column, confidence: Column) -> Column:
-    return F.struct(
-        road.alias("road_name"),
-        district.alias("district"),
-        *[damage[c].alias(c) for c in _DAMAGE],
-        *[severity[c].alias(c) for c in _SEVERITY],
-        F.round(confidence, 2).alias("confidence"),
+def _mention(road: str, district: str, confidence: str) -> str:
+    return (
+        f"named_struct('road_name', {road}, 'district', {district}, 'damage_type', s.damage.damage_type, "
+        "'severity_level', s.severity.severity_level, 'severity_score', s.severity.severity_score, "
+        f"'confidence', round({confidence}, 2))"
     )
 
 
-def _road_mention(whole: Column, name: Column, global_district: Column) -> Column:
-    """Signals from the text around a road name."""
-
-    def from_signals(s: Column) -> Column:
-        damage, severity = s["damage"], s["severity"]
-        both = (damage["confidence"] > 0).cast("int") + (severity["confidence"] > 0).cast("int")
-        mean = (damage["confidence"] + severity["confidence"]) / both
-        confidence = F.when(both > 0, mean).otherwise(0.2)
-        return _mention(name, F.coalesce(s["district"], global_district), damage, severity, confidence)
+def _signals(low: str) -> str:
+    return f"named_struct('damage', {T.damage(low)}, 'severity', {T.severity(low)}, 'district', {T.district(low)})"
 
-    def signals(low: Column) -> Column:
-        return T._let(
-            F.struct(
-                T.damage(low).alias("damage"), T.severity(low).alias("severity"), T.district(low).alias("district")
-            ),
-            from_signals,
-        )
 
-    return T._let(F.lower(T.around(whole, name)), signals)
+def _road_mention(text: str, road: str, district: str) -> str:
+    """Signals from the text around a road name; its confidence is the mean of those found."""
+    damage, severity = "s.damage.confidence", "s.severity.confidence"
+    mean = f"({damage} + {severity}) / (int({damage} > 0) + int({severity} > 0))"
+    confidence = f"if({damage} + {severity} > 0, {mean}, 0.2e0)"
+    row = _mention(road, f"coalesce(s.district, {district})", confidence)
+    return T.let("near", f"lower({T.around(text, road)})", T.let("s", _signals("near"), row))
 
 
-def _nameless_mention(low: Column, global_district: Column) -> Column:
+def _nameless_mentions(low: str, district: str) -> str:
     """One UNKNOWN road for an article that tells of damage but names no road, else no mention."""
-
-    def from_signals(s: Column) -> Column:
-        damage, severity = s["damage"], s["severity"]
-        low_, high = F.least(damage["confidence"], severity["confidence"]), F.greatest(
-            damage["confidence"], severity["confidence"]
-        )
-        row = _mention(F.lit("UNKNOWN"), global_district, damage, severity, F.when(low_ > 0, low_).otherwise(high))
-        found = damage["damage_type"].isNotNull() | severity["severity_level"].isNotNull()
-        return F.filter(F.array(row), lambda _: found)
-
-    return T._let(F.struct(T.damage(low).alias("damage"), T.severity(low).alias("severity")), from_signals)
+    damage, severity = "s.damage.confidence", "s.severity.confidence"
+    both = f"least({damage}, {severity})"
+    row = _mention("'UNKNOWN'", district, f"if({both} > 0, {both}, greatest({damage}, {severity}))")
+    signals = f"named_struct('damage', {T.damage(low)}, 'severity', {T.severity(low)})"
+    return T.let("s", signals, f"filter(array({row}), r -> {damage} + {severity} > 0)")
 
 
 def extract(articles: DataFrame, title: str = "title", content: str = "content") -> DataFrame:
     """Add the signals of an article: ``roads`` (array of mentions), complaints, sentiment, confidence."""
     blanks = F.lit(" \t\n\r\x0b\x0c")
-    texts = articles.withColumn(
-        "_text", F.btrim(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(content, F.lit(""))), blanks)
-    ).withColumn("_low", F.lower("_text"))
-    whole, low = F.col("_text"), F.col("_low")
+    both = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(content, F.lit("")))
+    texts = articles.withColumn("_text", F.btrim(both, blanks)).withColumn("_low", F.lower("_text"))
     found = texts.withColumns(
         {
-            "_names": T.road_names(whole),
-            "_district": T.district(low),
-            "_complaints": T.complaints(low),
-            "_sentiment": T.sentiment(low),
+            "_names": F.expr(T.road_names("_text")),
+            "_district": F.expr(T.district("_low")),
+            "_complaints": F.expr(T.complaints("_low")),
+            "_sentiment": F.expr(T.sentiment("_low")),
         }
     )
-    named = F.transform("_names", lambda name: _road_mention(whole, name, F.col("_district")))
+    named = f"transform(_names, road -> {_road_mention('_text', 'road', '_district')})"
     roads = found.withColumn(
-        "roads", F.when(F.size("_names") > 0, named).otherwise(_nameless_mention(low, F.col("_district")))
+        "roads", F.expr(f"if(size(_names) > 0, {named}, {_nameless_mentions('_low', '_district')})")
     )
-    stated = F.col("_complaints.confidence")
-    sure = F.concat(F.transform("roads", lambda r: r["confidence"]), F.filter(F.array(stated), lambda c: c > 0))
-    mean = F.aggregate(sure, F.lit(0.0), lambda total, c: total + c) / F.size(sure)
+    # the confidence of the mentions, and of the complaint count where there is one
+    sure = "concat(roads.confidence, filter(array(_complaints.confidence), c -> c > 0))"
+    mean = "if(size(sure) > 0, round(aggregate(sure, 0e0, (total, c) -> total + c) / size(sure), 2), 0e0)"
     return roads.withColumns(
         {
             "complaint_count": F.col("_complaints.complaint_count"),
             "sentiment": F.col("_sentiment.sentiment"),
             "sentiment_score": F.col("_sentiment.sentiment_score"),
-            "extraction_confidence": F.when(F.size(sure) > 0, F.round(mean, 2)).otherwise(0.0),
+            "extraction_confidence": F.expr(T.let("sure", sure, mean)),
         }
     ).drop("_text", "_low", "_names", "_district", "_complaints", "_sentiment")
 

@@ -23,19 +23,22 @@ def rolling(df: DataFrame, windows=rules.RAIN_WINDOWS, station: str | None = Non
     """Add ``rainfall_<n>d``: rain of the last n calendar days, today included, rounded to 2.
 
     Missing days and unknown amounts count as 0. A date given more than once counts once: the row
-    with the highest ``recency``. A window sees one station, so it holds at most one row per day.
+    with the highest ``recency``; without ``recency`` dates must be unique per station.
+
+    Days are cut into blocks as long as the longest window. A row also serves the block after its
+    own, so each block has all the days it looks back on and no task needs a whole history.
     """
     places = [station] if station else []
     if recency:
         df = first_per_key(df, [*places, "date"], [F.desc_nulls_last(recency)])
-    day = Window.partitionBy(*places).orderBy(F.unix_date("date"))
+    own = F.floor(F.unix_date("date") / max(windows))
+    blocks = df.withColumn("_own", own).withColumn("_block", F.explode(F.array("_own", F.col("_own") + 1)))
+    day = Window.partitionBy(*places, "_block").orderBy(F.unix_date("date"))
     amount = F.coalesce("precipitation_sum", F.lit(0.0)).cast("decimal(18,4)")
-    return df.withColumns(
-        {
-            f"rainfall_{n}d": F.round(F.sum(amount).over(day.rangeBetween(1 - n, 0)), 2).cast("double")
-            for n in windows
-        }
-    )
+    sums = {
+        f"rainfall_{n}d": F.round(F.sum(amount).over(day.rangeBetween(1 - n, 0)), 2).cast("double") for n in windows
+    }
+    return blocks.withColumns(sums).filter("_own = _block").drop("_own", "_block")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, windows=rules.RAIN_WINDOWS) -> DataFrame:

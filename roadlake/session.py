@@ -1,5 +1,6 @@
 """Session settings the jobs are written for, and the shared folder they may write to."""
 
+import functools
 import tempfile
 import uuid
 
@@ -13,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # keeps the state of long streams off the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -30,6 +35,11 @@ def local_table(spark: SparkSession, **columns: list) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="roadlake-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a local run without one gets a scratch folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,9 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="roadlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,7 +60,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Used where a result feeds several branches, so that its shuffles run once, and where an
     aggregate is joined to a large table: the planner then knows the true size of the aggregate
     and broadcasts it only below spark.sql.autoBroadcastJoinThreshold. Above that it joins by
-    sort-merge, where adaptive execution splits hot keys. The table outlives lost executors.
+    sort-merge, where adaptive execution splits hot keys; it does so between plain tables, not next
+    to an aggregate. The table outlives lost executors.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

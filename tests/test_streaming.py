@@ -1,3 +1,5 @@
+import json
+import os
 from datetime import datetime
 
 import pytest
@@ -18,15 +20,15 @@ def feed(spark, tmp_path):
         folder = tmp_path / name
         folder.mkdir(exist_ok=True)
         for i, lines in enumerate(files):
-            (folder / f"{i}.txt").write_text("\n".join(lines) + "\n")
+            path = folder / f"{i}.txt"
+            path.write_text("\n".join(lines) + "\n")
+            os.utime(path, (1_700_000_000 + i,) * 2)  # files are read oldest first
         return jobs.read_stream(spark, "text", path=str(folder), maxFilesPerTrigger="1")
 
     return make
 
 
 def report(n, when="2024-01-02T00:00:00", **more):
-    import json
-
     row = {"event_id": f"e{n}", "event_time": when, "report_id": f"r{n}", "road_name": "A", "district": "Gunung Anyar",
            "damage_type": "D40_Pothole", "severity_score": 10 * n, "confidence": 0.5, **more}
     return json.dumps(row)
