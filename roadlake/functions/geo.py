@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake import rules
+from roadlake.functions.standardize import quote, strip_sql
 from roadlake.session import local_table
 
 
@@ -36,6 +37,16 @@ def bounds_table(spark: SparkSession, box=rules.CITY_BOX, center=rules.CITY_CENT
     return local_table(spark, **{k: [v] for k, v in row.items()})
 
 
+def centroid_sql(x: str, centroids=rules.DISTRICT_CENTROIDS, center=rules.CITY_CENTER) -> str:
+    """struct(latitude, longitude) of a district, the city centre for an unknown one."""
+
+    def point(lat: float, lon: float) -> str:
+        return f"named_struct('latitude', {lat!r}D, 'longitude', {lon!r}D)"
+
+    table = ", ".join(f"{quote(name.lower())}, {point(*place)}" for name, place in centroids.items())
+    return f"coalesce(try_element_at(map({table}), lower({strip_sql(x)})), {point(*center)})"
+
+
 def with_centroid(df: DataFrame, district: str = "district", centroids=rules.DISTRICT_CENTROIDS,
                   center=rules.CITY_CENTER) -> DataFrame:
     """Add ``centroid_lat`` and ``centroid_lon``; an unknown district gets the city centre.
@@ -49,7 +60,7 @@ def with_centroid(df: DataFrame, district: str = "district", centroids=rules.DIS
             F.col("longitude").alias("centroid_lon"),
         )
     )
-    place = F.lower(F.trim(F.col(district)))
+    place = F.expr(f"lower({strip_sql(district)})")
     return (
         df.join(dim, place == F.col("_place"), "left")
         .drop("_place")

@@ -1,7 +1,7 @@
 """Category standardisation as SQL expressions, usable on columns and as SQL functions.
 
 Each ``*_sql`` function takes the text of an expression and returns the text of another one, so the
-same rule serves DataFrame code (``F.expr``) and ``register`` (SQL functions inlined by Catalyst).
+same rule serves DataFrame code (``F.expr``) and SQL functions (``roadlake.functions.sql``).
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,22 +98,6 @@ def clean_name(x: str) -> Column:
     return F.initcap(F.trim(x))
 
 
-def register(spark: SparkSession) -> None:
-    """Make the standardisers callable from SQL."""
-    functions = {
-        "standardize_district": ("STRING", district_sql),
-        "standardize_damage_type": ("STRING", damage_type_sql),
-        "standardize_weather_condition": ("STRING", weather_condition_sql),
-        "standardize_congestion_level": ("STRING", congestion_level_sql),
-        "standardize_severity_text": ("STRING", severity_text_sql),
-        "standardize_severity_score": ("DOUBLE", severity_score_sql),
-    }
-    for name, (dtype, builder) in functions.items():
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(x {dtype}) RETURNS STRING RETURN {builder('x')}"
-        )
-
-
 def rules_table(spark: SparkSession) -> DataFrame:
     """All dictionaries as rows of (domain, key, value)."""
     domains = {

@@ -139,10 +139,11 @@ def priority_score(reports: DataFrame, traffic: DataFrame, accidents: DataFrame,
     )
 
 
-def risk_level(severity: str = "severity_score") -> Column:
-    return (
-        F.when(F.col(severity) > 80, "High Risk").when(F.col(severity) >= 50, "Medium Risk").otherwise("Low Risk")
-    )
+def risk_level(severity: str = "severity_score", bounds=rules.RISK_BOUNDS, levels=rules.RISK_LEVELS) -> Column:
+    """Low below the first bound and for an unknown severity, medium up to the second, else high."""
+    low, medium, high = levels
+    score = F.col(severity)
+    return F.when(score.between(*bounds), medium).when(score > bounds[1], high).otherwise(low)
 
 
 def damage_prediction(reports: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -7,41 +7,33 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake import schemas
+from roadlake import rules, schemas
 
-# Model inputs, the severe levels and the forest's parameters
-FEATURES = (
-    "damage_report_count", "avg_severity", "max_severity", "avg_speed", "traffic_event_count",
-    "rainfall_mm", "temperature_c", "humidity",
-)
-SEVERE = ("High", "Critical")
-FOREST = {"numTrees": 50, "maxDepth": 5, "seed": 42}
-MIN_ROWS = 50
 
-
-def training_rows(features: DataFrame, severe=SEVERE) -> DataFrame:
+def training_rows(features: DataFrame, severe=rules.SEVERE_LEVELS) -> DataFrame:
     """Inputs as floats (an absent one is 0) and ``label``, 1 for a severe accident.
 
     Without any severity column the label is heavy rain.
     """
-    rows = schemas.ensure_columns(features, FEATURES)
+    rows = schemas.ensure_columns(features, rules.MODEL_FEATURES)
     level = next((c for c in ("accident_severity", "severity") if c in features.columns), None)
-    positive = F.col(level).isin(*severe) if level else F.col("rainfall_mm") > 50
+    positive = F.col(level).isin(*severe) if level else F.col("rainfall_mm") > rules.HEAVY_RAIN
     return rows.withColumn("label", F.when(positive, 1.0).otherwise(0.0))
 
 
-def split(rows: DataFrame, key: str, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split(rows: DataFrame, key: str, train_share: float = rules.TRAIN_SHARE, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the key: the same rows on any cluster and in any partitioning."""
     place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1000))
     is_train = place < int(train_share * 1000)
     return rows.filter(is_train), rows.filter(~is_train)
 
 
-def train(rows: DataFrame, forest=FOREST) -> PipelineModel:
+def train(rows: DataFrame, forest=rules.FOREST) -> PipelineModel:
     """Median imputation, vector assembly and a random forest. Fails on too few rows."""
-    if len(rows.select(F.lit(1)).take(MIN_ROWS)) < MIN_ROWS:
-        raise ValueError(f"training needs at least {MIN_ROWS} rows")
-    names = list(FEATURES)
+    fewest = rules.MIN_TRAINING_ROWS
+    if len(rows.select(F.lit(1)).take(fewest)) < fewest:
+        raise ValueError(f"training needs at least {fewest} rows")
+    names = list(rules.MODEL_FEATURES)
     stages = [
         Imputer(inputCols=names, outputCols=names, strategy="median"),
         VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),

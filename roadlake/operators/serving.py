@@ -50,7 +50,7 @@ def dashboard_counters(reports: DataFrame) -> DataFrame:
     severity = F.coalesce("severity_score", F.lit(0))
     mean = F.when(F.count("*") > 0, F.sum(severity) / F.count("*")).otherwise(0.0)
     return reports.agg(
-        _count(severity >= 80).alias("high_severity"),
+        _count(severity >= rules.HIGH_SEVERITY).alias("high_severity"),
         _count(_detected()).alias("detected"),
         F.floor(mean + 0.5).alias("avg_severity"),
         _count(F.col("damage_type") == rules.POTHOLE).alias("potholes"),

@@ -139,7 +139,23 @@ CRACKS = ("D00_Longitudinal_Crack", "D10_Transverse_Crack", "D20_Alligator_Crack
 STATUSES = ("Pending", "Verified", "In Progress", "Resolved")
 RAIN_WINDOWS = (7, 30, 90)
 
-# --- Fixed values: event topics, and the region the feeds come from ---
+HIGH_SEVERITY = 80
+# severities from 50 to 80 are a medium risk, higher ones a high risk
+RISK_BOUNDS = (50, 80)
+RISK_LEVELS = ("Low Risk", "Medium Risk", "High Risk")
+
+# --- Fixed values: severity model ---
+MODEL_FEATURES = (
+    "damage_report_count", "avg_severity", "max_severity", "avg_speed", "traffic_event_count",
+    "rainfall_mm", "temperature_c", "humidity",
+)
+SEVERE_LEVELS = ("High", "Critical")
+HEAVY_RAIN = 50
+FOREST = {"numTrees": 50, "maxDepth": 5, "seed": 42}
+TRAIN_SHARE = 0.8
+MIN_TRAINING_ROWS = 50
+
+# --- Fixed values: event topics, message keys, first offsets, and the region the feeds come from ---
 TOPICS = {
     "reports": "road_reports",
     "weather": "weather_data",
@@ -147,9 +163,24 @@ TOPICS = {
     "news": "news_data",
     "accidents": "accident_data",
 }
+MESSAGE_KEYS = {
+    "reports": "report_id",
+    "weather": "district",
+    "traffic": "road_name",
+    "news": "event_id",
+    "accidents": "accident_id",
+    "rain": "date",
+}
+STARTING_OFFSETS = {
+    "reports": "latest",
+    "weather": "latest",
+    "traffic": "earliest",
+    "news": "earliest",
+    "accidents": "earliest",
+}
 REGION = {"country": "ID", "province": "JawaTimur", "city": "Surabaya"}
 
-# --- Fixed values: keyword banks for news text (lower case) ---
+# --- Fixed values: keyword banks and patterns for news text (keywords in lower case) ---
 NEWS_DISTRICTS = (
     "Wonokromo", "Wonocolo", "Wiyung", "Wage", "Tandes", "Tegalsari",
     "Tambaksari", "Sukolilo", "Sukomanunggal", "Simokerto", "Semampir",

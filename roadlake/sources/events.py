@@ -10,8 +10,7 @@ from roadlake.operators import clean
 
 CORRUPT = "_corrupt_record"
 ISO_SECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
-KEYS = {"reports": "report_id", "weather": "district", "traffic": "road_name", "news": "event_id",
-        "accidents": "accident_id", "rain": "date"}
+KEYS = rules.MESSAGE_KEYS
 
 
 def topic_options(feed: str, servers: str) -> dict[str, str]:

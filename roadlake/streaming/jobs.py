@@ -10,19 +10,10 @@ from roadlake import rules, schemas
 from roadlake.operators import clean, features, gold
 from roadlake.sources import events
 
-# Where each feed starts when it has no checkpoint yet
-STARTING_OFFSETS = {
-    "reports": "latest",
-    "weather": "latest",
-    "traffic": "earliest",
-    "news": "earliest",
-    "accidents": "earliest",
-}
-
 
 def read_stream(spark: SparkSession, fmt: str = "kafka", feed: str | None = None, **options: str) -> DataFrame:
     if fmt == "kafka" and feed:
-        options = {"startingOffsets": STARTING_OFFSETS[feed], **options}
+        options = {"startingOffsets": rules.STARTING_OFFSETS[feed], **options}
     return spark.readStream.format(fmt).options(**options).load()
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from roadlake import rules, schemas
-from roadlake.functions import standardize
+from roadlake.functions import sql, standardize
 from tests.conftest import plan, values
 
 
@@ -55,10 +55,13 @@ def test_first_entry_in_order_wins(frame):
 
 
 def test_sql_functions(spark, frame):
-    standardize.register(spark)
+    sql.register(spark)
     frame("d string, s int", ("gunung anyar", 80)).createOrReplaceTempView("places")
-    df = spark.sql("SELECT standardize_district(d) AS d, standardize_severity_score(s) AS s FROM places")
-    assert values(df) == [("Gunung Anyar", "Critical")]
+    df = spark.sql(
+        "SELECT standardize_district(d) AS d, standardize_severity_score(s) AS s, geocode_district(d).longitude AS x, "
+        "geocode_district('mars').latitude AS y, news_road_names('Jalan Pemuda rusak') AS roads FROM places"
+    )
+    assert values(df) == [("Gunung Anyar", "Critical", 112.82, -7.2575, ["Pemuda"])]
     assert "Python" not in plan(df)
 
 
