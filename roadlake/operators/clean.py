@@ -40,8 +40,13 @@ def latest_per_key(df: DataFrame, keys, order=LATEST) -> DataFrame:
 
 
 def exact_mean(column: str, scale: int = 4) -> Column:
-    """Mean whose value does not depend on the order of the rows: the sum runs on decimals."""
-    return F.sum(F.col(column).cast(f"decimal(18,{scale})")).cast("double") / F.count(column)
+    """Mean whose value does not depend on the order of the rows: the sum runs on decimals.
+
+    A value no sensor gives (NaN, infinite, or of more than 14 digits before the point) counts as unknown
+    instead of failing the job.
+    """
+    value = F.col(column).try_cast(f"decimal(18,{scale})")
+    return F.sum(value).cast("double") / F.count(value)
 
 
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:

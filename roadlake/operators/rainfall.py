@@ -34,7 +34,7 @@ def rolling(df: DataFrame, windows=rules.RAIN_WINDOWS, station: str | None = Non
     own = F.floor(F.unix_date("date") / max(windows))
     blocks = df.withColumn("_own", own).withColumn("_block", F.explode(F.array("_own", F.col("_own") + 1)))
     day = Window.partitionBy(*places, "_block").orderBy(F.unix_date("date"))
-    amount = F.coalesce("precipitation_sum", F.lit(0.0)).cast("decimal(18,4)")
+    amount = F.coalesce(F.col("precipitation_sum").try_cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))
     sums = {
         f"rainfall_{n}d": F.round(F.sum(amount).over(day.rangeBetween(1 - n, 0)), 2).cast("double") for n in windows
     }

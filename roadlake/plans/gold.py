@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake import schemas
+from roadlake import rules, schemas
 from roadlake.operators import clean, gold, ml
 from roadlake.plans import silver
 from roadlake.session import materialize
@@ -76,12 +76,12 @@ def refresh_reports(spark: SparkSession, root: str, since: str) -> None:
     events.write_snapshot(materialize(merged, "refreshed-reports"), f"{root}/silver/reports")
 
 
-def train_model(features: DataFrame, path: str, key: str = "accident_id") -> DataFrame:
+def train_model(features: DataFrame, path: str, key: str = "accident_id", forest=rules.FOREST) -> DataFrame:
     """Train on a hash split of the feature rows, save the model at ``path``, return its metrics.
 
     The test rows go through the saved model: a model fresh from training drags its session along.
     """
     rows = materialize(ml.training_rows(features), "training-rows")
     train, test = ml.split(rows, key)
-    ml.save(ml.train(train), path)
+    ml.save(ml.train(train, forest), path)
     return ml.evaluate(ml.score(test, path))

@@ -50,8 +50,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/roadlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/roadlake/{name}-{uuid.uuid4().hex}"
+    """A new path of this application in the shared folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application put in the shared folder; call it when the results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

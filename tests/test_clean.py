@@ -92,6 +92,12 @@ def test_exact_mean_ignores_row_order(spark):
     assert len(means) == 1
 
 
+def test_exact_mean_survives_broken_sensors(frame):
+    df = frame("x double", 1.0, 2.0, float("nan"), float("inf"), 1e300, None)
+    assert values(df.agg(clean.exact_mean("x"))) == [(1.5,)]
+    assert values(df.limit(0).agg(clean.exact_mean("x"))) == [(None,)]
+
+
 def test_partition_columns(frame):
     df = frame("event_time timestamp, district string", (datetime(2024, 3, 5, 23), "Gunung Anyar"), (None, None))
     rows = clean.add_partition_keys(clean.add_date_parts(df))

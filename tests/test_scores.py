@@ -164,7 +164,7 @@ def test_model(spark, tmp_path):
         F.when(F.col("id") % 2 == 0, 60.0).otherwise(F.when(F.col("id") % 25 == 0, None).otherwise(10.0)).alias("rainfall_mm"),
     )
     path = str(tmp_path / "model")
-    metrics = values(gold_plan.train_model(rows, path))[0]
+    metrics = values(gold_plan.train_model(rows, path, forest={"numTrees": 5, "maxDepth": 3, "seed": 1}))[0]
     assert all(m > 0.9 for m in metrics)
     scored = ml.score(ml.training_rows(rows), path)
     assert scored.filter("prediction = label").count() > 380

@@ -89,8 +89,8 @@ def test_partitioned_append_and_snapshot(spark, frame, tmp_path):
 def test_materialize_uses_the_shared_folder(spark, frame, tmp_path):
     stored = session.materialize(frame("a int", 1, 2), "numbers")
     assert sorted(values(stored)) == [(1,), (2,)]
-    assert all(f.startswith(f"file:{session.shared_folder(spark)}/roadlake/numbers-") or
-               f.startswith(f"file://{session.shared_folder(spark)}/roadlake/numbers-") for f in stored.inputFiles())
+    app = spark.sparkContext.applicationId
+    assert all(f"{session.shared_folder(spark)}/roadlake/{app}/numbers-" in f for f in stored.inputFiles())
 
 
 def test_batch_run(spark, frame, tmp_path):
