@@ -29,14 +29,14 @@ def with_keys(df: DataFrame, keys) -> DataFrame:
     return df
 
 
-def latest_per_key(df: DataFrame, keys, order=LATEST) -> DataFrame:
-    """One row per key, the newest one; rows with a NULL key are dropped.
+def latest_per_key(df: DataFrame, keys, order=LATEST, null_keys: bool = False) -> DataFrame:
+    """One row per key, the newest one. NULL keys are dropped, or count as a key with ``null_keys``.
 
     Where the order has no column outside the key, a hash of the row decides between copies, so
     that the survivor does not depend on how the rows are spread.
     """
     deciding = newest_first([c for c in order if c not in keys]) or [F.xxhash64(*df.columns)]
-    return first_per_key(with_keys(df, keys), keys, deciding)
+    return first_per_key(df if null_keys else with_keys(df, keys), keys, deciding)
 
 
 def exact_mean(column: str, scale: int = 4) -> Column:

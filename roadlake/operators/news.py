@@ -7,6 +7,7 @@ from roadlake import rules
 from roadlake.functions import text as T
 from roadlake.operators.clean import first_per_key
 
+
 def article_id(url: str = "url") -> Column:
     return F.left(F.sha2(F.col(url), 256), F.lit(16))
 

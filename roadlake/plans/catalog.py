@@ -589,7 +589,9 @@ def accident_features(spark, folder):
 @query
 def training_rows(spark, folder):
     rows = ml.training_rows(_accident_features(spark, folder))
-    return rows.select("accident_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "damage_report_count", "max_severity", "traffic_event_count", "label")
+    return plain(rows.select(
+        "accident_id", "event_time", "damage_report_count", "max_severity", "traffic_event_count", "label"
+    ))
 
 
 @query

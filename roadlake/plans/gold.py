@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake import rules, schemas
-from roadlake.operators import clean, gold, ml
+from roadlake.operators import gold, ml
 from roadlake.plans import silver
 from roadlake.session import materialize
 from roadlake.sources import events

@@ -50,12 +50,8 @@ def clean_enriched(feed: str, raw: DataFrame, as_of: Column | None = None) -> Da
     """One row per key and time with standard categories, filled gaps and, for places, coordinates."""
     now = F.current_timestamp() if as_of is None else as_of
     keys = ENRICHED_KEYS[feed]
-    if feed == "news":
-        # a message without a road is one more key of its article, not a missing key
-        known = clean.with_keys(raw, ["event_id"])
-        rows = clean.first_per_key(known, keys, clean.newest_first(ORDER["news"]))
-    else:
-        rows = clean.latest_per_key(raw, keys, ORDER.get(feed, clean.LATEST))
+    # an unknown time or road is one more key of its event, not a missing key
+    rows = clean.latest_per_key(raw, keys, ORDER.get(feed, clean.LATEST), null_keys=True)
     rows = rows.withColumn("district", standardize.district("district"))
     if feed == "reports":
         rows = rows.withColumns(

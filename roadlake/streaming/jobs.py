@@ -79,7 +79,8 @@ def dual_sink(path: str, serve: Callable[[DataFrame, int], None] | None = None,
               as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: batch files under the batch's own folder, then the serving table.
 
-    A repeated batch replaces its folder; ``serve`` gets the batch id to be as repeatable.
+    A repeated batch replaces its folder; ``serve`` gets the batch id to be as repeatable, e.g.
+    ``lambda df, n: events.write_jdbc(df, table, options, n, keys=["report_id"])``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -72,6 +72,14 @@ def test_news_keeps_every_road_of_an_article(frame):
     assert sorted(values(rows, "road_name", "sentiment_score"), key=str) == [("A", 0.1), ("B", 0.5), (None, 0.0)]
 
 
+def test_enriched_rows_without_time_or_id_stay(frame):
+    schema = "event_id string, event_time timestamp, road_name string, district string, average_speed_kmh double, congestion_level string, vehicle_count int"
+    df = frame(schema, ("a", None, "r", "gubeng", 1.0, "low", 1), ("a", T1, "r", "gubeng", 1.0, "low", 2), (None, T1, "r", "gubeng", 1.0, "low", 3),
+               ("a", T1, "r", "gubeng", 1.0, "low", 2))
+    assert sorted(values(silver.clean_enriched("traffic", df), "vehicle_count")) == [(1,), (2,), (3,)]
+    assert sorted(values(silver.clean_batch("traffic", df), "vehicle_count")) == [(2,)]
+
+
 def test_fill_mean_and_constants(frame):
     schema = "event_id string, rainfall_mm double, temperature_c double, humidity double"
     df = frame(schema, ("a", None, 20.0, None), ("b", 1.0, None, 0.9), ("c", 2.0, 25.0, 0.1))
