@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that numpy works on at once; a longer text is a slice of its own.
 SLICE = 1 << 18
+#: Rows that Spark sends to a Python worker at once; texts are long, its default is made for short rows.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

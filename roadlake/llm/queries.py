@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from roadlake.llm import langid, pii, pieces, urls
+from roadlake.llm import decontam, kdtree, langid, pii, pieces, urls
 
 QUERIES = {
     "op2_url_filters": urls.op2_url_filters,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op7_decontamination": decontam.op7_decontamination,
+    "op8_top_k": kdtree.op8_top_k,
     "op9_language_id": langid.op9_language_id,
     "op10_pii": pii.op10_pii,
 }
-ORACLES = {"op2_url_filters": urls.ORACLE}
+ORACLES = {"op2_url_filters": urls.ORACLE, "op8_top_k": kdtree.ORACLE}
