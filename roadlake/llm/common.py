@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that numpy works on at once; a longer text is a slice of its own.
 SLICE = 1 << 18
@@ -39,3 +40,38 @@ def arrays(column: pa.Array, limit: int = 1 << 22) -> Iterator[pa.Array]:
     """The column in runs of rows with at most about ``limit`` bytes, to bound what a result batch holds."""
     for first, end, _, _ in slices(column, limit):
         yield column.slice(first, end - first)
+
+
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """A table for each run of rows with equal whole numbers in ``key``, across batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and keys[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = keys[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def per_group(df: DataFrame, columns: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+    """``work`` on the rows of each group: shuffled by a hash of ``columns``, sorted by it and walked over in runs.
+
+    Many small groups share a batch, which grouped Arrow functions do not allow. Groups whose hashes
+    are equal come as one: ``work`` must bear that.
+    """
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, "_group"):
+            if (out := work(group.drop_columns("_group"))) is not None:
+                yield from out.to_batches()
+
+    keyed = df.withColumn("_group", F.xxhash64(*columns))
+    return keyed.repartition("_group").sortWithinPartitions("_group").mapInArrow(walk, schema)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from roadlake.llm import decontam, kdtree, langid, pii, pieces, urls
+from roadlake.llm import decontam, kdtree, langid, neardup, pii, pieces, toxicity, urls
 
 QUERIES = {
+    "op1_jaccard_join": neardup.op1_jaccard_join,
     "op2_url_filters": urls.op2_url_filters,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op7_decontamination": decontam.op7_decontamination,
     "op8_top_k": kdtree.op8_top_k,
     "op9_language_id": langid.op9_language_id,
