@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from roadlake.llm import decontam, kdtree, langid, neardup, pii, pieces, toxicity, urls
+from roadlake.llm import decontam, kdtree, langid, neardup, pii, pieces, substrings, suffixes, toxicity, urls
 
 QUERIES = {
     "op1_jaccard_join": neardup.op1_jaccard_join,
     "op2_url_filters": urls.op2_url_filters,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_decontamination": decontam.op7_decontamination,
     "op8_top_k": kdtree.op8_top_k,
     "op9_language_id": langid.op9_language_id,
