@@ -40,6 +40,8 @@ CLUSTER_ROWS = 2048
 #: Share of equal hashes from which classes are linked, and from which a linked one is done with. Hashes of a
 #: pair at 0.8 agree on 0.62 of 128 places or less once in 10^6: 1 - LINKED >= (1 - 0.62) + (1 - DONE).
 LINKED, DONE = 0.5, 0.88
+#: Stands for a null id, which comes last.
+LAST = (1 << 63) - 1
 
 
 def depth(threshold: float, recall: float, trees: int = TREES, longest: int = DEPTH) -> int:
@@ -49,7 +51,7 @@ def depth(threshold: float, recall: float, trees: int = TREES, longest: int = DE
 
 
 def sketch(docs: DataFrame, k: int, prefix: int) -> DataFrame:
-    """(doc_id, hash, key, prefixes, signature) of the texts that have words, key: the set of shingles."""
+    """(doc_id, id, hash, key, prefixes, signature) of the texts that have words, key: the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, random = Powers(), np.random.RandomState(11)
@@ -75,14 +77,15 @@ def sketch(docs: DataFrame, k: int, prefix: int) -> DataFrame:
                 own = pa.array(has + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(own), batch.column("hash").take(own), pa.array(keys, pa.binary()),
+                        *(batch.column(c).take(own) for c in ("doc_id", "id", "hash")), pa.array(keys, pa.binary()),
                         pa.array(list(prefixes.view(np.int64)), pa.list_(pa.int64())),
                         pa.array([row.tobytes() for row in signature], pa.binary()),
                     ],
-                    ["doc_id", "hash", "key", "prefixes", "signature"],
+                    ["doc_id", "id", "hash", "key", "prefixes", "signature"],
                 )
 
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, hash long, key binary, prefixes array<long>, signature binary")
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.mapInArrow(run, f"doc_id {kind}, id long, hash long, key binary, prefixes array<long>, signature binary")
 
 
 def split(rows: DataFrame, sizes: DataFrame, group: str, most: int) -> DataFrame:
@@ -206,50 +209,53 @@ def shingle_sets(rows: DataFrame, k: int) -> DataFrame:
 def join(
     docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL
 ) -> DataFrame:
-    """(doc_id, class_id, n_links) for each row: its group of directly or indirectly similar texts, and how many
-    other rows are similar to it."""
-    plain = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"))
+    """(doc_id, class_id, n_links, hash, stays) for each row: the least id of its group of directly or indirectly similar
+    texts, how many other rows are similar to it, the hash of its text, and whether the text stands for its group."""
+    plain = docs.select(
+        F.col(key).alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"),
+        F.xxhash64(F.col(text)).alias("hash"),
+    )
     sketches = materialize(sketch(plain, k, depth(threshold, recall)), "sketches")
     counts = materialize(
-        sketches.groupBy("key").agg(
-            F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "hash")).alias("example")
-        ),
-        "classes",
+        sketches.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct("id", "hash")).alias("example")), "classes"
     )
-    classes = sketches.select("key", "prefixes", "signature").dropDuplicates(["key"])
+    classes = sketches.select("key", "signature").dropDuplicates(["key"])
     nodes = sketches.select("key", F.explode("prefixes").alias("node")).distinct()
     crowded = nodes.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     met = split(nodes, crowded, "node", NODE_ROWS)
-    links = candidate_links(met.join(classes.select("key", "signature"), "key"))
-    clusters = components(links).withColumnRenamed("node", "key")
+    clusters = components(candidate_links(met.join(classes, "key"))).withColumnRenamed("node", "key")
     members = materialize(clusters.join(counts, "key"), "clusters")
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
-    wanted = members.select("key", "root", "copies", F.col("example.doc_id").alias("_id"), F.col("example.hash").alias("_hash"))
-    texts = plain.join(wanted, plain["doc_id"].eqNullSafe(F.col("_id")) & (plain["hash"] == F.col("_hash")))
+    texts = plain.select("id", "hash", "text").join(members.select("key", "root", "copies", "example.*"), ["id", "hash"])
     groups = split(shingle_sets(texts, k), sizes, "root", CLUSTER_ROWS)
     checked = materialize(verified(groups, threshold), "checked")
     linked = checked.groupBy("key").agg(F.sum("links").alias("links"))
-    # a cluster in one part has its components already; parts of one cluster are put together
     whole = components(checked.select(F.col("key").alias("a"), F.col("to").alias("b"))).withColumnRenamed("node", "key")
     grouped = (
         counts.join(whole, "key", "left").join(linked, "key", "left")
-        .select("key", "copies", "least", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+        .withColumns({"root": F.coalesce("root", "key"), "links": F.coalesce("links", F.lit(0)) + F.col("copies") - 1})
     )
-    named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("class_id")), "root").select(
-        "key", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
+    heads = grouped.groupBy("root").agg(F.min("example").alias("head"))
+    named = materialize(grouped.join(heads, "root").select("key", "head", "links"), "groups")
+    found = sketches.select("doc_id", "id", "hash", "key").join(named, "key").select(
+        "doc_id", F.when(F.col("head.id") < LAST, F.col("head.id")).alias("class_id"), F.col("links").alias("n_links"), "hash",
+        (F.struct("id", "hash") == F.col("head")).alias("stays"),
     )
-    found = sketches.select("doc_id", "key").join(materialize(named, "groups"), "key").select("doc_id", "class_id", "n_links")
     bare = plain.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return found.unionByName(bare.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+    return found.unionByName(
+        bare.select(
+            "doc_id", F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "hash", F.lit(True).alias("stays")
+        )
+    )
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return join(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of similar documents the one with the least id stays, and of its repeated rows one."""
-    classes = join(docs.select("doc_id", "text"))
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(docs.columns)
+    stay = join(docs.select("doc_id", "text")).filter("stays").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
+    own = docs.withColumn("_own", F.xxhash64("text"))
+    kept = own.join(stay.distinct(), own["doc_id"].eqNullSafe(F.col("_id")) & (own["_own"] == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).select(docs.columns)
