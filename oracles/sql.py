@@ -19,7 +19,15 @@ def _initcap(x):
 
 
 def _mean(x):
-    return f"(CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)/count({x}))"
+    return f"avg({x})"
+
+
+def _settled(source, *columns):
+    """Means of doubles to six places, as in the compared queries."""
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in columns)}) FROM {source}"
+
+
+_FEATURE_MEANS = ("avg_speed", "rainfall_mm", "temperature_c", "humidity")
 
 
 def _newest(feed, keys, order, where="TRUE", columns="*"):
@@ -226,7 +234,7 @@ step("classified", f"SELECT report_id, image_no, box_no, class_id, round(confide
 
 def _rolling(source):
     sums = ", ".join(
-        f"round(CAST(sum(coalesce(precipitation_sum, 0)) OVER (ORDER BY date RANGE BETWEEN INTERVAL {n - 1} DAYS PRECEDING AND CURRENT ROW) AS DOUBLE), 2) AS rainfall_{n}d"
+        f"round(CAST(sum(coalesce(precipitation_sum, 0e0)) OVER (ORDER BY date RANGE BETWEEN INTERVAL {n - 1} DAYS PRECEDING AND CURRENT ROW) AS DOUBLE), 2) AS rainfall_{n}d"
         for n in rules.RAIN_WINDOWS)
     return f"SELECT date, precipitation_sum, {sums} FROM {source}"
 
@@ -262,7 +270,7 @@ step("toned", f"""SELECT article_no, source, coalesce(stated, estimate) AS compl
     CASE WHEN stated IS NOT NULL THEN 0.9e0 WHEN estimate IS NOT NULL THEN 0.4e0 ELSE 0e0 END AS cc,
     CASE WHEN net > 0.15 THEN 'positive' WHEN net < -0.15 THEN 'negative' ELSE 'neutral' END AS sentiment, round(net, 2) AS sentiment_score FROM (
   SELECT *, CASE WHEN good + bad = 0 THEN 0e0 ELSE (good - bad)/(good + bad) END AS net FROM (
-  SELECT article_no, source, low, TRY_CAST(regexp_extract(low, '([0-9]+)\\s*(?:{_NOUNS})', 1) AS INT) AS stated, {_APPROX} AS estimate,
+  SELECT article_no, source, low, TRY_CAST(regexp_extract(low, '([0-9]+)\\s*(?:{_NOUNS})', 1) AS BIGINT) AS stated, {_APPROX} AS estimate,
     {_GOOD} AS good, {_BAD} AS bad FROM art))""", "art")
 step("articles", """SELECT article_no, source, complaint_count, sentiment, sentiment_score, count(pos) AS mentions,
     CASE WHEN count(pos) + CAST(any_value(cc) > 0 AS INT) = 0 THEN 0e0
@@ -302,6 +310,12 @@ _DATE_PARTS = "CAST(year(event_time) AS INT) AS year, CAST(month(event_time) AS
 _REPORTS_OUT = "SELECT * FROM reports"
 _ISO = "strftime(event_time, '%Y-%m-%d')"
 
+# equal times: the larger values of the cleaned columns win, from left to right, NULL last
+_REDELIVERED = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_time DESC NULLS LAST, city DESC NULLS LAST,
+  district DESC NULLS LAST, rainfall_mm DESC NULLS LAST, temperature_c DESC NULLS LAST, humidity DESC NULLS LAST, condition DESC NULLS LAST) AS rn
+  FROM (SELECT event_id, event_time, {_initcap('city')} AS city, {_initcap('district')} AS district, rainfall_mm, temperature_c, humidity,
+    trim(condition) AS condition FROM weather_redelivered WHERE event_id IS NOT NULL)) WHERE rn = 1"""
+
 # query: (statement, steps it reads)
 ORACLES = {
     "envelope_roundtrip": ("SELECT * FROM reports_raw", "reports_raw"),
@@ -333,8 +347,10 @@ ORACLES = {
     "silver_news": ("SELECT * FROM news", "news"),
     "silver_accidents": ("SELECT * FROM accidents", "accidents"),
     "silver_incremental": (_REPORTS_OUT, "reports"),
+    "silver_redelivered": (_REDELIVERED, "weather_redelivered"),
+    "silver_redelivered_refresh": (_REDELIVERED, "weather_redelivered"),
     "enriched_reports": ("SELECT * FROM e_reports", "e_reports"),
-    "enriched_weather": ("SELECT * FROM e_weather", "e_weather"),
+    "enriched_weather": (_settled("e_weather", "temperature_c"), "e_weather"),
     "enriched_traffic": ("SELECT * FROM e_traffic", "e_traffic"),
     "enriched_news": ("SELECT * FROM e_news", "e_news"),
     "enriched_accidents": ("SELECT * FROM e_accidents", "e_accidents"),
@@ -342,7 +358,7 @@ ORACLES = {
                         "reports_raw"),
     "impute_weather": (
         f"""SELECT event_id, coalesce(rainfall_mm, 0e0) AS rainfall_mm, coalesce(humidity, 0.5e0) AS humidity,
-        coalesce(temperature_c, (SELECT {_mean('temperature_c')} FROM weather_raw)) AS temperature_c FROM weather_raw""", "weather_raw"),
+        round(coalesce(temperature_c, (SELECT {_mean('temperature_c')} FROM weather_raw)), 6) AS temperature_c FROM weather_raw""", "weather_raw"),
     "std_district": (f"SELECT event_id, {_std_district('district')} AS district FROM reports_raw", "reports_raw"),
     "std_damage": (f"SELECT event_id, {_std_damage('damage_type')} AS damage_type FROM reports_raw", "reports_raw"),
     "std_severity": (
@@ -362,11 +378,11 @@ ORACLES = {
         coalesce(latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180, FALSE) AS on_earth FROM reports_raw""", "reports_raw"),
     "map_ready": ("SELECT event_id, latitude, longitude FROM reports_raw WHERE latitude <> 0 AND longitude <> 0", "reports_raw"),
     "road_severity": ("SELECT * FROM road_severity", "road_severity"),
-    "district_rainfall": ("SELECT * FROM district_rainfall", "district_rainfall"),
+    "district_rainfall": (_settled("district_rainfall", "rainfall"), "district_rainfall"),
     "road_traffic": ("SELECT * FROM road_traffic", "road_traffic"),
     "road_accidents": ("SELECT * FROM road_accidents", "road_accidents"),
-    "district_news": ("SELECT * FROM district_news", "district_news"),
-    "road_health_index": ("SELECT * FROM rhi", "rhi"),
+    "district_news": (_settled("district_news", "sentiment"), "district_news"),
+    "road_health_index": (_settled("rhi", "rainfall", "road_health_index"), "rhi"),
     "complaint_score": ("SELECT * FROM complaints", "complaints"),
     "priority_score": (
         """SELECT *, severity_score*0.30e0 + traffic_score*0.25e0 + accident_score*0.20e0 + complaint_score*0.15e0 + news_score*0.10e0 AS priority_score FROM (
@@ -381,7 +397,7 @@ ORACLES = {
         """SELECT report_id, road_name, district, severity_score, CASE WHEN severity_score > 80 THEN 'High Risk' WHEN severity_score >= 50 THEN 'Medium Risk'
         ELSE 'Low Risk' END AS predicted_risk_level FROM reports""", "reports"),
     "accident_prediction": (
-        """SELECT road_name, district, p AS predicted_accident_probability, CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.6 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level FROM (
+        """SELECT road_name, district, round(p, 6) AS predicted_accident_probability, CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.6 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level FROM (
         SELECT road_name, district, CASE WHEN raw > 1 THEN 1e0 ELSE raw END AS p FROM (
         SELECT *, 0.05e0 + rainfall*0.01e0 + traffic*0.0001e0 + (100e0 - road_health_index)*0.005e0 AS raw FROM rhi))""", "rhi"),
     "hotspots": (
@@ -396,7 +412,7 @@ ORACLES = {
         FROM photo_reports p LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY confidence DESC, image_no, box_no) AS rn FROM classified) b
         ON p.report_id = b.report_id AND rn = 1""", "photo_reports", "classified"),
     "publishable": (
-        "SELECT road_name, district, road_health_index, road_name IS NOT NULL AND district IS NOT NULL AND severity IS NOT NULL AS accepted FROM rhi", "rhi"),
+        "SELECT road_name, district, round(road_health_index, 6) AS road_health_index, road_name IS NOT NULL AND district IS NOT NULL AND severity IS NOT NULL AS accepted FROM rhi", "rhi"),
     "sequential_ids": ("SELECT event_id, printf('R%03d', row_number() OVER (ORDER BY event_time, event_id)) AS report_id FROM reports", "reports"),
     "stats": (
         """SELECT count(*) AS total_reports, count(*) FILTER (CAST(event_time AS DATE) = DATE '1996-03-13') AS today_reports,
@@ -466,7 +482,7 @@ ORACLES = {
             _metrics("accidents", ["event_id"], ["event_time"])]),
         "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw"),
     "run_log": ("SELECT 'clean_traffic' AS job_name, 'silver' AS layer, 'success' AS status, count(*) AS record_processed FROM traffic", "traffic"),
-    "accident_features": ("SELECT * FROM accident_rows", "accident_rows"),
+    "accident_features": (_settled("accident_rows", *_FEATURE_MEANS), "accident_rows"),
     "training_rows": (
         """SELECT accident_id, event_time, CAST(damage_report_count AS FLOAT) AS damage_report_count, CAST(max_severity AS FLOAT) AS max_severity,
         CAST(traffic_event_count AS FLOAT) AS traffic_event_count, CASE WHEN accident_severity IN ('High', 'Critical') THEN 1e0 ELSE 0e0 END AS label
@@ -474,12 +490,17 @@ ORACLES = {
     "stream_bronze": (
         f"""SELECT event_id, date_trunc('second', event_time) AS event_time, rainfall_mm, condition, 'kafka_weather' AS source, {_ISO} AS date_partition,
         lower(replace(district, ' ', '_')) AS district_partition FROM weather_raw""", "weather_raw"),
+    "stream_feeds": (
+        " UNION ALL ".join(f"SELECT '{f}' AS feed, count(*) AS n FROM {t}" for f, t in (
+            *((f, f"{f}_raw") for f in ("reports", "weather", "traffic", "news", "accidents")), ("rain", "rain_lines"))),
+        "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw", "rain_lines"),
+    "stream_dedup_odd_times": ("SELECT DISTINCT event_id, vehicle_count FROM traffic_raw", "traffic_raw"),
     "stream_dead_letter": ("SELECT event_id, condition IS NULL AS dead FROM weather_raw", "weather_raw"),
     "stream_dedup": ("SELECT DISTINCT event_id, road_name, vehicle_count FROM traffic_raw", "traffic_raw"),
     "stream_simple_priority": ("SELECT * FROM simple", "simple"),
     "stream_damage_records": ("SELECT report_id, road_name, district, damage_type, severity_score, confidence, status, event_time FROM reports_raw", "reports_raw"),
     "stream_district_health": (_health("reports_raw"), "reports_raw"),
-    "stream_accident_enrich": (_enriched_accidents("accidents_raw", _initcap("district")).replace("ctx c", "b_ctx c"), "accidents_raw", "b_ctx"),
+    "stream_accident_enrich": (_settled("(" + _enriched_accidents("accidents_raw", _initcap("district")).replace("ctx c", "b_ctx c") + ")", *_FEATURE_MEANS), "accidents_raw", "b_ctx"),
 }
 
 

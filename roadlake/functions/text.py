@@ -97,15 +97,19 @@ def severity(low: str, banks=rules.SEVERITY_KEYWORDS, weak=rules.WEAK_SEVERITY)
 
 
 def complaints(low: str, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APPROX) -> str:
-    """struct(complaint_count, confidence): a stated number, else an estimate from a quantity word."""
+    """struct(complaint_count, confidence, unreadable): a stated number, else an estimate from a quantity word.
+
+    A stated number that no BIGINT holds gives no count, and ``unreadable`` says so.
+    """
     pattern = rf"(?U)([0-9]+)\s*(?:{'|'.join(nouns)})"
-    stated = f"try_cast(regexp_extract({low}, {quote(pattern)}, 1) AS INT)"
+    stated = f"regexp_extract({low}, {quote(pattern)}, 1)"
     estimate = "CASE " + " ".join(f"WHEN contains({low}, {quote(w)}) THEN {n}" for w, n in approx.items()) + " END"
     signal = (
-        "named_struct('complaint_count', coalesce(s.stated, s.estimate), 'confidence', "
-        "CASE WHEN s.stated IS NOT NULL THEN 0.9e0 WHEN s.estimate IS NOT NULL THEN 0.4e0 ELSE 0e0 END)"
+        "named_struct('complaint_count', if(s.stated <> '', try_cast(s.stated AS BIGINT), s.estimate), 'confidence', "
+        "CASE WHEN try_cast(s.stated AS BIGINT) IS NOT NULL THEN 0.9e0 WHEN s.stated <> '' THEN 0e0 "
+        "WHEN s.estimate IS NOT NULL THEN 0.4e0 ELSE 0e0 END, 'unreadable', s.stated <> '' AND try_cast(s.stated AS BIGINT) IS NULL)"
     )
-    return let("s", f"named_struct('stated', {stated}, 'estimate', {estimate})", signal)
+    return let("s", f"named_struct('stated', coalesce({stated}, ''), 'estimate', {estimate})", signal)
 
 
 def _occurrences(low: str, keyword: str, negations, width: int) -> str:

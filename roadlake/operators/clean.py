@@ -32,30 +32,22 @@ def with_keys(df: DataFrame, keys) -> DataFrame:
 def latest_per_key(df: DataFrame, keys, order=LATEST, null_keys: bool = False) -> DataFrame:
     """One row per key, the newest one. NULL keys are dropped, or count as a key with ``null_keys``.
 
-    Where the order has no column outside the key, a hash of the row decides between copies, so
-    that the survivor does not depend on how the rows are spread.
+    Where the order leaves a tie, such as a corrected redelivery with the time of the first one, the other
+    columns decide, larger values first and NULL last, so that the survivor does not depend on how the rows are
+    spread. Call it on cleaned rows: then a refresh gives the same survivor as a rebuild.
     """
-    deciding = newest_first([c for c in order if c not in keys]) or [F.xxhash64(*df.columns)]
+    named = [c for c in order if c not in keys]
+    deciding = newest_first([*named, *(c for c in df.columns if c not in named and c not in keys)])
     return first_per_key(df if null_keys else with_keys(df, keys), keys, deciding)
 
 
-def exact_mean(column: str, scale: int = 4) -> Column:
-    """Mean whose value does not depend on the order of the rows: the sum runs on decimals.
-
-    A value no sensor gives (NaN, infinite, or of more than 14 digits before the point) counts as unknown
-    instead of failing the job.
-    """
-    value = F.col(column).try_cast(f"decimal(18,{scale})")
-    return F.sum(value).cast("double") / F.count(value)
-
-
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
 
 
 def fill_mean(df: DataFrame, column: str) -> DataFrame:
     """Replace NULL by the mean over the table, taken as a scalar subquery."""
-    mean = df.select(exact_mean(column)).scalar()
+    mean = df.select(F.avg(column)).scalar()
     return df.withColumn(column, F.coalesce(F.col(column), mean))
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlake import rules
-from roadlake.operators.clean import exact_mean, fill_constants
+from roadlake.operators.clean import fill_constants
 from roadlake.session import materialize
 
 
@@ -18,7 +18,7 @@ def road_features(reports: DataFrame) -> DataFrame:
 
 def traffic_features(traffic: DataFrame) -> DataFrame:
     return traffic.groupBy("district").agg(
-        exact_mean("average_speed_kmh").alias("avg_speed"),
+        F.avg("average_speed_kmh").alias("avg_speed"),
         F.avg("vehicle_count").alias("avg_vehicle_count"),
         F.count("congestion_level").alias("traffic_event_count"),
     )
@@ -27,9 +27,9 @@ def traffic_features(traffic: DataFrame) -> DataFrame:
 def weather_features(weather: DataFrame) -> DataFrame:
     """Mean measures of each district and the condition of its newest record."""
     return weather.groupBy("district").agg(
-        exact_mean("rainfall_mm").alias("rainfall_mm"),
-        exact_mean("temperature_c").alias("temperature_c"),
-        exact_mean("humidity").alias("humidity"),
+        F.avg("rainfall_mm").alias("rainfall_mm"),
+        F.avg("temperature_c").alias("temperature_c"),
+        F.avg("humidity").alias("humidity"),
         F.max_by("condition", F.struct("event_time", "event_id")).alias("weather_condition"),
     )
 

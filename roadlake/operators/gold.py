@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake import rules
-from roadlake.operators.clean import exact_mean, first_per_key
+from roadlake.operators.clean import first_per_key
 from roadlake.session import materialize
 
 ROAD = ["road_name", "district"]
@@ -34,7 +34,7 @@ def road_severity(reports: DataFrame) -> DataFrame:
 
 
 def district_rainfall(weather: DataFrame) -> DataFrame:
-    return weather.groupBy("district").agg(exact_mean("rainfall_mm").alias("rainfall"))
+    return weather.groupBy("district").agg(F.avg("rainfall_mm").alias("rainfall"))
 
 
 def road_traffic(traffic: DataFrame, divisor: float = rules.TRAFFIC_DIVISOR) -> DataFrame:
@@ -47,7 +47,7 @@ def road_accidents(accidents: DataFrame) -> DataFrame:
 
 def district_news(news: DataFrame) -> DataFrame:
     return news.groupBy("district").agg(
-        F.count("*").alias("news_count"), exact_mean("sentiment_score").alias("sentiment")
+        F.count("*").alias("news_count"), F.avg("sentiment_score").alias("sentiment")
     )
 
 

@@ -33,7 +33,7 @@ def metrics(df: DataFrame, layer: str, name: str, keys, ranges: dict | None = No
     """One row of table quality.
 
     A row is bad when a key is NULL, when a newer row has the same key, or when a measure is out
-    of range; ``quality_score`` is the share of good rows (1.0 for an empty table). Copies of a
+    of range (of copies with one time, if one of them is); ``quality_score`` is the share of good rows (1.0 for an empty table). Copies of a
     key are folded into one partial result per map task, so a key with many copies stays cheap.
     """
     out_of_range = F.lit(False)
@@ -45,7 +45,7 @@ def metrics(df: DataFrame, layer: str, name: str, keys, ranges: dict | None = No
     per_key = (
         df.select(*keys, *[c for c in order if c not in keys], no_key.alias("_no_key"), out_of_range.alias("_out"))
         .groupBy(*keys, "_no_key")
-        .agg(F.count("*").alias("n"), F.max_by("_out", F.struct(*order)).alias("newest_out"))
+        .agg(F.count("*").alias("n"), F.max(F.struct(*order, "_out"))["_out"].alias("newest_out"))
     )
     good = F.when(~F.col("_no_key") & ~F.col("newest_out"), 1).otherwise(0)
     total = F.coalesce(F.sum("n"), F.lit(0))

@@ -1,6 +1,6 @@
 """Queries behind a dashboard."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake import rules
@@ -104,12 +104,11 @@ def latest_health(history: DataFrame, batch: str = "batch_time") -> DataFrame:
 
 def top_priority(scores: DataFrame, n: int = 10, batch: str = "batch_time") -> DataFrame:
     """The ``n`` most urgent reports of the newest batch."""
-    newest = scores.select(F.max(batch)).scalar()
-    return (
-        scores.filter(F.col(batch) == newest)
-        .orderBy(F.desc_nulls_last("priority_score"), F.asc("report_id"))
-        .limit(n)
-    )
+    order = [F.desc_nulls_last(batch), F.desc_nulls_last("priority_score"), F.asc("report_id")]
+    # the first n by batch hold the n most urgent of the newest batch: one pass, and one task sees n rows
+    first = scores.filter(F.col(batch).isNotNull()).orderBy(*order).limit(n)
+    newest = F.max(batch).over(Window.partitionBy(F.lit(1)))
+    return first.withColumn("_newest", newest).filter(F.col(batch) == F.col("_newest")).drop("_newest").orderBy(*order)
 
 
 def confidence_label(column: str = "confidence") -> Column:
@@ -119,11 +118,14 @@ def confidence_label(column: str = "confidence") -> Column:
     return F.coalesce(percent, F.lit("-"))
 
 
-def join_images(urls: str = "urls", most: int = 5) -> Column:
-    """Comma-joined list; more than ``most`` images are refused."""
-    return F.when(F.size(urls) <= most, F.concat_ws(",", urls)).otherwise(
-        F.raise_error(F.lit(f"a report takes at most {most} images"))
-    )
+def too_many_images(urls: str = "urls", most: int = rules.MOST_IMAGES) -> Column:
+    """True for a report that is refused: route it to the rejects."""
+    return F.coalesce(F.size(urls) > most, F.lit(False))
+
+
+def join_images(urls: str = "urls") -> Column:
+    """Comma-joined list of all images."""
+    return F.concat_ws(",", urls)
 
 
 def first_image(path: str = "image_path", base: str = "") -> Column:

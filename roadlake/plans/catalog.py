@@ -17,6 +17,7 @@ from roadlake.streaming import jobs
 
 QUERIES = {}
 TODAY = "1996-03-13"
+FEATURE_MEANS = ("avg_speed", "rainfall_mm", "temperature_c", "humidity")
 
 
 def query(function):
@@ -35,6 +36,11 @@ def plain(df: DataFrame, *drop: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(types[t]) for c, t in df.dtypes if t in types})
 
 
+def settled(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of doubles to six places: their last digits depend on the order in which they were added."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 def raw(spark: SparkSession, folder: str, feed: str) -> DataFrame:
     return view(spark, folder, f"{feed}_raw")
 
@@ -157,6 +163,24 @@ def silver_incremental(spark, folder):
     return plain(silver.refresh_batch("reports", known, reports.filter(later)), "description", "image_path")
 
 
+def _redelivered(spark, folder):
+    return view(spark, folder, "weather_redelivered")
+
+
+@query
+def silver_redelivered(spark, folder):
+    """Corrected copies with the time of the first delivery, and events without an id."""
+    return plain(silver.clean_batch("weather", _redelivered(spark, folder)))
+
+
+@query
+def silver_redelivered_refresh(spark, folder):
+    """The same in two steps: what came first is cleaned and then refreshed."""
+    rows = _redelivered(spark, folder)
+    known = silver.clean_batch("weather", rows.filter("delivery = 1"))
+    return plain(silver.refresh_batch("weather", known, rows.filter("delivery = 2")))
+
+
 @query
 def enriched_reports(spark, folder):
     return plain(enriched(spark, folder, "reports"), "processed_timestamp")
@@ -164,7 +188,7 @@ def enriched_reports(spark, folder):
 
 @query
 def enriched_weather(spark, folder):
-    return plain(enriched(spark, folder, "weather"), "processed_timestamp")
+    return settled(plain(enriched(spark, folder, "weather"), "processed_timestamp"), "temperature_c")
 
 
 @query
@@ -193,7 +217,7 @@ def impute_strategy(spark, folder):
 def impute_weather(spark, folder):
     """Default fill of the weather feed: constants, and the mean temperature."""
     rows = clean.fill_gaps(raw(spark, folder, "weather"), "weather")
-    return rows.select("event_id", "rainfall_mm", "temperature_c", "humidity")
+    return settled(rows.select("event_id", "rainfall_mm", "temperature_c", "humidity"), "temperature_c")
 
 
 # categories and places
@@ -271,7 +295,7 @@ def road_severity(spark, folder):
 
 @query
 def district_rainfall(spark, folder):
-    return gold.district_rainfall(batch(spark, folder, "weather"))
+    return settled(gold.district_rainfall(batch(spark, folder, "weather")), "rainfall")
 
 
 @query
@@ -286,7 +310,7 @@ def road_accidents(spark, folder):
 
 @query
 def district_news(spark, folder):
-    return gold.district_news(batch(spark, folder, "news"))
+    return settled(gold.district_news(batch(spark, folder, "news")), "sentiment")
 
 
 # scores
@@ -295,7 +319,7 @@ def district_news(spark, folder):
 @query
 def road_health_index(spark, folder):
     feeds = [batch(spark, folder, feed) for feed in ("reports", "weather", "traffic")]
-    return plain(gold.road_health_index(*feeds, as_of=as_of()), "batch_time")
+    return settled(plain(gold.road_health_index(*feeds, as_of=as_of()), "batch_time"), "rainfall", "road_health_index")
 
 
 @query
@@ -319,7 +343,8 @@ def damage_risk(spark, folder):
 def accident_prediction(spark, folder):
     feeds = [batch(spark, folder, feed) for feed in ("reports", "weather", "traffic")]
     health = gold.road_health_index(*feeds, as_of=as_of())
-    return plain(gold.accident_prediction(health, as_of()), "batch_time", "prediction_date")
+    scores = plain(gold.accident_prediction(health, as_of()), "batch_time", "prediction_date")
+    return settled(scores, "predicted_accident_probability")
 
 
 @query
@@ -362,7 +387,7 @@ def publishable(spark, folder):
     )
     complete, rejected = gold.split_complete(health, schemas.REQUIRED["road_health_index"])
     rows = complete.withColumn("accepted", F.lit(True)).unionByName(rejected.withColumn("accepted", F.lit(False)))
-    return rows.select("road_name", "district", "road_health_index", "accepted")
+    return settled(rows.select("road_name", "district", "road_health_index", "accepted"), "road_health_index")
 
 
 @query
@@ -583,7 +608,7 @@ def _accident_features(spark, folder):
 
 @query
 def accident_features(spark, folder):
-    return plain(_accident_features(spark, folder))
+    return settled(plain(_accident_features(spark, folder)), *FEATURE_MEANS)
 
 
 @query
@@ -634,6 +659,34 @@ def stream_bronze(spark, folder):
     ))
 
 
+@query
+def stream_feeds(spark, folder):
+    """All five feeds and the daily rain, streamed at once; rows per table. Daily rain travels on the weather topic."""
+    root = scratch_path(spark, "stream-feeds")
+    sources = {feed: _messages(spark, folder, feed) for feed in schemas.WIRE}
+    rain = stream_view(spark, folder, "rain_lines").select("key", "value")
+    sources["weather"] = sources["weather"].unionByName(rain)
+    jobs.finish(jobs.start_all(sources, root))
+    counts = [
+        spark.read.parquet(f"{root}/raw/{feed}").agg(F.lit(feed).alias("feed"), F.count("*").alias("n"))
+        for feed in [*schemas.WIRE, "rain"]
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def stream_dedup_odd_times(spark, folder):
+    """Every seventh message has no readable time, the others are decades old; each event stays once."""
+    root = scratch_path(spark, "stream-odd")
+    rows = stream_view(spark, folder, "traffic_raw")
+    odd = F.when(F.crc32(F.col("event_id").cast("binary")) % 7 == 0, "yesterday")
+    timed = rows.withColumn("event_time", F.coalesce(odd, F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")))
+    parsed = jobs.valid_rows(jobs.parse(events.to_envelope(timed, "event_id"), "traffic", as_of()))
+    copies = parsed.unionByName(parsed)
+    jobs.finish([jobs.start_append(jobs.dedup(copies, ["event_id"]), f"{root}/traffic", f"{root}/checkpoint")])
+    return spark.read.parquet(f"{root}/traffic").select("event_id", "vehicle_count")
+
+
 @query
 def stream_dead_letter(spark, folder):
     """Messages cut short, here those of days without a condition, become dead letters."""
@@ -661,7 +714,7 @@ def _scored(spark, folder, score, name):
     root = scratch_path(spark, name)
     rows = _live(spark, folder, "reports")
     jobs.finish([jobs.start_scores(rows, score, jobs.dual_sink(f"{root}/scores", as_of=as_of()), f"{root}/checkpoint")])
-    return plain(spark.read.parquet(f"{root}/scores"), "batch_id", "batch_time")
+    return plain(spark.read.parquet(f"{root}/scores"), "query", "batch_id", "batch_time")
 
 
 @query
@@ -679,7 +732,7 @@ def stream_district_health(spark, folder):
     root = scratch_path(spark, "stream-health")
     rows = _live(spark, folder, "reports")
     jobs.finish([jobs.start_district_health(rows, f"{root}/health", f"{root}/checkpoint")])
-    return spark.read.parquet(f"{root}/health").drop("batch_id", "batch_time")
+    return spark.read.parquet(events.versions(spark, f"{root}/health")[-1]).drop("batch_id", "batch_time")
 
 
 @query
@@ -689,9 +742,9 @@ def stream_accident_enrich(spark, folder):
     rows = _live(spark, folder, "accidents")
     rows = rows.withColumn("district", standardize.clean_name("district"))
 
-    def context():
-        feeds = [batch(spark, folder, feed) for feed in ("reports", "traffic", "weather")]
-        return materialize(features.district_context(*feeds), "district-context")
-
-    jobs.finish([jobs.start_accident_enrichment(rows, context, f"{root}/accidents", f"{root}/checkpoint", as_of())])
-    return plain(spark.read.parquet(f"{root}/accidents"), "batch_id", "batch_time")
+    feeds = [batch(spark, folder, feed) for feed in ("reports", "traffic", "weather")]
+    context = features.district_context(*feeds)
+    events.write_version(context, f"{root}/context")
+    jobs.finish([jobs.start_accident_enrichment(
+        rows, lambda: events.read_snapshot(spark, f"{root}/context", context.schema), f"{root}/accidents", f"{root}/checkpoint", as_of())])
+    return settled(plain(spark.read.parquet(f"{root}/accidents"), "query", "batch_id", "batch_time"), *FEATURE_MEANS)

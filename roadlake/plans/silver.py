@@ -34,10 +34,10 @@ def clean_batch(feed: str, raw: DataFrame) -> DataFrame:
     """Drop rows without a key or, for reports, without a place on earth; keep the newest row per key."""
     if feed == "reports":
         raw = raw.filter(geo.inside("latitude", "longitude", rules.WORLD_BOX))
-    rows = clean.latest_per_key(raw, BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST))
-    names = {c: standardize.clean_name(c) for c in _NAMES if c in rows.columns}
-    trimmed = {c: F.trim(c) for c in _TRIMMED if c in rows.columns}
-    return schemas.conform(rows.withColumns({**names, **trimmed}), schemas.EVENT[feed])
+    names = {c: standardize.clean_name(c) for c in _NAMES if c in raw.columns}
+    trimmed = {c: F.trim(c) for c in _TRIMMED if c in raw.columns}
+    rows = schemas.conform(raw.withColumns({**names, **trimmed}), schemas.EVENT[feed])
+    return clean.latest_per_key(rows, BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST))
 
 
 def refresh_batch(feed: str, clean_rows: DataFrame, new_raw: DataFrame) -> DataFrame:

@@ -235,3 +235,6 @@ NEGATION_WORDS = ("tidak", "belum", "bukan", "tanpa")
 NEGATION_WINDOW = 15
 LOCAL_WINDOW = 80
 ARTICLES_PER_QUERY = 15
+
+# A report takes so many images at most.
+MOST_IMAGES = 5

@@ -34,6 +34,7 @@ def _struct(columns: str) -> StructType:
     return StructType([StructField(name, _TYPES[dtype]) for name, dtype in pairs])
 
 
+# Columns and types of the messages, the daily rain records and the run log.
 WIRE = {
     "reports": _struct(
         "event_id string, event_time string, report_id string, road_name string, district string, "
@@ -51,7 +52,7 @@ WIRE = {
     "news": _struct(
         "event_id string, event_time string, source string, city string, district string, title string, "
         "sentiment_score double, keyword string, road_name string, damage_type string, "
-        "severity_level string, severity_score int, complaint_count int, road_confidence double"
+        "severity_level string, severity_score int, complaint_count bigint, road_confidence double"
     ),
     "accidents": _struct(
         "event_id string, event_time string, accident_id string, road_name string, district string, "
@@ -79,7 +80,7 @@ RUN_LOG = _struct(
     "record_processed bigint, error_message string, checkpoint_path string"
 )
 
-# Serving tables refuse NULL in these columns.
+# Serving tables refuse NULL in these columns.
 REQUIRED = {
     "road_health_index": (
         "road_name", "district", "severity", "rainfall", "traffic", "road_age_score",

@@ -11,6 +11,8 @@ from roadlake.operators import clean
 CORRUPT = "_corrupt_record"
 ISO_SECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 KEYS = rules.MESSAGE_KEYS
+#: A message names its event by one of these.
+IDS = ("event_id", "report_id", "accident_id")
 
 
 def topic_options(feed: str, servers: str) -> dict[str, str]:
@@ -27,15 +29,20 @@ def read_events(spark: SparkSession, fmt: str = "kafka", **options: str) -> Data
 def parse_envelope(messages: DataFrame, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
     """The JSON object in ``value`` as columns; unknown fields are dropped, unfit values become NULL.
 
-    With ``keep_corrupt`` the text of a message that does not fit is kept in ``_corrupt_record``.
+    With ``keep_corrupt`` the text of a message that does not fit, or names no event, is kept in
+    ``_corrupt_record`` (empty for a message without a value).
     """
-    options = {}
-    if keep_corrupt:
-        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(F.col("value").cast("string"), schema, options)
-    # inline keeps later filters above the parser, which then runs once per message
-    return messages.select(F.inline(F.array(parsed)))
+    if not keep_corrupt:
+        # inline keeps later filters above the parser, which then runs once per message
+        return messages.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema))))
+    names = schema.fieldNames()
+    schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = F.col("value").cast("string")
+    parsed = messages.select(text.alias("_text"), F.inline(F.array(F.from_json(text, schema, options))))
+    no_id = F.coalesce(*[F.col(c) for c in IDS if c in names]).isNull()
+    broken = F.when(no_id, F.coalesce(CORRUPT, "_text", F.lit(""))).otherwise(F.col(CORRUPT))
+    return parsed.withColumn(CORRUPT, broken).drop("_text")
 
 
 def to_envelope(df: DataFrame, key: str) -> DataFrame:
@@ -67,17 +74,25 @@ def with_lineage(raw: DataFrame, feed: str, as_of: Column | None = None) -> Data
 
 
 def partition_columns(feed: str) -> list[str]:
-    return ["valid", "date_partition"] if feed == "traffic" else ["valid", "date_partition", "district_partition"]
+    """By day only: district names are free text, and a folder for each would hold a few rows."""
+    return ["valid", "date_partition"]
 
 
 def route_weather(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(weather events, daily rain): two kinds of record share a topic, told apart by their key field."""
-    kind = F.get_json_object(F.col("value").cast("string"), "$.event_id").isNotNull()
-    day = F.get_json_object(F.col("value").cast("string"), "$.date").isNotNull()
-    return (
-        parse_envelope(messages.filter(kind), schemas.WIRE["weather"]),
-        parse_envelope(messages.filter(~kind & day), schemas.RAIN_DAY),
-    )
+    event = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    return parse_envelope(messages.filter(event.isNotNull()), schemas.WIRE["weather"]), rain_days(messages)
+
+
+def is_rain() -> Column:
+    """A message of the weather topic that names a day instead of an event."""
+    text = F.col("value").cast("string")
+    event, day = F.get_json_object(text, "$.event_id"), F.get_json_object(text, "$.date")
+    return F.coalesce(event.isNull() & day.isNotNull(), F.lit(False))
+
+
+def rain_days(messages: DataFrame) -> DataFrame:
+    return parse_envelope(messages.filter(is_rain()), schemas.RAIN_DAY)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -115,6 +130,39 @@ def write_snapshot(df: DataFrame, path: str, by=None) -> None:
     writer.partitionBy(*by).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The finished versions of a snapshot, oldest first."""
+    files, place = _files(spark, path)
+    if not files.exists(place):
+        return []
+    found = sorted(s.getPath().toString() for s in files.listStatus(place) if s.getPath().getName().startswith("version="))
+    return [v for v in found if files.exists(_files(spark, f"{v}/_SUCCESS")[1])]
+
+
+def write_version(df: DataFrame, path: str, keep: int = 2) -> None:
+    """Store ``df`` as the newest version of a snapshot. Readers keep the one before until this one is finished, and
+    a failed job leaves it; versions older than the ``keep`` newest are deleted."""
+    spark = df.sparkSession
+    known = versions(spark, path)
+    number = int(known[-1].rsplit("=", 1)[1]) + 1 if known else 0
+    df.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+    for old in versions(spark, path)[:-keep]:
+        files, place = _files(spark, old)
+        files.delete(place, True)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The newest finished version of a snapshot, or an empty table where there is none."""
+    known = versions(spark, path)
+    return spark.read.schema(schema).parquet(known[-1]) if known else spark.createDataFrame([], schema)
+
+
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], batch_id: int | None = None, keys=()) -> None:
     """Append to a serving table; a failure is raised.
 

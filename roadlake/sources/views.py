@@ -75,10 +75,22 @@ SELECT 'N'||(event_id % 4000) AS event_id, ts AS event_time, 'src'||(user_id % 1
     ELSE NULL END AS severity_level,
   CASE CAST(event_id % 6 AS INT) WHEN 0 THEN 90 WHEN 1 THEN 70 WHEN 2 THEN 45 WHEN 3 THEN 20
     ELSE NULL END AS severity_score,
-  CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 60 AS INT) END AS complaint_count,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 60 AS BIGINT) END AS complaint_count,
   (event_id % 11)/1e1 AS road_confidence,
   CASE CAST(event_id % 3 AS INT) WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE 'neutral' END AS sentiment
 FROM {{events}}""",
+    # a second delivery of every third event, corrected but with the same time; some events without an id
+    "weather_redelivered": f"""
+SELECT CASE WHEN event_id % 17 = 0 THEN NULL ELSE 'W'||event_id END AS event_id, ts AS event_time, 'Surabaya' AS city,
+  {_district("user_id")} AS district, value AS rainfall_mm, 2e1 AS temperature_c, 5e-1 AS humidity, event_type AS condition, 1 AS delivery
+FROM {{events}} UNION ALL
+SELECT CASE WHEN event_id % 17 = 0 THEN NULL ELSE 'W'||event_id END, ts, 'Surabaya', {_district("user_id")},
+  CASE WHEN event_id % 9 = 0 THEN NULL ELSE value + (event_id % 5 - 2) END, 2e1, 5e-1, CASE WHEN event_id % 6 = 0 THEN event_type ELSE ' hail ' END, 2
+FROM {{events}} WHERE event_id % 3 = 0""",
+    "rain_lines": """
+SELECT CAST(o_orderkey AS STRING) AS key,
+  '{{"date": "2020-01-01", "precipitation_sum": '||o_orderkey||', "rain_sum": 1.5, "precipitation_hours": 2.0}}' AS value
+FROM {orders} WHERE o_orderkey % 4 = 0""",
     "detections": """
 SELECT 'R'||l_orderkey AS report_id, l_linenumber AS image_no, l_partkey * 100000 + l_suppkey AS box_no,
   CAST(l_partkey % 7 AS INT) AS class_id, l_discount * 10 AS confidence

@@ -1,6 +1,8 @@
 """Structured Streaming jobs: raw ingest, dead letters, deduplication, live scores, enrichment."""
 
 from collections.abc import Callable
+from hashlib import md5
+from time import monotonic
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,47 +47,70 @@ def start_append(df: DataFrame, path: str, checkpoint: str, by=(), trigger=None)
 
 
 def start_bronze(messages: DataFrame, feed: str, root: str, as_of: Column | None = None, trigger=None) -> StreamingQuery:
-    """The raw table of one feed. Dead letters go to its partition ``valid=false``, so each message is parsed once."""
+    """The raw table of one feed. Dead letters go to its partition ``valid=false``, so each message is parsed once.
+
+    The rows of a micro-batch are gathered by day, so a day gets one file per batch. Daily rain, which
+    shares the weather topic, has a table of its own (``start_rain``).
+    """
+    if feed == "weather":
+        messages = messages.filter(~events.is_rain())
     rows = events.with_lineage(parse(messages, feed, as_of), feed, as_of)
     by = events.partition_columns(feed)
-    return start_append(rows, f"{root}/raw/{feed}", f"{root}/checkpoints/raw/{feed}", by, trigger)
+    return start_append(rows.repartition(*by), f"{root}/raw/{feed}", f"{root}/checkpoints/raw/{feed}", by, trigger)
+
+
+def start_rain(messages: DataFrame, root: str, as_of: Column | None = None, trigger=None) -> StreamingQuery:
+    """The raw table of the daily rain records on the weather topic."""
+    arrival = F.current_timestamp() if as_of is None else as_of
+    rows = events.rain_days(messages).withColumn("ingestion_timestamp", arrival)
+    return start_append(rows, f"{root}/raw/rain", f"{root}/checkpoints/raw/rain", trigger=trigger)
 
 
 def start_all(sources: dict[str, DataFrame], root: str, trigger=None) -> list[StreamingQuery]:
     """All raw tables at once, each with its own checkpoint."""
-    return [start_bronze(messages, feed, root, trigger=trigger) for feed, messages in sources.items()]
+    started = [start_bronze(messages, feed, root, trigger=trigger) for feed, messages in sources.items()]
+    if "weather" in sources:
+        started.append(start_rain(sources["weather"], root, trigger=trigger))
+    return started
 
 
 def finish(queries: list[StreamingQuery], timeout: int | None = None) -> None:
-    """Wait for all queries; a failed one raises, one that exceeds ``timeout`` seconds is stopped."""
-    for query in queries:
-        done = query.awaitTermination(timeout) if timeout else query.awaitTermination() or True
-        if not done:
+    """Wait for all queries. The first failure of any of them stops the others and is raised, even while endless
+    ones run; one that exceeds ``timeout`` seconds is stopped."""
+    end = None if timeout is None else monotonic() + timeout
+    running = list(queries)
+    try:
+        while running:
+            running = [query for query in running if not query.awaitTermination(1)]
+            if running and end is not None and monotonic() > end:
+                raise TimeoutError(f"stream {running[0].name or running[0].id} did not finish in {timeout} s")
+    except Exception:
+        for query in queries:
             query.stop()
-            raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout} s")
+        raise
 
 
-def dedup(rows: DataFrame, keys, lateness: str = "1 day", time: str = "event_time") -> DataFrame:
-    """First arrival of each key; copies may be apart, and rows late, by up to ``lateness``.
+def dedup(rows: DataFrame, keys, lateness: str = "1 day") -> DataFrame:
+    """First arrival of each key among copies that arrive up to ``lateness`` apart.
 
-    Copies are cut per input partition before they meet, so a key with many copies is spread over
-    the cluster first.
+    The watermark follows the arrival, which only grows: a backfill of old events, or an event
+    with a wrong time, loses nothing. The state holds the keys that came within ``lateness``.
     """
-    spread = rows.withWatermark(time, lateness).withColumn("_part", F.spark_partition_id())
-    return spread.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part").dropDuplicatesWithinWatermark(keys)
+    arrived = rows.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", lateness)
+    return arrived.dropDuplicatesWithinWatermark(keys).drop("_arrival")
 
 
 def dual_sink(path: str, serve: Callable[[DataFrame, int], None] | None = None,
               as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: batch files under the batch's own folder, then the serving table.
+    """A batch function: files under the folder of the query and the batch, then the serving table.
 
-    A repeated batch replaces its folder; ``serve`` gets the batch id to be as repeatable, e.g.
+    A repeated batch replaces its folder, whatever the day; a second query has its own; ``serve`` gets the batch id to be as repeatable, e.g.
     ``lambda df, n: events.write_jdbc(df, table, options, n, keys=["report_id"])``.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, query: str = "one") -> None:
         stamped = batch.withColumn("batch_time", F.current_timestamp() if as_of is None else as_of)
-        folder = f"{path}/batch_id={batch_id}"
+        folder = f"{path}/query={query}/batch_id={batch_id}"
         stamped.write.mode("overwrite").parquet(folder)
         if serve:
             serve(batch.sparkSession.read.schema(stamped.schema).parquet(folder), batch_id)
@@ -94,30 +119,42 @@ def dual_sink(path: str, serve: Callable[[DataFrame, int], None] | None = None,
 
 
 def regional_sink(path: str, as_of: Column | None = None, region=rules.REGION) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: files by batch, date and region of the batch time."""
+    """A batch function: files by query and batch, below that by date and region of the batch time. A repeated
+    batch replaces its whole folder, also after midnight."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, query: str = "one") -> None:
         stamped = batch.withColumn("batch_time", F.current_timestamp() if as_of is None else as_of)
-        parts = clean.add_region_parts(stamped, region).withColumn("batch_id", F.lit(batch_id))
-        by = ["batch_id", "year", "month", "day", *region]
-        events.write_snapshot(parts, path, by)
+        by = ["year", "month", "day", *region]
+        writer = clean.add_region_parts(stamped, region).hint("rebalance", *by).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").partitionBy(*by).parquet(f"{path}/query={query}/batch_id={batch_id}")
 
     return write
 
 
+def named(checkpoint: str) -> str:
+    """A name for the query that owns a checkpoint."""
+    return md5(checkpoint.encode()).hexdigest()[:12]
+
+
+def per_batch(sink: Callable, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that tells the sink which query writes."""
+    query = named(checkpoint)
+    return lambda batch, batch_id: sink(batch, batch_id, query)
+
+
 def start_scores(reports: DataFrame, score: Callable[[DataFrame], DataFrame], sink, checkpoint: str,
                  trigger=None) -> StreamingQuery:
     """A stateless score (``gold.simple_priority``, ``gold.damage_records``) of a report stream."""
-    writer = score(reports).writeStream.outputMode("append").foreachBatch(sink)
+    writer = score(reports).writeStream.outputMode("append").foreachBatch(per_batch(sink, checkpoint))
     return _start(writer.option("checkpointLocation", checkpoint), trigger or {"availableNow": True})
 
 
 def start_district_health(reports: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
-    """District health of all reports so far; each batch replaces the stored snapshot."""
+    """District health of all reports so far; each batch adds a version of the snapshot (``events.read_snapshot``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         snapshot = batch.withColumns({"batch_id": F.lit(batch_id), "batch_time": F.current_timestamp()})
-        events.write_snapshot(snapshot, path)
+        events.write_version(snapshot, path)
 
     writer = gold.district_health(reports).writeStream.outputMode("complete").foreachBatch(write)
     return _start(writer.option("checkpointLocation", checkpoint), trigger or {"availableNow": True})
@@ -127,12 +164,13 @@ def start_accident_enrichment(accidents: DataFrame, context: Callable[[], DataFr
                               as_of: Column | None = None, trigger=None) -> StreamingQuery:
     """Accident stream with district features.
 
-    ``context()`` gives the features from the clean tables; it is asked anew for every batch.
+    ``context()`` gives the newest stored features (``district_context``, made by the batch run); it is asked
+    anew for every batch and should only read.
     """
     sink = dual_sink(path, as_of=as_of)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(features.enrich(batch, context()), batch_id)
+        sink(features.enrich(batch, context()), batch_id, named(checkpoint))
 
     writer = accidents.writeStream.outputMode("append").foreachBatch(write)
     return _start(writer.option("checkpointLocation", checkpoint), trigger or {"availableNow": True})

@@ -87,10 +87,11 @@ def test_district(frame):
 
 
 def test_complaints(frame):
-    df = frame("x string", "15 orang dan 20 warga", "7laporan", "puluhan warga", "banyak dan ratusan", "12 rumah", "99999999999 warga, beberapa")
-    assert values(df.select(F.expr(T.complaints("x")).alias("c")).select("c.*")) == [
-        (15, 0.9), (7, 0.9), (30, 0.4), (150, 0.4), (None, 0.0), (5, 0.4),
+    df = frame("x string", "15 orang dan 20 warga", "7laporan", "puluhan warga", "banyak dan ratusan", "12 rumah", "99999999999 warga, beberapa", "9" * 30 + " warga, beberapa")
+    assert values(df.select(F.expr(T.complaints("x")).alias("c")).select("c.complaint_count", "c.confidence")) == [
+        (15, 0.9), (7, 0.9), (30, 0.4), (150, 0.4), (None, 0.0), (99999999999, 0.9), (None, 0.0),
     ]
+    assert values(df.select(F.expr(T.complaints("x")).alias("c")).filter("c.unreadable"), "c.complaint_count") == [(None,)]
 
 
 def test_primary_road_is_first_on_ties(extract, frame):

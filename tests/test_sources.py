@@ -27,7 +27,7 @@ def test_parse_drops_unknown_fields_and_keeps_corrupt_text(frame):
     )
     parsed = events.parse_envelope(messages, schemas.WIRE["traffic"], keep_corrupt=True)
     assert values(parsed, "event_id", "vehicle_count", events.CORRUPT) == [
-        ("t1", 7, None), ("t2", None, '{"event_id": "t2", "vehicle_count": "many"}'), (None, None, "{oops"), (None, None, None),
+        ("t1", 7, None), ("t2", None, '{"event_id": "t2", "vehicle_count": "many"}'), (None, None, "{oops"), (None, None, ""),
     ]
     assert events.CORRUPT not in schemas.WIRE["traffic"].names
     silent = events.parse_envelope(messages, schemas.WIRE["traffic"])
