@@ -105,12 +105,19 @@ def split(rows: DataFrame, sizes: DataFrame, group: str, most: int) -> DataFrame
 
 
 def canopies(signatures: np.ndarray) -> list[tuple[int, int]]:
-    """Links (a, b) among rows: stars around one row after the other, as the module says."""
+    """Links (a, b) among rows: stars around one row after the other, as the module says. Links between rows that are
+    connected already are left out, so there are fewer links than rows."""
     links, open_rows = [], np.arange(len(signatures))
+    group = np.arange(len(signatures))
     while len(open_rows) > 1:
         pivot, rest = open_rows[0], open_rows[1:]
         same = (signatures[rest] == signatures[pivot]).mean(1)
-        links += [(pivot, b) for b in rest[same >= LINKED].tolist()]
+        near = rest[same >= LINKED]
+        others, first = np.unique(group[near], return_index=True)
+        foreign = others != group[pivot]
+        links += [(pivot, b) for b in near[first[foreign]].tolist()]
+        if foreign.any():
+            group[np.isin(group, others)] = group[pivot]
         open_rows = rest[same < DONE]
     return links
 
