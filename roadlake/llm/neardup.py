@@ -230,10 +230,11 @@ def join(
     nodes = sketches.select("key", F.explode("prefixes").alias("node")).distinct()
     crowded = nodes.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     met = split(nodes, crowded, "node", NODE_ROWS)
-    clusters = components(candidate_links(met.join(classes, "key"))).withColumnRenamed("node", "key")
+    clusters = components(candidate_links(met.join(classes.hint("merge"), "key"))).withColumnRenamed("node", "key")
     members = materialize(clusters.join(counts, "key"), "clusters")
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
-    texts = plain.select("id", "hash", "text").join(members.select("key", "root", "copies", "example.*"), ["id", "hash"])
+    # always shuffled: which side is small depends on the corpus, and members grow with it
+    texts = plain.select("id", "hash", "text").join(members.select("key", "root", "copies", "example.*").hint("merge"), ["id", "hash"])
     groups = split(shingle_sets(texts, k), sizes, "root", CLUSTER_ROWS)
     checked = materialize(verified(groups, threshold), "checked")
     linked = checked.groupBy("key").agg(F.sum("links").alias("links"))
