@@ -11,7 +11,8 @@ windows). Records with equal anchors meet in one task, sorted, and are read as a
 
 Texts are known by a 64-bit hash and their size. Equal texts of one batch send their records once; what happens to
 further copies of a text is decided by its count and least id, not by records. Only counts, positions
-and hashes are shuffled by anchor; no task collects an anchor's records.
+and hashes are shuffled by anchor; no task collects an anchor's records. Anchors with more than CROWD different
+records are not looked at in one task: their windows are hashed (128 bits) and counted one by one.
 
 Columns: id (the least id of the text in the batch; null ids come last), hash, size, start and end
 (first and last window of the record), place (anchor), tokens (hash of the record).
@@ -20,6 +21,7 @@ Columns: id (the least id of the text in the batch; null ids come last), hash, s
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ from roadlake.llm.hashing import BYTE, Powers, U, words
 LAST = (1 << 63) - 1
 #: Bits of a place within a slice, below the bits of a gram's hash.
 PLACE = 28
+#: Records of an anchor that are compared in one task; the windows of larger groups are compared one by one.
+CROWD = 10_000
 RECORD = "place long, tokens long, id long, hash long, size int, start int, end int"
 
 
@@ -167,18 +171,21 @@ def sifted(found: DataFrame, everywhere: bool) -> DataFrame:
 
 
 def contents(rows: DataFrame, closer: DataFrame, cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]]) -> DataFrame:
-    """(place, id, hash, size, start, content) of records, their tokens taken from the texts by ``cut``."""
-    wanted = closer.groupBy("id", "hash", "size").agg(F.collect_list(F.struct("place", "start", "end")).alias("own"))
+    """(place, id, hash, size, start, crowded, content) of records, their tokens taken from the texts by ``cut``.
+    Crowded are the records of an anchor that has more than CROWD of them."""
+    crowds = closer.groupBy("place").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD)
+    flagged = closer.join(crowds, "place", "left").withColumn("crowded", F.col("n").isNotNull())
+    wanted = flagged.groupBy("id", "hash", "size").agg(F.collect_list(F.struct("place", "start", "end", "crowded")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["place", "id", "hash", "size", "start", "content"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = ["place", "id", "hash", "size", "start", "crowded", "content"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for row in batch.to_pylist():
                 parts = cut(row["text"].encode(), [(r["start"], r["end"]) for r in row["own"]])
                 for record, part in zip(row["own"], parts):
-                    for column, value in zip(out, (record["place"], row["id"], row["hash"], row["size"], record["start"], part)):
+                    for column, value in zip(out, (record["place"], row["id"], row["hash"], row["size"], record["start"], record["crowded"], part)):
                         column.append(value)
                 if len(out[0]) >= 10_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
@@ -186,7 +193,31 @@ def contents(rows: DataFrame, closer: DataFrame, cut: Callable[[bytes, list[tupl
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     texts = rows.select("id", "hash", "size", "text").join(wanted, ["id", "hash", "size"])
-    return texts.mapInArrow(run, "place long, id long, hash long, size int, start int, content binary")
+    return texts.mapInArrow(run, "place long, id long, hash long, size int, start int, crowded boolean, content binary")
+
+
+def window_by_window(records: DataFrame, windows: Callable[[bytes], list[bytes]], everywhere: bool) -> DataFrame:
+    """(hash, size, start, end): repeated windows of crowded records, each window on its own.
+
+    Equal windows are folded before they are shuffled, so an anchor that a third of all texts share stays spread.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["window", "id", "hash", "size", "start"]
+        for batch in batches:
+            parts = [windows(content) for content in batch.column("content").to_pylist()]
+            counts = np.array([len(p) for p in parts])
+            own = np.repeat(np.arange(len(parts)), counts)
+            starts = batch.column("start").to_numpy()[own] + np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+            keys = pa.array([blake2b(w, digest_size=16).digest() for p in parts for w in p], pa.binary())
+            taken = [batch.column(c).take(pa.array(own)) for c in ("id", "hash", "size")]
+            yield pa.RecordBatch.from_arrays([keys, *taken, pa.array(starts.astype(np.int32))], names)
+
+    found = records.mapInArrow(run, "window binary, id long, hash long, size int, start int").distinct()
+    place = F.struct("id", "hash", "start")
+    firsts = found.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
+    met = found.join(firsts, "window")
+    return (met if everywhere else met.filter(place != F.col("first"))).select("hash", "size", "start", F.col("start").alias("end"))
 
 
 def with_spans(rows: DataFrame, repeated: DataFrame) -> DataFrame:

@@ -84,6 +84,14 @@ def cut(width: int):
     return parts
 
 
+def windows(width: int):
+    def parts(content: bytes) -> list[bytes]:
+        words = content.split(b" ")
+        return [b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
+
+    return parts
+
+
 def parsed(records: DataFrame, width: int) -> DataFrame:
     """(hash, size, start, end): runs of windows in records that earlier records with the same anchor hold."""
 
@@ -134,9 +142,10 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     """(doc_id, n_words, n_removed, kept): for each row the words that stay, joined by single blanks."""
     rows = anchors.plain(docs, text, key)
     sifted = materialize(anchors.sifted(anchors.records(rows, anchors.word_tokens, width, gram), everywhere=False), "records")
-    closer = anchors.contents(rows, sifted.filter("closer"), cut(width))
+    closer = materialize(anchors.contents(rows, sifted.filter("closer"), cut(width)), "contents")
     whole = sifted.filter("not closer").select("hash", "size", "start", "end")
-    repeated = whole.unionByName(parsed(closer, width))
+    repeated = whole.unionByName(parsed(closer.filter("not crowded"), width))
+    repeated = repeated.unionByName(anchors.window_by_window(closer.filter("crowded"), windows(width), everywhere=False))
     return removed(anchors.with_spans(rows, repeated), width)
 
 

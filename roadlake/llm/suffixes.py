@@ -122,6 +122,13 @@ def cut(width: int):
     return parts
 
 
+def windows(width: int):
+    def parts(content: bytes) -> list[bytes]:
+        return [content[i : i + width] for i in range(len(content) - width + 1)]
+
+    return parts
+
+
 def removed(rows: DataFrame, width: int, keep_first: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,9 +166,11 @@ def dedup(
     rows = anchors.plain(docs, text, key)
     found = anchors.records(rows, anchors.byte_tokens, width, gram)
     sifted = materialize(anchors.sifted(found, everywhere=not keep_first), "records")
-    closer = anchors.contents(rows, sifted.filter("closer"), cut(width))
+    closer = materialize(anchors.contents(rows, sifted.filter("closer"), cut(width)), "contents")
     whole = sifted.filter("not closer").select("hash", "size", "start", "end")
-    return removed(anchors.with_spans(rows, whole.unionByName(repeated(closer, width, keep_first))), width, keep_first)
+    spans = whole.unionByName(repeated(closer.filter("not crowded"), width, keep_first))
+    spans = spans.unionByName(anchors.window_by_window(closer.filter("crowded"), windows(width), everywhere=not keep_first))
+    return removed(anchors.with_spans(rows, spans), width, keep_first)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,15 +62,17 @@ def corpus(seed, letters, sizes):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_words_that_started_before_go(frame, seed):
+@pytest.mark.parametrize("seed, crowd", [(1, 10_000), (2, 10_000), (3, 2)])
+def test_words_that_started_before_go(frame, monkeypatch, seed, crowd):
+    monkeypatch.setattr(anchors, "CROWD", crowd)  # 2: window by window
     rows = corpus(seed, [f"w{i}" for i in range(40)], (3, 10, 25, 60))
     found = substrings.dedup(frame("doc_id long, text string", *rows))
     assert sorted(values(found)) == sorted(brute_words(rows, 20))
 
 
-@pytest.mark.parametrize("seed, keep_first", [(4, False), (5, False), (6, True)])
-def test_bytes_that_start_elsewhere_go(frame, monkeypatch, seed, keep_first):
+@pytest.mark.parametrize("seed, keep_first, crowd", [(4, False, 10_000), (5, False, 2), (6, True, 10_000), (7, True, 2)])
+def test_bytes_that_start_elsewhere_go(frame, monkeypatch, seed, keep_first, crowd):
+    monkeypatch.setattr(anchors, "CROWD", crowd)
     monkeypatch.setattr(suffixes, "LOT", 1 << 12)
     rows = corpus(seed, ["a", "bé", "c", "dd"], (5, 20, 50))
     found = suffixes.dedup(frame("doc_id long, text string", *rows), width=40, gram=8, keep_first=keep_first)
