@@ -23,8 +23,8 @@ def _mean(x):
 
 
 def _settled(source, *columns):
-    """Means of doubles to six places, as in the compared queries."""
-    return f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in columns)}) FROM {source}"
+    """Means of doubles to ten places, as in the compared queries."""
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, 10) AS {c}' for c in columns)}) FROM {source}"
 
 
 _FEATURE_MEANS = ("avg_speed", "rainfall_mm", "temperature_c", "humidity")
@@ -174,9 +174,10 @@ step("weather", f"SELECT event_id, event_time, {_initcap('city')} AS city, {_ini
 step("traffic", f"SELECT event_id, event_time, {_initcap('road_name')} AS road_name, {_initcap('district')} AS district, "
      f"average_speed_kmh, trim(congestion_level) AS congestion_level, vehicle_count "
      f"FROM ({_newest('traffic', ['event_id'], ['event_time'])})", "traffic_raw")
-step("news", f"SELECT event_id, event_time, trim(source) AS source, {_initcap('city')} AS city, {_initcap('district')} AS district, "
-     f"title, sentiment_score, keyword, {_initcap('road_name')} AS road_name, damage_type, severity_level, severity_score, "
-     f"complaint_count, road_confidence FROM ({_newest('news', ['event_id'], ['event_time', 'title'])})", "news_raw")
+step("news", f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id, road_name ORDER BY event_time DESC NULLS LAST, title DESC NULLS LAST) AS rn
+     FROM (SELECT event_id, event_time, trim(source) AS source, {_initcap('city')} AS city, {_initcap('district')} AS district,
+     title, sentiment_score, keyword, {_initcap('road_name')} AS road_name, damage_type, severity_level, severity_score,
+     complaint_count, road_confidence, sentiment FROM news_raw WHERE event_id IS NOT NULL)) WHERE rn = 1""", "news_raw")
 step("accidents", f"SELECT event_id, event_time, accident_id, {_initcap('road_name')} AS road_name, {_initcap('district')} AS district, "
      f"latitude, longitude, severity, vehicle_count, casualties "
      f"FROM ({_newest('accidents', ['event_id'], ['event_time'])})", "accidents_raw")
@@ -310,6 +311,11 @@ _DATE_PARTS = "CAST(year(event_time) AS INT) AS year, CAST(month(event_time) AS
 _REPORTS_OUT = "SELECT * FROM reports"
 _ISO = "strftime(event_time, '%Y-%m-%d')"
 
+_SUMMARY = """SELECT road_name, district, count(*) AS news_count, count(*) FILTER (sentiment = 'negative') AS negative_count,
+        count(*) FILTER (sentiment = 'positive') AS positive_count, CAST(coalesce(sum(complaint_count), 0) AS BIGINT) AS total_complaints,
+        max(event_time) AS latest_news, avg(CASE severity_level WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END) AS avg_severity_score,
+        mode(damage_type ORDER BY damage_type) AS dominant_damage_type FROM {} WHERE road_name IS NOT NULL GROUP BY road_name, district"""
+
 # equal times: the larger values of the cleaned columns win, from left to right, NULL last
 _REDELIVERED = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_time DESC NULLS LAST, city DESC NULLS LAST,
   district DESC NULLS LAST, rainfall_mm DESC NULLS LAST, temperature_c DESC NULLS LAST, humidity DESC NULLS LAST, condition DESC NULLS LAST) AS rn
@@ -358,7 +364,7 @@ ORACLES = {
                         "reports_raw"),
     "impute_weather": (
         f"""SELECT event_id, coalesce(rainfall_mm, 0e0) AS rainfall_mm, coalesce(humidity, 0.5e0) AS humidity,
-        round(coalesce(temperature_c, (SELECT {_mean('temperature_c')} FROM weather_raw)), 6) AS temperature_c FROM weather_raw""", "weather_raw"),
+        round(coalesce(temperature_c, (SELECT {_mean('temperature_c')} FROM weather_raw)), 10) AS temperature_c FROM weather_raw""", "weather_raw"),
     "std_district": (f"SELECT event_id, {_std_district('district')} AS district FROM reports_raw", "reports_raw"),
     "std_damage": (f"SELECT event_id, {_std_damage('damage_type')} AS damage_type FROM reports_raw", "reports_raw"),
     "std_severity": (
@@ -377,6 +383,37 @@ ORACLES = {
         """SELECT event_id, coalesce(latitude BETWEEN -7.5 AND -7.0 AND longitude BETWEEN 112.5 AND 113.0, FALSE) AS in_city,
         coalesce(latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180, FALSE) AS on_earth FROM reports_raw""", "reports_raw"),
     "map_ready": ("SELECT event_id, latitude, longitude FROM reports_raw WHERE latitude <> 0 AND longitude <> 0", "reports_raw"),
+    "refresh_reports": (_REPORTS_OUT, "reports"),
+    "refresh_weather": ("SELECT * FROM weather", "weather"),
+    "refresh_traffic": ("SELECT * FROM traffic", "traffic"),
+    "refresh_news": ("SELECT * FROM news", "news"),
+    "refresh_accidents": ("SELECT * FROM accidents", "accidents"),
+    "run_log_of_batch": (
+        " UNION ALL ".join(
+            f"SELECT '{layer}_{f}' AS job_name, '{layer}' AS layer, 'success' AS status, count(*) AS record_processed FROM {mark}{f}"
+            for layer, mark in (("silver", ""), ("enriched", "e_")) for f in ("reports", "weather", "traffic", "news", "accidents"))
+        + " UNION ALL SELECT 'silver_rain', 'silver', 'success', count(*) FROM rolled",
+        "reports", "weather", "traffic", "news", "accidents", "e_reports", "e_weather", "e_traffic", "e_news", "e_accidents", "rolled"),
+    "run_news_summary": (_SUMMARY.format("news"), "news"),
+    "run_rain": ("SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM rolled", "rolled"),
+    "run_accident_features": (_settled("accident_rows", *_FEATURE_MEANS), "accident_rows"),
+    "sql_functions": (f"SELECT event_id, {_std_district('district')} AS district, {_std_damage('damage_type')} AS damage_type FROM reports_raw", "reports_raw"),
+    "district_reports": (
+        "SELECT p.district, p.latitude, coalesce(n, 0) AS reports FROM (VALUES "
+        + ", ".join(f"({_q(n)}, CAST({lat} AS DOUBLE))" for n, (lat, _) in rules.DISTRICT_CENTROIDS.items())
+        + f") p(district, latitude) LEFT JOIN (SELECT {_std_district('district')} AS district, count(*) AS n FROM reports_raw GROUP BY 1) c ON p.district = c.district",
+        "reports_raw"),
+    "stored_messages": ("SELECT event_id, road_name, vehicle_count FROM traffic_raw", "traffic_raw"),
+    "scores_without_weather": (
+        """SELECT s.road_name, s.district, 0e0 AS rainfall, round(100e0 - severity*0.4e0 - coalesce(traffic, 0e0)*0.2e0, 10) AS road_health_index
+        FROM road_severity s LEFT JOIN road_traffic t ON s.road_name = t.road_name AND s.district = t.district""", "road_severity", "road_traffic"),
+    "sure_mentions": (
+        """SELECT left(sha256(url), 16) AS event_id, nullif(road_name, 'UNKNOWN') AS road_name, coalesce(confidence, 0e0) AS road_confidence
+        FROM articles x JOIN art USING (article_no) LEFT JOIN mentions m USING (article_no) WHERE confidence >= 0.5 OR x.mentions = 0""",
+        "articles", "art", "mentions"),
+    "snake_case_lineitem": (
+        "SELECT lineOrderKey AS line_order_key, LineNumber AS line_number, quantityABCTotal AS quantity_abc_total FROM camel_lines", "camel_lines"),
+    "saved_model": ("SELECT district, count(*) AS accidents, 0 AS differ FROM accident_rows GROUP BY district", "accident_rows"),
     "road_severity": ("SELECT * FROM road_severity", "road_severity"),
     "district_rainfall": (_settled("district_rainfall", "rainfall"), "district_rainfall"),
     "road_traffic": ("SELECT * FROM road_traffic", "road_traffic"),
@@ -397,7 +434,7 @@ ORACLES = {
         """SELECT report_id, road_name, district, severity_score, CASE WHEN severity_score > 80 THEN 'High Risk' WHEN severity_score >= 50 THEN 'Medium Risk'
         ELSE 'Low Risk' END AS predicted_risk_level FROM reports""", "reports"),
     "accident_prediction": (
-        """SELECT road_name, district, round(p, 6) AS predicted_accident_probability, CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.6 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level FROM (
+        """SELECT road_name, district, round(p, 10) AS predicted_accident_probability, CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.6 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level FROM (
         SELECT road_name, district, CASE WHEN raw > 1 THEN 1e0 ELSE raw END AS p FROM (
         SELECT *, 0.05e0 + rainfall*0.01e0 + traffic*0.0001e0 + (100e0 - road_health_index)*0.005e0 AS raw FROM rhi))""", "rhi"),
     "hotspots": (
@@ -412,7 +449,7 @@ ORACLES = {
         FROM photo_reports p LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY confidence DESC, image_no, box_no) AS rn FROM classified) b
         ON p.report_id = b.report_id AND rn = 1""", "photo_reports", "classified"),
     "publishable": (
-        "SELECT road_name, district, round(road_health_index, 6) AS road_health_index, road_name IS NOT NULL AND district IS NOT NULL AND severity IS NOT NULL AS accepted FROM rhi", "rhi"),
+        "SELECT road_name, district, round(road_health_index, 10) AS road_health_index, road_name IS NOT NULL AND district IS NOT NULL AND severity IS NOT NULL AS accepted FROM rhi", "rhi"),
     "sequential_ids": ("SELECT event_id, printf('R%03d', row_number() OVER (ORDER BY event_time, event_id)) AS report_id FROM reports", "reports"),
     "stats": (
         """SELECT count(*) AS total_reports, count(*) FILTER (CAST(event_time AS DATE) = DATE '1996-03-13') AS today_reports,
@@ -466,11 +503,7 @@ ORACLES = {
     "news_mark_seen": ("SELECT * FROM ledger UNION SELECT left(sha256(url), 16), url FROM news_articles", "ledger", "news_articles"),
     "news_topn": ("SELECT search, place FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY place) AS rn FROM feed_entries) WHERE rn <= 15",
                   "feed_entries"),
-    "news_summary": (
-        """SELECT road_name, district, count(*) AS news_count, count(*) FILTER (sentiment = 'negative') AS negative_count,
-        count(*) FILTER (sentiment = 'positive') AS positive_count, CAST(coalesce(sum(complaint_count), 0) AS BIGINT) AS total_complaints,
-        max(event_time) AS latest_news, avg(CASE severity_level WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END) AS avg_severity_score,
-        mode(damage_type ORDER BY damage_type) AS dominant_damage_type FROM news_raw WHERE road_name IS NOT NULL GROUP BY road_name, district""", "news_raw"),
+    "news_summary": (_SUMMARY.format("news_raw"), "news_raw"),
     "feed_dates": ("SELECT entry_no, CASE WHEN kind IS NOT NULL AND kind <> 'not a date' THEN published END AS published_at FROM feed_dates", "feed_dates"),
     "range_violations": (
         " UNION ALL ".join(f"SELECT '{f}' AS feed, event_id, {_violations(f)} AS violations FROM {f}_raw" for f in _RANGES),
@@ -478,7 +511,7 @@ ORACLES = {
     "quality_metrics": (
         " UNION ALL ".join([
             _metrics("reports", ["report_id"], ["event_time", "event_id"]), _metrics("weather", ["event_id"], ["event_time"]),
-            _metrics("traffic", ["event_id"], ["event_time"]), _metrics("news", ["event_id"], ["event_time", "title"]),
+            _metrics("traffic", ["event_id"], ["event_time"]), _metrics("news", ["event_id", "road_name"], ["event_time", "title"]),
             _metrics("accidents", ["event_id"], ["event_time"])]),
         "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw"),
     "run_log": ("SELECT 'clean_traffic' AS job_name, 'silver' AS layer, 'success' AS status, count(*) AS record_processed FROM traffic", "traffic"),
@@ -504,6 +537,10 @@ ORACLES = {
 }
 
 
+ORACLES["run_priority_score"] = ORACLES["priority_score"]
+ORACLES["run_quality"] = ORACLES["quality_metrics"]
+
+
 def _ordered(names, seen):
     for name in names:
         if name in seen:

@@ -66,13 +66,13 @@ def district(low: str, names=rules.NEWS_DISTRICTS) -> str:
     return f"CASE {steps} END"
 
 
-def damage(low: str, banks=rules.DAMAGE_KEYWORDS) -> str:
+def damage(low: str, banks=rules.DAMAGE_KEYWORDS, sure=rules.DAMAGE_CONFIDENCE) -> str:
     """struct(damage_type, confidence): the type with most keywords, the first one on ties."""
     hits = f"array({', '.join(_hits(low, words) for words in banks.values())})"
     best = (
         "named_struct("
         f"'damage_type', if(array_max(hits) > 0, get({_list(banks)}, int(array_position(hits, array_max(hits)) - 1)), NULL), "
-        "'confidence', if(array_max(hits) > 0, least(1e0, 0.4e0 + 0.2e0 * array_max(hits)), 0e0))"
+        f"'confidence', if(array_max(hits) > 0, least(1e0, {sure[0]}e0 + {sure[1]}e0 * array_max(hits)), 0e0))"
     )
     return let("hits", hits, best)
 
@@ -84,19 +84,19 @@ def _severity(level: str, score: str, confidence: str) -> str:
     )
 
 
-def severity(low: str, banks=rules.SEVERITY_KEYWORDS, weak=rules.WEAK_SEVERITY) -> str:
+def severity(low: str, banks=rules.SEVERITY_KEYWORDS, weak=rules.WEAK_SEVERITY, sure=rules.SEVERITY_CONFIDENCE) -> str:
     """struct(severity_level, severity_score, confidence): the worst level with a keyword."""
     weak_level, weak_score, weak_confidence, weak_words = weak
     hits = f"array({', '.join(_hits(low, words) for _, words in banks.values())})"
     steps = " ".join(
-        f"WHEN get(hits, {i}) > 0 THEN {_severity(quote(level), score, f'least(1e0, 0.5e0 + 0.25e0 * get(hits, {i}))')}"
+        f"WHEN get(hits, {i}) > 0 THEN {_severity(quote(level), score, f'least(1e0, {sure[0]}e0 + {sure[1]}e0 * get(hits, {i}))')}"
         for i, (level, (score, _)) in enumerate(banks.items())
     )
     weak_case = f"WHEN {_hits(low, weak_words)} > 0 THEN {_severity(quote(weak_level), weak_score, weak_confidence)}"
     return let("hits", hits, f"CASE {steps} {weak_case} ELSE {_severity('NULL', 'NULL', '0')} END")
 
 
-def complaints(low: str, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APPROX) -> str:
+def complaints(low: str, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APPROX, sure=rules.COMPLAINT_CONFIDENCE) -> str:
     """struct(complaint_count, confidence, unreadable): a stated number, else an estimate from a quantity word.
 
     A stated number that no BIGINT holds gives no count, and ``unreadable`` says so.
@@ -106,8 +106,8 @@ def complaints(low: str, nouns=rules.COMPLAINT_NOUNS, approx=rules.COMPLAINT_APP
     estimate = "CASE " + " ".join(f"WHEN contains({low}, {quote(w)}) THEN {n}" for w, n in approx.items()) + " END"
     signal = (
         "named_struct('complaint_count', if(s.stated <> '', try_cast(s.stated AS BIGINT), s.estimate), 'confidence', "
-        "CASE WHEN try_cast(s.stated AS BIGINT) IS NOT NULL THEN 0.9e0 WHEN s.stated <> '' THEN 0e0 "
-        "WHEN s.estimate IS NOT NULL THEN 0.4e0 ELSE 0e0 END, 'unreadable', s.stated <> '' AND try_cast(s.stated AS BIGINT) IS NULL)"
+        f"CASE WHEN try_cast(s.stated AS BIGINT) IS NOT NULL THEN {sure['stated']}e0 WHEN s.stated <> '' THEN 0e0 "
+        f"WHEN s.estimate IS NOT NULL THEN {sure['estimate']}e0 ELSE 0e0 END, 'unreadable', s.stated <> '' AND try_cast(s.stated AS BIGINT) IS NULL)"
     )
     return let("s", f"named_struct('stated', coalesce({stated}, ''), 'estimate', {estimate})", signal)
 
@@ -124,7 +124,7 @@ def _occurrences(low: str, keyword: str, negations, width: int) -> str:
 
 
 def sentiment(low: str, positive=rules.POSITIVE_KEYWORDS, negative=rules.NEGATIVE_KEYWORDS,
-              negations=rules.NEGATION_WORDS, width: int = rules.NEGATION_WINDOW) -> str:
+              negations=rules.NEGATION_WORDS, width: int = rules.NEGATION_WINDOW, neutral: float = rules.NEUTRAL) -> str:
     """struct(sentiment, sentiment_score) from keyword counts.
 
     A negated positive keyword counts as negative, a negated negative one as half a positive.
@@ -141,7 +141,7 @@ def sentiment(low: str, positive=rules.POSITIVE_KEYWORDS, negative=rules.NEGATIV
     )
     net = "if(s.good + s.bad > 0, (s.good - s.bad) / (s.good + s.bad), 0e0)"
     label = (
-        "named_struct('sentiment', CASE WHEN net > 0.15e0 THEN 'positive' WHEN net < -0.15e0 THEN 'negative' "
+        f"named_struct('sentiment', CASE WHEN net > {neutral}e0 THEN 'positive' WHEN net < -{neutral}e0 THEN 'negative' "
         "ELSE 'neutral' END, 'sentiment_score', round(net, 2))"
     )
     counted = f"named_struct('positive', {total(positive)}, 'negative', {total(negative)})"

@@ -179,7 +179,7 @@ def accident_prediction(health: DataFrame, as_of: Column | None = None, model=ru
     )
 
 
-def hotspots(reports: DataFrame, as_of: Column | None = None) -> DataFrame:
+def hotspots(reports: DataFrame, as_of: Column | None = None, weights=rules.HOTSPOT_WEIGHTS) -> DataFrame:
     roads = reports.groupBy("road_name").agg(
         F.count("*").alias("report_count"), F.avg("severity_score").alias("avg_severity")
     )
@@ -188,7 +188,7 @@ def hotspots(reports: DataFrame, as_of: Column | None = None) -> DataFrame:
         "road_name",
         "report_count",
         "avg_severity",
-        (F.col("report_count") * 5.0 + F.col("avg_severity") * 0.5).alias("hotspot_score"),
+        (F.col("report_count") * weights["report_count"] + F.col("avg_severity") * weights["avg_severity"]).alias("hotspot_score"),
         (F.current_timestamp() if as_of is None else as_of).alias("batch_time"),
     )
 

@@ -56,7 +56,7 @@ def _road_mention(text: str, road: str, district: str) -> str:
     """Signals from the text around a road name; its confidence is the mean of those found."""
     damage, severity = "s.damage.confidence", "s.severity.confidence"
     mean = f"({damage} + {severity}) / (int({damage} > 0) + int({severity} > 0))"
-    confidence = f"if({damage} + {severity} > 0, {mean}, 0.2e0)"
+    confidence = f"if({damage} + {severity} > 0, {mean}, {rules.ROAD_CONFIDENCE}e0)"
     row = _mention(road, f"coalesce(s.district, {district})", confidence)
     return T.let("near", f"lower({T.around(text, road)})", T.let("s", _signals("near"), row))
 
@@ -137,10 +137,10 @@ def messages(extracted: DataFrame, min_confidence: float = 0.0, city: str = rule
     )
 
 
-def road_summary(news: DataFrame, published: str = "event_time") -> DataFrame:
+def road_summary(news: DataFrame, published: str = "event_time", levels=rules.NEWS_LEVELS) -> DataFrame:
     """News per road and district: tone, complaints, severity and the commonest damage type."""
     level = F.lit(0)
-    for rank, name in enumerate(("low", "medium", "high", "critical"), start=1):
+    for rank, name in enumerate(levels, start=1):
         level = F.when(F.col("severity_level") == name, rank).otherwise(level)
     return (
         news.filter(F.col("road_name").isNotNull())

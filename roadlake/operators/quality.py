@@ -22,7 +22,11 @@ def check_ranges(df: DataFrame, ranges: dict) -> DataFrame:
 
 
 def row_score(ranges: dict) -> Column:
-    """Share of the range rules a row meets; an unknown value meets none."""
+    """Share of the range rules a row meets; an unknown value meets none.
+
+    This is completeness and range in one figure. ``breaks`` and ``metrics`` ask a different question, whether a
+    known value is wrong, so an unknown one counts as good there.
+    """
     met = F.lit(0)
     for column, bounds in ranges.items():
         met = met + F.coalesce(F.col(column).between(*bounds), F.lit(False)).cast("int")

@@ -1,22 +1,28 @@
 """One named query per operator over the test tables: ``QUERIES[name](spark, folder)``."""
 
+import functools
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from roadlake import rules, schemas
 from roadlake.functions import geo, standardize
+from roadlake.functions import sql as sql_names
 from roadlake.operators import clean, features, gold, ids, ml, news, quality, rainfall, serving
 from roadlake.plans import gold as gold_plan
 from roadlake.plans import silver
-from roadlake.session import materialize, scratch_path
+from roadlake.session import local_table, materialize, scratch_path
 from roadlake.sources import events
 from roadlake.sources.views import stream_view, view
 from roadlake.streaming import jobs
 
 QUERIES = {}
 TODAY = "1996-03-13"
+# fields that articles carry and the view does not
+UNSEEN_NEWS = ("url", "published_at", "scraped_at", "extraction_confidence")
 FEATURE_MEANS = ("avg_speed", "rainfall_mm", "temperature_c", "humidity")
 
 
@@ -37,8 +43,8 @@ def plain(df: DataFrame, *drop: str) -> DataFrame:
 
 
 def settled(df: DataFrame, *columns: str) -> DataFrame:
-    """Means of doubles to six places: their last digits depend on the order in which they were added."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    """Means of doubles to ten places: their last digits depend on the order in which they were added."""
+    return df.withColumns({c: F.round(c, 10) for c in columns})
 
 
 def raw(spark: SparkSession, folder: str, feed: str) -> DataFrame:
@@ -146,7 +152,7 @@ def silver_traffic(spark, folder):
 
 @query
 def silver_news(spark, folder):
-    return plain(batch(spark, folder, "news"))
+    return plain(batch(spark, folder, "news"), *UNSEEN_NEWS)
 
 
 @query
@@ -285,6 +291,173 @@ def map_ready(spark, folder):
     return rows.select("event_id", "latitude", "longitude")
 
 
+# a whole batch run, read back from its stored tables
+
+
+def _store_raw(spark, folder, root, feed, part=None, arrival="2024-01-01 00:00:00"):
+    """Rows of a feed as its raw table, or the half of them whose event falls on ``part``."""
+    rows = raw(spark, folder, feed)
+    if part is not None:
+        rows = rows.filter(F.coalesce(F.crc32(F.col("event_id").cast("binary")) % 2, F.lit(0)) == part)
+    rows = schemas.conform(rows, schemas.EVENT[feed]).withColumns({
+        "valid": F.lit(True), "date_partition": F.date_format("event_time", "yyyy-MM-dd"),
+        "ingestion_timestamp": F.lit(arrival).cast("timestamp"),
+    })
+    rows.write.mode("append").parquet(f"{root}/raw/{feed}")
+
+
+@functools.cache
+def _stored_run(app: str, folder: str) -> str:
+    """The folder of one batch run over all feeds; the queries below read its tables."""
+    spark = SparkSession.active()
+    root = scratch_path(spark, "batch-run")
+    for feed in schemas.WIRE:
+        _store_raw(spark, folder, root, feed)
+    rain = view(spark, folder, "rain_daily").withColumn("ingestion_timestamp", as_of())
+    older = rain.withColumns({"precipitation_sum": F.lit(1e6), "ingestion_timestamp": F.lit("2020-01-01").cast("timestamp")})
+    schemas.conform(rain.unionByName(older), StructType([*schemas.RAIN_DAY, StructField("ingestion_timestamp", TimestampType())])
+                    ).write.parquet(f"{root}/raw/rain")
+    gold_plan.run(spark, root, as_of(), buckets=8)
+    return root
+
+
+def _run_table(spark, folder, name):
+    root = _stored_run(spark.sparkContext.applicationId, folder)
+    return spark.read.parquet(events.versions(spark, f"{root}/{name}")[-1])
+
+
+@query
+def run_log_of_batch(spark, folder):
+    """A log row for each job of the run, with the records it stored."""
+    root = _stored_run(spark.sparkContext.applicationId, folder)
+    log = spark.read.parquet(f"{root}/logs/run_log").filter(F.col("layer").isin("silver", "enriched"))
+    return log.select("job_name", "layer", "status", "record_processed")
+
+
+@query
+def run_news_summary(spark, folder):
+    return plain(_run_table(spark, folder, "gold/news_summary"))
+
+
+@query
+def run_priority_score(spark, folder):
+    return plain(_run_table(spark, folder, "gold/priority_score"), "batch_time")
+
+
+@query
+def run_rain(spark, folder):
+    """Every day came twice; the later arrival counts."""
+    return plain(_run_table(spark, folder, "silver/rain"), "rain_sum", "precipitation_hours")
+
+
+@query
+def run_quality(spark, folder):
+    return _run_table(spark, folder, "quality/metrics").filter("layer = 'bronze'")
+
+
+@query
+def run_accident_features(spark, folder):
+    return settled(plain(_run_table(spark, folder, "features/accidents")), *FEATURE_MEANS)
+
+
+def _refreshed(spark, folder, feed):
+    """Half of the events are there when the table is made, the others arrive later, on the same days."""
+    root = scratch_path(spark, f"refresh-{feed}")
+    _store_raw(spark, folder, root, feed, 0)
+    first = silver.clean_batch(feed, events.read_raw(spark, root, feed))
+    events.write_buckets(first, f"{root}/silver/{feed}", silver.BATCH_KEYS[feed], 8)
+    _store_raw(spark, folder, root, feed, 1, "2024-02-01 00:00:00")
+    gold_plan.refresh(spark, root, feed, F.lit("2024-02-01").cast("timestamp"), buckets=8)
+    return plain(events.read_buckets(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]))
+
+
+@query
+def refresh_reports(spark, folder):
+    return _refreshed(spark, folder, "reports").drop("description", "image_path")
+
+
+@query
+def refresh_weather(spark, folder):
+    return _refreshed(spark, folder, "weather")
+
+
+@query
+def refresh_traffic(spark, folder):
+    return _refreshed(spark, folder, "traffic")
+
+
+@query
+def refresh_news(spark, folder):
+    return _refreshed(spark, folder, "news").drop(*UNSEEN_NEWS)
+
+
+@query
+def refresh_accidents(spark, folder):
+    return _refreshed(spark, folder, "accidents").drop("accident_type")
+
+
+# sources, names and rules over the given tables
+
+
+@query
+def sql_functions(spark, folder):
+    """The SQL functions, registered and called by name."""
+    sql_names.register(spark)
+    raw(spark, folder, "reports").createOrReplaceTempView("reports_named")
+    return spark.sql("SELECT event_id, standardize_district(district) AS district, standardize_damage_type(damage_type) AS damage_type FROM reports_named")
+
+
+@query
+def district_reports(spark, folder):
+    """Reports per district of the fixed table, by the standard names; zero where there are none."""
+    counts = raw(spark, folder, "reports").groupBy(standardize.district("district").alias("district")).agg(F.count("*").alias("n"))
+    places = local_table(spark, district=list(rules.DISTRICT_CENTROIDS), latitude=[a for a, _ in rules.DISTRICT_CENTROIDS.values()])
+    return places.join(counts, "district", "left").select("district", "latitude", F.coalesce("n", F.lit(0)).alias("reports"))
+
+
+@query
+def stored_messages(spark, folder):
+    """Messages published to files and read back as a bounded source."""
+    path = scratch_path(spark, "messages")
+    events.publish(raw(spark, folder, "traffic"), "event_id", "parquet", path=path)
+    rows = events.parse_envelope(events.read_events(spark, "parquet", path=path), schemas.WIRE["traffic"])
+    return rows.select("event_id", "road_name", "vehicle_count")
+
+
+@query
+def scores_without_weather(spark, folder):
+    """The health index where the weather table does not exist: read as empty, so there is no rain."""
+    missing = events.read_or_empty(spark, f"{folder}/no-such-table", schemas.EVENT["weather"])
+    health = gold.road_health_index(batch(spark, folder, "reports"), missing, batch(spark, folder, "traffic"), as_of())
+    return settled(health.select("road_name", "district", "rainfall", "road_health_index"), "road_health_index")
+
+
+@query
+def sure_mentions(spark, folder):
+    """Messages of mentions from a least confidence on."""
+    dated = _extracted(spark, folder).withColumns({"published_at": F.lit(None).cast("timestamp"), "scraped_at": as_of()})
+    return news.messages(dated, 0.5).select("event_id", "road_name", "road_confidence")
+
+
+@query
+def snake_case_lineitem(spark, folder):
+    """Column names in camel case become snake case again."""
+    rows = view(spark, folder, "camel_lines")
+    return schemas.snake_case_columns(rows)
+
+
+@query
+def saved_model(spark, folder):
+    """A model that is stored, loaded and stored again scores alike: accidents whose two scores differ, by district."""
+    rows = materialize(ml.training_rows(_accident_features(spark, folder)), "training-rows")
+    path = scratch_path(spark, "accident-model")
+    ml.save(ml.train(ml.split(rows, "accident_id")[0]), path)
+    ml.save(PipelineModel.load(path), f"{path}-again")
+    first = ml.score(rows, path).select(*rows.columns, F.col("prediction").alias("first"))
+    both = ml.score(materialize(first, "first-scores"), f"{path}-again")
+    return both.groupBy("district").agg(F.count("*").alias("accidents"), F.count_if(F.col("first") != F.col("prediction")).alias("differ"))
+
+
 # aggregates
 
 

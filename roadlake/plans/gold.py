@@ -1,18 +1,29 @@
 """The batch run: raw tables to clean tables to score tables."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from roadlake import rules, schemas
-from roadlake.operators import gold, ml
+from roadlake.operators import clean, features, gold, ml, news, quality, rainfall
 from roadlake.plans import silver
 from roadlake.session import materialize
 from roadlake.sources import events
 
 FEEDS = tuple(schemas.EVENT)
+# what tells the rows of a serving table apart within a batch
+SERVING_KEYS = {
+    "road_health_index": ["road_name", "district"],
+    "priority_score": ["report_id"],
+    "damage_prediction": ["report_id"],
+    "accident_prediction": ["road_name", "district"],
+    "hotspot_analysis": ["road_id"],
+}
 
 
-def priority_from_raw(reports: DataFrame, traffic: DataFrame, accidents: DataFrame, news: DataFrame,
+def priority_from_raw(reports: DataFrame, traffic: DataFrame, accidents: DataFrame, articles: DataFrame,
                       as_of: Column | None = None) -> DataFrame:
     """Priority straight from raw feeds. The clean reports are stored, as two branches read them."""
     used = silver.clean_batch("reports", reports).select(
@@ -22,7 +33,7 @@ def priority_from_raw(reports: DataFrame, traffic: DataFrame, accidents: DataFra
         materialize(used, "clean-reports"),
         silver.clean_batch("traffic", traffic),
         silver.clean_batch("accidents", accidents),
-        silver.clean_batch("news", news),
+        silver.clean_batch("news", articles),
         as_of,
     )
 
@@ -45,43 +56,87 @@ def score_tables(tables: dict[str, DataFrame], as_of: Column | None = None) -> d
     }
 
 
-def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: dict[str, str] | None = None) -> None:
-    """One batch over the tables below ``root``: raw/<feed> to silver/<feed> to gold/<table>.
+def clean_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored clean tables."""
+    return {feed: events.read_buckets(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]) for feed in FEEDS}
+
+
+def stored(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+    return events.read_snapshot(spark, f"{root}/{name}", schema)
 
-    With ``serving`` (JDBC options) complete rows are published as well and the others are kept
-    under ``rejects``.
+
+def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: dict[str, str] | None = None,
+        batch_id: int | None = None, buckets: int = rules.BUCKETS) -> None:
+    """One batch over the tables below ``root``: raw/<feed> to silver, enriched, features, quality and gold.
+
+    Each job leaves a row in logs/run_log. With ``serving`` (JDBC options) complete rows are published as well,
+    under ``batch_id`` so that a repeated run adds nothing, and the others are kept under ``rejects``.
     """
+    now = F.current_timestamp() if as_of is None else as_of
+
+    def job(df: DataFrame, layer: str, name: str, write=None) -> DataFrame:
+        """Store a table as a logged job and give it back as stored."""
+        path = f"{root}/{layer}/{name}"
+        quality.run_logged(
+            df, f"{layer}_{name}", layer, write or (lambda rows: events.write_version(rows, path)),
+            lambda row: row.coalesce(1).write.mode("append").parquet(f"{root}/logs/run_log"),
+        )
+        return df if write else stored(spark, root, f"{layer}/{name}", df.schema)
+
+    raw = {feed: events.read_raw(spark, root, feed) for feed in FEEDS}
     for feed in FEEDS:
-        raw = events.read_raw(spark, root, feed)
-        events.write_snapshot(silver.clean_batch(feed, raw), f"{root}/silver/{feed}")
-    tables = {
-        feed: events.read_or_empty(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]) for feed in FEEDS
-    }
+        path, keys = f"{root}/silver/{feed}", silver.BATCH_KEYS[feed]
+        job(silver.clean_batch(feed, raw[feed]), "silver", feed, lambda rows, p=path, k=keys: events.write_buckets(rows, p, k, buckets))
+    refresh_rain(spark, root, job)
+    tables = clean_tables(spark, root)
+    full = {feed: job(silver.clean_enriched(feed, raw[feed], now), "enriched", feed) for feed in FEEDS}
+    context = job(features.district_context(full["reports"], full["traffic"], full["weather"]), "features", "district_context")
+    job(features.enrich(full["accidents"], context), "features", "accidents")
+    job(reduce(DataFrame.unionByName, [
+        quality.metrics(table[feed], layer, feed, silver.BATCH_KEYS[feed], rules.RANGE_RULES.get(feed), silver.ORDER.get(feed, clean.LATEST))
+        for layer, table in (("bronze", raw), ("silver", tables)) for feed in FEEDS
+    ]), "quality", "metrics")
+    job(news.road_summary(tables["news"]), "gold", "news_summary")
     for name, scores in score_tables(tables, as_of).items():
-        path = f"{root}/gold/{name}"
-        events.write_snapshot(scores, path)
+        table = job(scores, "gold", name)
         if serving:
-            stored = spark.read.schema(scores.schema).parquet(path)
-            complete, rejected = gold.split_complete(stored, schemas.REQUIRED[name])
-            events.write_jdbc(complete, name, serving)
-            events.write_snapshot(rejected, f"{root}/rejects/{name}")
+            complete, rejected = gold.split_complete(table, schemas.REQUIRED[name])
+            events.write_jdbc(complete, name, serving, batch_id, SERVING_KEYS[name])
+            events.write_version(rejected, f"{root}/rejects/{name}")
+
 
+def refresh_rain(spark: SparkSession, root: str, job) -> None:
+    """Daily rain: the last arrival of each day, rolling sums, merged into the stored table."""
+    arrived = StructType([*schemas.RAIN_DAY, StructField("ingestion_timestamp", TimestampType())])
+    days = events.read_or_empty(spark, f"{root}/raw/rain", arrived).filter("date IS NOT NULL")
+    rolled = rainfall.rolling(days, recency="ingestion_timestamp").drop("ingestion_timestamp")
+    known = stored(spark, root, "silver/rain", rolled.schema)
+    job(rainfall.upsert(known, rolled).drop("action").select(rolled.columns), "silver", "rain")
 
-def refresh_reports(spark: SparkSession, root: str, since: str) -> None:
-    """Bring silver/reports up to date from the raw partitions of ``since`` (yyyy-MM-dd) and later."""
-    raw = events.read_raw(spark, root, "reports", since)
-    known = events.read_or_empty(spark, f"{root}/silver/reports", schemas.EVENT["reports"])
-    merged = silver.refresh_batch("reports", known, raw)
-    # stored apart first: a table cannot be replaced while it is read
-    events.write_snapshot(materialize(merged, "refreshed-reports"), f"{root}/silver/reports")
+
+def refresh(spark: SparkSession, root: str, feed: str, arrived: Column, buckets: int = rules.BUCKETS) -> list[int]:
+    """Bring a clean table up to date with the raw rows that came in since ``arrived``, whatever their day.
+
+    Only the buckets of their keys are read and written; gives these buckets.
+    """
+    keys = silver.BATCH_KEYS[feed]
+    new = silver.clean_batch(feed, events.read_raw(spark, root, feed, arrived=arrived))
+    new = materialize(new.withColumn("bucket", events.bucket_of(keys, buckets)), "arrived")
+    touched = sorted(row.bucket for row in new.select("bucket").distinct().collect())  # at most ``buckets``
+    if touched:
+        path = f"{root}/silver/{feed}"
+        known = events.read_buckets(spark, path, schemas.EVENT[feed], touched)
+        events.write_buckets(silver.newest(feed, known.unionByName(new.drop("bucket"))), path, keys, buckets)
+    return touched
 
 
-def train_model(features: DataFrame, path: str, key: str = "accident_id", forest=rules.FOREST) -> DataFrame:
+def train_model(rows: DataFrame, path: str, key: str = "accident_id", forest=rules.FOREST) -> DataFrame:
     """Train on a hash split of the feature rows, save the model at ``path``, return its metrics.
 
     The test rows go through the saved model: a model fresh from training drags its session along.
     """
-    rows = materialize(ml.training_rows(features), "training-rows")
+    rows = materialize(ml.training_rows(rows), "training-rows")
     train, test = ml.split(rows, key)
     ml.save(ml.train(train, forest), path)
-    return ml.evaluate(ml.score(test, path))
+    scored = ml.score(test, path).select("label", "rawPrediction", "prediction")
+    return ml.evaluate(materialize(scored, "predictions"))  # three measures read them

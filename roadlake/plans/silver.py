@@ -12,10 +12,12 @@ BATCH_KEYS = {
     "reports": ["report_id"],
     "weather": ["event_id"],
     "traffic": ["event_id"],
-    "news": ["event_id"],
+    # all roads of an article share its event_id, so news needs the road in the key; an article may name none
+    "news": ["event_id", "road_name"],
     "accidents": ["event_id"],
 }
-# all roads of an article share its event_id, so news needs the road in the key
+# keys that may be NULL: an unknown road is one more road of its article
+OPTIONAL = {"news": ["road_name"]}
 ENRICHED_KEYS = {
     "reports": ["report_id", "event_time"],
     "weather": ["event_id", "event_time"],
@@ -37,13 +39,18 @@ def clean_batch(feed: str, raw: DataFrame) -> DataFrame:
     names = {c: standardize.clean_name(c) for c in _NAMES if c in raw.columns}
     trimmed = {c: F.trim(c) for c in _TRIMMED if c in raw.columns}
     rows = schemas.conform(raw.withColumns({**names, **trimmed}), schemas.EVENT[feed])
-    return clean.latest_per_key(rows, BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST))
+    return newest(feed, rows)
+
+
+def newest(feed: str, rows: DataFrame) -> DataFrame:
+    """One row per key of a feed, from clean rows."""
+    needed = [k for k in BATCH_KEYS[feed] if k not in OPTIONAL.get(feed, ())]
+    return clean.latest_per_key(clean.with_keys(rows, needed), BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST), null_keys=True)
 
 
 def refresh_batch(feed: str, clean_rows: DataFrame, new_raw: DataFrame) -> DataFrame:
     """Merge new raw rows into a clean table; equals cleaning everything from the start."""
-    merged = clean_rows.unionByName(clean_batch(feed, new_raw))
-    return clean.latest_per_key(merged, BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST))
+    return newest(feed, clean_rows.unionByName(clean_batch(feed, new_raw)))
 
 
 def clean_enriched(feed: str, raw: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -52,7 +52,8 @@ WIRE = {
     "news": _struct(
         "event_id string, event_time string, source string, city string, district string, title string, "
         "sentiment_score double, keyword string, road_name string, damage_type string, "
-        "severity_level string, severity_score int, complaint_count bigint, road_confidence double"
+        "severity_level string, severity_score int, complaint_count bigint, road_confidence double, "
+        "sentiment string, url string, published_at timestamp, scraped_at timestamp, extraction_confidence double"
     ),
     "accidents": _struct(
         "event_id string, event_time string, accident_id string, road_name string, district string, "

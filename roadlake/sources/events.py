@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from roadlake import rules, schemas
 from roadlake.operators import clean
@@ -105,15 +105,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def read_raw(spark: SparkSession, root: str, feed: str, since: str | None = None) -> DataFrame:
-    """Valid rows of a raw table; ``since`` (yyyy-MM-dd) reads only the partitions from that day on."""
-    stored = StructType(
-        [*schemas.EVENT[feed], StructField("valid", BooleanType()), StructField("date_partition", StringType())]
-    )
+def read_raw(spark: SparkSession, root: str, feed: str, since: str | None = None, arrived: Column | None = None) -> DataFrame:
+    """Valid rows of a raw table; ``since`` (yyyy-MM-dd) reads only the partitions from that day on, ``arrived`` only
+    rows that came in at that time or later, whatever their day (or without a known arrival)."""
+    stored = StructType([
+        *schemas.EVENT[feed], StructField("valid", BooleanType()), StructField("date_partition", StringType()),
+        StructField("ingestion_timestamp", TimestampType()),
+    ])
     rows = read_or_empty(spark, f"{root}/raw/{feed}", stored).filter("valid")
     if since:
         rows = rows.filter(F.col("date_partition") >= since)
-    return rows.drop("valid", "date_partition")
+    if arrived is not None:
+        rows = rows.filter((F.col("ingestion_timestamp") >= arrived) | F.col("ingestion_timestamp").isNull())
+    return rows.drop("valid", "date_partition", "ingestion_timestamp")
 
 
 def write_partitioned(df: DataFrame, path: str, by) -> None:
@@ -163,6 +167,42 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(known[-1]) if known else spark.createDataFrame([], schema)
 
 
+def bucket_of(keys, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def bucket_paths(spark: SparkSession, path: str) -> dict[int, str]:
+    """Where the newest state of each bucket lies: a version holds some buckets, each of them whole."""
+    newest: dict[int, str] = {}
+    for version in versions(spark, path):
+        files, place = _files(spark, version)
+        for found in files.listStatus(place):
+            if found.getPath().getName().startswith("bucket="):
+                newest[int(found.getPath().getName().split("=")[1])] = found.getPath().toString()
+    return newest
+
+
+def read_buckets(spark: SparkSession, path: str, schema: StructType, only=None) -> DataFrame:
+    """A table stored in buckets, or some of its buckets; nothing else is read."""
+    places = [p for b, p in sorted(bucket_paths(spark, path).items()) if only is None or b in only]
+    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+
+
+def write_buckets(df: DataFrame, path: str, keys, buckets: int) -> None:
+    """Store whole buckets as a new version; the others stay where they are. Versions that no bucket needs are deleted,
+    but for the one before, which readers may still use."""
+    spark = df.sparkSession
+    known = versions(spark, path)
+    number = int(known[-1].rsplit("=", 1)[1]) + 1 if known else 0
+    rows = df.withColumn("bucket", bucket_of(keys, buckets)).hint("rebalance", "bucket")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{path}/version={number:012d}")
+    used = {p.rsplit("/", 1)[0] for p in bucket_paths(spark, path).values()}
+    for old in known[:-1]:
+        if old not in used:
+            files, place = _files(spark, old)
+            files.delete(place, True)
+
+
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], batch_id: int | None = None, keys=()) -> None:
     """Append to a serving table; a failure is raised.
 

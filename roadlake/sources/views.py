@@ -91,6 +91,8 @@ FROM {{events}} WHERE event_id % 3 = 0""",
 SELECT CAST(o_orderkey AS STRING) AS key,
   '{{"date": "2020-01-01", "precipitation_sum": '||o_orderkey||', "rain_sum": 1.5, "precipitation_hours": 2.0}}' AS value
 FROM {orders} WHERE o_orderkey % 4 = 0""",
+    "camel_lines": """
+SELECT l_orderkey AS lineOrderKey, l_linenumber AS LineNumber, l_quantity AS quantityABCTotal FROM {lineitem}""",
     "detections": """
 SELECT 'R'||l_orderkey AS report_id, l_linenumber AS image_no, l_partkey * 100000 + l_suppkey AS box_no,
   CAST(l_partkey % 7 AS INT) AS class_id, l_discount * 10 AS confidence
