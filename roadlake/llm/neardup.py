@@ -267,3 +267,21 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = docs.withColumn("_own", F.xxhash64("text"))
     kept = own.join(stay.distinct(), own["doc_id"].eqNullSafe(F.col("_id")) & (own["_own"] == F.col("_hash")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_own"]).select(docs.columns)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p : p + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS p FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE common / CAST(x.n + y.n - common AS DOUBLE) >= 0.8),
+reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.node = l.a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links
+FROM (SELECT doc_id, min(node) AS class_id FROM reach GROUP BY doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)"""

@@ -16,4 +16,9 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_pii": pii.op10_pii,
 }
-ORACLES = {"op2_url_filters": urls.ORACLE, "op8_top_k": kdtree.ORACLE}
+ORACLES = {
+    "op1_jaccard_join": neardup.ORACLE,
+    "op2_url_filters": urls.ORACLE,
+    "op5_substring_dedup": substrings.ORACLE,
+    "op8_top_k": kdtree.ORACLE,
+}

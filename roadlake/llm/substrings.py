@@ -152,3 +152,16 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (SELECT doc_id, p, array_to_string(ws[p : p + 19], ' ') AS words FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM w)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY words ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM later),
+placed AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""

@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_with_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     found = QUERIES[name](spark, FOLDER)
     columns = sorted(found.columns)
