@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.llm.common import table
+from roadlake.session import materialize
 
 DIM = 512
 #: Prototypes are sent to all tasks; more languages than this are an error in the labels.
@@ -127,16 +128,16 @@ def learn(df: DataFrame, text: str = "text", label: str = "lang", dim: int = DIM
 
     rows = df.select(F.col(text).alias("text"), F.col(label).cast("string").alias("lang")).na.drop()
     parts = rows.mapInArrow(bundle, "lang string, place int, value long")
-    return parts.groupBy("lang", "place").agg(F.sum("value").alias("value"))
+    return materialize(parts.groupBy("lang", "place").agg(F.sum("value").alias("value")), "prototypes")
 
 
 def predict(df: DataFrame, prototypes: DataFrame, text: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:
     """``df`` with the language of each text and its cosine, cut at 0."""
     learned: dict[str, dict[int, int]] = {}
-    for name, place, value in prototypes.groupBy("lang").count().limit(MAX_LANGUAGES + 1).drop("count").join(prototypes, "lang").collect():
-        learned.setdefault(name, {})[place] = value
-    if len(learned) > MAX_LANGUAGES:
+    if prototypes.filter("place = 0").count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    for name, place, value in prototypes.collect():
+        learned.setdefault(name, {})[place] = value
     names = sorted(n for n, v in learned.items() if any(v.values()))
     dim = len(learned[names[0]]) if names else DIM
     matrix = np.array([[learned[n][i] for i in range(dim)] for n in names], np.float64).reshape(len(names), dim)
