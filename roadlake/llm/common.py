@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,14 +35,22 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         end = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1)
         yield first, end, whole[ends[first] : ends[end]], ends[first : end + 1] - ends[first]
         first = end
+    trim()
 
 
-def arrays(column: pa.Array, limit: int = 1 << 22) -> Iterator[pa.Array]:
-    """The column in runs of rows with at most about ``limit`` bytes, to bound what a result batch holds."""
+def arrays(column: pa.Array, limit: int = 1 << 20) -> Iterator[pa.Array]:
+    """The column in runs of rows with at most about ``limit`` bytes, to bound what Python objects hold."""
     for first, end, _, _ in slices(column, limit):
         yield column.slice(first, end - first)
 
 
+def trim() -> None:
+    """Give freed memory back to the system: an executor keeps several workers waiting, and each would keep its peak."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """A table for each run of rows with equal whole numbers in ``key``, across batches."""
     held: list[pa.RecordBatch] = []
@@ -59,6 +68,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             last = keys[a]
     if held:
         yield pa.Table.from_batches(held)
+    trim()
 
 
 def per_group(df: DataFrame, columns: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from roadlake.llm.common import arrays, table
 
 MARK = "▁"
-TABLE_ROWS = 400_000
+TABLE_ROWS = 100_000
 #: Longer words are segmented each time.
 TABLE_WORD = 64
 
