@@ -167,18 +167,18 @@ def search(df: DataFrame, items: list[tuple[int | None, str]], text: str, into:
     return df.withColumn(into, leaks(F.col(text)))
 
 
-def lots(benchmark: DataFrame, item_id: str, text: str) -> list[list[tuple[int | None, str]]]:
-    """The items in lots of bounded size; the driver holds one test set, never documents."""
+def lots(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in lots of bounded size; the driver holds one of them at a time."""
     rows = benchmark.select(F.col(item_id).cast("long"), F.col(text)).na.drop(subset=[text]).orderBy(item_id, text)
-    out, held = [[]], 0
+    lot, held = [], 0
     for name, item in rows.toLocalIterator():
         size = len(item.encode())
-        if out[-1] and held + size > LOT_BYTES:
-            out.append([])
-            held = 0
-        out[-1].append((name, item))
+        if lot and held + size > LOT_BYTES:
+            yield lot
+            lot, held = [], 0
+        lot.append((name, item))
         held += size
-    return out
+    yield lot
 
 
 def find(
@@ -189,10 +189,10 @@ def find(
 
     ``start`` and ``end`` are code points of the text as it is, widened to whole words.
     """
-    items = lots(benchmark, item_id, item_text)
-    parts = [f"_{into}{i}" for i in range(len(items))]
-    for name, lot in zip(parts, items):
-        df = search(df, lot, text, name, rate)
+    parts = []
+    for lot in lots(benchmark, item_id, item_text):
+        parts.append(f"_{into}{len(parts)}")
+        df = search(df, lot, text, parts[-1], rate)
     return df.withColumn(into, reduce(F.concat, map(F.col, parts))).drop(*parts)
 
 
