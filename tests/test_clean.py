@@ -110,7 +110,7 @@ def test_redelivered_rows_have_one_survivor(spark, feed):
 
     def row(n):
         return [
-            datetime(2024, 1, 1) if f.name == "event_time" else "k" if f.name.endswith("_id")
+            datetime(2024, 1, 1) if f.dataType.simpleString() == "timestamp" else "k" if f.name.endswith("_id") or f.name == "road_name"
             else numbers[f.dataType.simpleString()](n % 3) if f.dataType.simpleString() in numbers else f"x{n % 2}" for f in fields
         ]
 
