@@ -1,8 +1,8 @@
 """Toxicity scores from the nearest labelled examples (operator 4).
 
 Examples are a sample of the labelled texts, at most EXAMPLES of each label, chosen by a hash of their
-id. Their words and word beginnings that go with a label far more often than with the other (likelihood ratio and lift) are
-the terms, at most TERMS. Examples and texts are TF-IDF vectors over the terms; the exact cosine finds
+id. Their words and word beginnings whose share differs between the labels (likelihood ratio) are
+the terms, the TERMS strongest if there are more. Examples and texts are TF-IDF vectors over the terms; the exact cosine finds
 the nearest NEIGHBOURS examples. The examples stand in an inverted index in blocks of similar ones
 with, for each term and block, the largest weight: a text opens the blocks in the order of their bounds and stops
 when no bound exceeds its last neighbour, so the neighbours are exact.
@@ -36,12 +36,10 @@ EXAMPLES = 4000
 TERMS = 4096
 NEIGHBOURS = 15
 BLOCK = 64
-#: Least likelihood ratio of a term, and the least texts with it.
-RATIO, SUPPORT = 12.0, 4
-#: A term occurs in the texts of one label at least so many times as often as in those of the other.
-LIFT = 4.0
-#: Length of word beginnings.
-BEGINNING = 5
+#: Least likelihood ratio of a term, and the least texts with it: chosen with BEGINNINGS by cross-validation (README).
+RATIO, SUPPORT = 4.0, 4
+#: Lengths of word beginnings; a word must be longer.
+BEGINNINGS = (3, 5)
 THRESHOLD = 0.3
 
 WORDS = re.compile(r"\w+").findall
@@ -49,13 +47,23 @@ WORDS = re.compile(r"\w+").findall
 
 def terms_of(text: str | None, known=None) -> Counter:
     """Counts of the words and of their beginnings (marked with a bar); only ``known`` ones if given."""
-    words = WORDS((text or "").lower())
+    counts = Counter(WORDS((text or "").lower()))
     if known is None:
-        return Counter(words) + Counter(w[:BEGINNING] + "|" for w in words)
+        out = Counter(counts)
+        for word, n in counts.items():
+            for size in BEGINNINGS:
+                if len(word) > size:
+                    out[word[:size] + "|"] += n
+        return out
     whole, starts = known
-    if not starts:
-        return Counter(w for w in words if w in whole)
-    return Counter(w for w in words if w in whole) + Counter(w[:BEGINNING] + "|" for w in words if w[:BEGINNING] in starts)
+    out = Counter()
+    for word, n in counts.items():
+        if word in whole:
+            out[word] = n
+        for size, some in starts.items():
+            if len(word) > size and word[:size] in some:
+                out[word[:size] + "|"] += n
+    return out
 
 
 @dataclass
@@ -68,8 +76,9 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     without: float = 0.0
 
-    def known(self) -> tuple[frozenset, frozenset]:
-        return frozenset(t for t in self.idf if t[-1] != "|"), frozenset(t[:-1] for t in self.idf if t[-1] == "|")
+    def known(self) -> tuple[frozenset, dict[int, frozenset]]:
+        starts = [t[:-1] for t in self.idf if t[-1] == "|"]
+        return frozenset(t for t in self.idf if t[-1] != "|"), {k: frozenset(t for t in starts if len(t) == k) for k in BEGINNINGS}
 
     def vector(self, counts: Counter) -> dict[str, float]:
         raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items()) if t in self.idf}
@@ -79,26 +88,28 @@ class Model:
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest, by falling cosine, then by place; zero cosines do not count."""
         blocks = -(-len(self.votes) // BLOCK)
-        bounds = np.zeros(blocks)
-        lists = [(w, self.index[t]) for t, w in vector.items() if t in self.index]
-        for weight, (own, most, _, _) in lists:
-            bounds[own] += weight * most
-        order = np.argsort(-bounds, kind="stable")
         places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        done = 0
+        lists = [(w, *self.index[t]) for t, w in vector.items() if t in self.index]
+        if not lists:
+            return places, cosines
+        bounds = np.bincount(
+            np.concatenate([own for _, own, *_ in lists]), np.concatenate([w * most for w, _, most, *_ in lists]), blocks
+        )
+        examples = np.concatenate([e for *_, e, _ in lists])
+        values = np.concatenate([w * v for w, *_, v in lists])
+        within = examples // BLOCK
+        order = np.argsort(-bounds, kind="stable")
+        done, step = 0, 4
         while done < blocks and bounds[order[done]] > 0:
             if len(cosines) >= k and bounds[order[done]] < cosines[k - 1] - 1e-9:
                 break
-            step = order[done : done + 4]
-            done += 4
-            for block in np.sort(step).tolist():
-                got = np.zeros(BLOCK)
-                for weight, (own, _, examples, values) in lists:
-                    a, b = np.searchsorted(examples, [block * BLOCK, (block + 1) * BLOCK])
-                    got[examples[a:b] - block * BLOCK] += weight * values[a:b]
-                hit = np.flatnonzero(got > 0)
-                places = np.concatenate([places, hit + block * BLOCK])
-                cosines = np.concatenate([cosines, got[hit]])
+            opened = np.zeros(blocks, bool)
+            opened[order[done : done + step]] = True
+            done, step = done + step, 4 * step  # terms are many: steps grow, as each walks over all lists
+            part = opened[within]
+            got = np.bincount(examples[part], values[part])
+            hit = np.flatnonzero(got > 0)
+            places, cosines = np.concatenate([places, hit]), np.concatenate([cosines, got[hit]])
             best = np.lexsort((places, -cosines))[:k]
             places, cosines = places[best], cosines[best]
         return places, cosines
@@ -149,7 +160,6 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
         F.sum("_y").alias("a"), F.sum(1 - F.col("_y")).alias("b")
     )
     n, whole = F.col("a") + F.col("b"), n0 + n1
-    lift = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("b") + 0.5) / (n0 + 1))
 
     def part(x, expected):
         return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
@@ -159,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
         + part(n1 - F.col("a"), (whole - n) * n1 / whole) + part(n0 - F.col("b"), (whole - n) * n0 / whole)
     )
     kept = (
-        seen.filter((n >= SUPPORT) & ((lift >= LIFT) | (lift <= 1 / LIFT))).withColumn("g", F.round(statistic, 6)).filter(F.col("g") >= RATIO)
+        seen.filter(n >= SUPPORT).withColumn("g", F.round(statistic, 6)).filter(F.col("g") >= RATIO)
         .orderBy(F.desc("g"), "term").limit(TERMS)
     )
     terms = {r.term: r.n for r in kept.select("term", n.alias("n")).collect()}
@@ -167,8 +177,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     vectors: dict = {}
     if terms:
         held = rows.select("_key", "_y", F.inline("_terms")).join(F.broadcast(known), "term")
-        for row in held.select("_key", "_y", "term", "n").collect():
-            vectors.setdefault((row["_key"], row["_y"]), Counter())[row["term"]] += row["n"]
+        own = {t: t for t in terms}  # one string for each term
+        for batch in held.select("_key", "_y", "term", "n").toArrow().to_batches(max_chunksize=10_000):
+            for name, y, term, count in zip(*(c.to_pylist() for c in batch.columns)):
+                vectors.setdefault((name, y), Counter())[own[term]] += count
     return build(terms, vectors, (n0, n1), sizes)
 
 

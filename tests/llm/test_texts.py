@@ -186,6 +186,29 @@ def test_toxic_words_are_learned(frame):
     assert toxicity.evidence(model, "you slime")[0][1] == 1 and toxicity.evidence(model, "tree") == []
 
 
+def test_a_language_with_few_examples_keeps_its_terms(frame):
+    rng = random.Random(7)
+    rows, labels = [], []
+
+    def add(words, own, toxic):
+        words = rng.choices(words, k=10)
+        rows.append((len(rows), " ".join(words + own)))
+        labels.append((len(labels), toxic))
+
+    english, spanish = ["house", "tree", "river", "cloud", "stone", "bird"], ["casa", "sol", "mar", "luna", "pan", "flor"]
+    for n in range(160):
+        add(english, [], 0)
+    for n in range(32):
+        add(english, ["slime"], 1)
+    for n in range(40):
+        add(spanish, ["bocado"] if n < 8 else [], 0)
+    for n in range(8):  # no word is frequent, only their beginning; clean texts have it too
+        add(spanish, ["boc" + "aeiouxyz"[n] + "ra"], 1)
+    model = toxicity.fit(frame("doc_id long, text string", *rows), frame("doc_id long, toxic int", *labels))
+    assert toxicity.evidence(model, "una bocina") and model.score(toxicity.terms_of("una bocina", model.known())) >= toxicity.THRESHOLD
+    assert model.score(toxicity.terms_of("la casa luna", model.known())) < toxicity.THRESHOLD
+
+
 def test_without_examples_nothing_is_toxic(frame):
     model = toxicity.fit(frame("doc_id long, text string"), frame("doc_id long, toxic int"))
     assert values(toxicity.score(frame("text string", "a", None), model), "score") == [(0.0,), (0.0,)]
