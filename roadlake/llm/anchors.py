@@ -223,5 +223,6 @@ def window_by_window(records: DataFrame, windows: Callable[[bytes], list[bytes]]
 def with_spans(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """The rows with ``spans`` (first and last window of each repeated run), ``least`` (id of the text) and ``copies``."""
     texts = rows.groupBy("hash", "size").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-    spans = repeated.groupBy("hash", "size").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # every batch with a copy of a text tells its spans again: once each, so a list is bounded by its text
+    spans = repeated.select("hash", "size", "start", "end").distinct().groupBy("hash", "size").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return rows.join(texts.join(spans, ["hash", "size"], "left"), ["hash", "size"])

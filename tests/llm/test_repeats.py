@@ -120,3 +120,12 @@ def test_records_are_one_for_every_window(frame):
 def test_digest_is_of_the_kept_words(frame):
     row = substrings.dedup(frame("doc_id long, text string", (1, "a  b\nc"))).select(F.sha2(F.encode("kept", "UTF-8"), 256)).first()
     assert row[0] == hashlib.sha256(b"a b c").hexdigest()
+
+
+def test_spans_that_many_batches_tell_are_kept_once(frame):
+    rows = anchors.plain(frame("doc_id long, text string", (1, "a b"), (2, "a b"), (3, "c")), "text", "doc_id")
+    own = rows.filter("doc_id = 1").select("hash", "size", F.lit(0).alias("start"), F.lit(1).alias("end"))
+    told = own.unionByName(own).unionByName(own).unionByName(own.withColumn("end", F.lit(2)))
+    found = {r.doc_id: r for r in anchors.with_spans(rows, told).collect()}
+    assert [sorted(map(tuple, found[i].spans)) for i in (1, 2)] == [[(0, 1), (0, 2)]] * 2
+    assert found[3].spans is None and found[1].copies == 2
