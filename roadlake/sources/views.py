@@ -90,7 +90,7 @@ FROM {{events}} WHERE event_id % 3 = 0""",
     "rain_lines": """
 SELECT CAST(o_orderkey AS STRING) AS key,
   '{{"date": "2020-01-01", "precipitation_sum": '||o_orderkey||', "rain_sum": 1.5, "precipitation_hours": 2.0}}' AS value
-FROM {orders} WHERE o_orderkey % 4 = 0""",
+FROM {orders}""",
     "camel_lines": """
 SELECT l_orderkey AS lineOrderKey, l_linenumber AS LineNumber, l_quantity AS quantityABCTotal FROM {lineitem}""",
     "detections": """

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -9,10 +10,11 @@ from roadlake import schemas, session
 from roadlake.operators import gold
 from roadlake.plans import gold as gold_plan
 from roadlake.plans import silver
-from roadlake.sources import events
+from roadlake.sources import events, views
 from tests.conftest import details, values
 
 NOW = "2024-02-01"
+TABLES = "/root/testdata/sf0.001"
 
 
 def test_envelope(frame):
@@ -149,3 +151,8 @@ def test_a_refresh_touches_only_its_buckets(spark, frame, tmp_path):
     new = events.bucket_paths(spark, path)
     assert [b for b in new if new[b] != old[b]] == [bucket]
     assert dict(values(events.read_buckets(spark, path, schema))) == {f"k{n}": 100 if n == 1 else n for n in range(40)}
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables are not here")
+def test_daily_rain_covers_all_orders(spark):
+    assert views.view(spark, TABLES, "rain_lines").count() == views.table(spark, TABLES, "orders").count()
