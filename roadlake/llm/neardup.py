@@ -1,10 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest (operator 1).
+"""N-gram Jaccard join by MinHash LSH (operator 1).
 
 Texts are sets of five-word shingles (words as they are, split at white space; a text with fewer words
 is one shingle). Texts with equal sets form a class; only classes are compared. Each class has
-TREES * DEPTH minimum hashes, cut into TREES sorted prefix tries. Matched prefixes are shortened from
-DEPTH until pairs at the threshold share a node in some tree with the target recall. Within a node,
-canopies of the remaining hashes keep the pairs that can be similar: around each class in turn, all classes within
+TREES * DEPTH minimum hashes, DEPTH for each tree. Classes with the same first hashes of a tree share a node. How many
+is one number for all: the formula of ``depth`` gives the longest prefix with which pairs at the threshold share a node in some
+tree with the target recall. There is no sorted trie, and no prefix is shortened for single classes. Within a node,
+canopies of all hashes keep the pairs that can be similar: around each class in turn, all classes within
 reach are linked, and only those close by are done with, so that by the triangle inequality every similar pair
 meets in some canopy. Connected canopies form clusters; in each cluster the exact Jaccard similarity
 of all pairs decides.
