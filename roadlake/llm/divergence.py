@@ -16,7 +16,7 @@ value 0; a language with one source has none. Further columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,40 +31,74 @@ from roadlake.session import materialize
 SUPPORT = 10
 SCALE = 1_000_000_000
 TOP = 10
-#: Between two terms; the other characters are letters A to Z, a to z and all beyond ASCII.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Different (language, source, term) a task holds before it passes them on.
-HELD = 500_000
+#: Bytes of terms: letters A to Z, a to z and all bytes of characters beyond ASCII.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Bytes of texts that are cut into terms at once; different (language, source, term) a task holds before it passes them on.
+LOT, HELD = 1 << 20, 1 << 20
 #: Ordinals and sources that a task compares at once.
 WIDTH, SOURCES = 1024, 256
 #: Between language and term in a transducer; no byte of a text is this one.
 BAR = b"\xff"
 
 
-def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All terms of the texts, and the row of each."""
-    parts = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), BETWEEN)
-    words, rows = pc.list_flatten(parts), pc.list_parent_indices(parts)
-    real = pc.not_equal(pc.binary_length(words), 0)
-    return words.filter(real), rows.filter(real).to_numpy()
+def terms_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All terms of consecutive texts, and the number of the text that each is in."""
+    inner = LETTER[data]
+    new = inner.copy()
+    new[1:] &= ~inner[:-1]
+    edges = offsets[:-1][np.diff(offsets) > 0]  # a text begins a term, whatever was before
+    new[edges] = inner[edges]
+    starts = np.flatnonzero(new)
+    ends = np.append(np.cumsum(inner)[starts[1:] - 1], inner.sum()) if len(starts) else np.zeros(0)
+    letters = LOWER[data[inner]]
+    borders = np.concatenate([[0], ends]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(borders), pa.py_buffer(letters)])
+    return words, np.searchsorted(offsets, starts, "right") - 1
 
 
 def tally(pieces: list[pa.Table], keys: list[str]) -> pa.Table:
-    return pa.concat_tables(pieces).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+    """Sums of n by the keys, which are dictionary codes; a task holds too few values for the product of their numbers to overflow."""
+    whole = pa.concat_tables(pieces).unify_dictionaries().combine_chunks()
+    code = np.zeros(len(whole), np.int64)
+    for key in keys:
+        column = whole[key].combine_chunks()
+        code = code * max(len(column.dictionary), 1) + column.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    heads = np.flatnonzero(np.diff(code[order], prepend=-1))
+    sums = np.add.reduceat(whole["n"].to_numpy()[order], heads) if len(heads) else np.zeros(0, np.int64)
+    return whole.select(keys).take(pa.array(order[heads])).append_column("n", pa.array(sums))
+
+
+def counted(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, keys: list[str], once: bool) -> pa.Table:
+    """Counts of the terms of a few texts, by the other keys and term."""
+    words, rows = terms_of(data, offsets)
+    coded = words.dictionary_encode()
+    codes, size = coded.indices.to_numpy().astype(np.int64), max(len(coded.dictionary), 1)
+    if once:
+        pairs = np.unique(rows * size + codes)
+        rows, codes = pairs // size, pairs % size
+    owner = np.zeros(len(part), np.int64)  # texts with equal keys have one owner
+    for key in keys[:-1]:
+        own = part.column(key).dictionary_encode()
+        owner = owner * max(len(own.dictionary), 1) + own.indices.to_numpy()
+    _, first, owner = np.unique(owner, return_index=True, return_inverse=True)
+    pairs, n = np.unique(owner[rows] * size + codes, return_counts=True)
+    held = part.take(pa.array(first[pairs // size]))
+    term = pa.DictionaryArray.from_arrays(pa.array((pairs % size).astype(np.int32)), coded.dictionary)
+    return pa.table({**{k: held.column(k).dictionary_encode() for k in keys[:-1]}, "term": term, "n": n})
 
 
 def tallies(batches: Iterator[pa.RecordBatch], keys: list[str], once: bool) -> Iterator[pa.Table]:
-    """Counts of terms by ``keys`` (of lang, source, term); with ``once`` a term counts once in each text."""
+    """Counts of terms by ``keys``, of which term is the last; with ``once`` a term counts once in each text."""
     held: list[pa.Table] = []
     size = limit = 0
     for batch in batches:
-        for a, b, _, _ in slices(batch.column("text")):
-            part = batch.slice(a, b - a)
-            words, rows = terms_of(part.column("text"))
-            counts = pa.table({"row": rows, "term": words, "n": np.ones(len(rows), np.int64)}).group_by(["row", "term"]).aggregate([("n", "sum")])
-            own = {k: part.column(k).take(counts["row"].combine_chunks()) for k in keys if k != "term"}
-            n = pa.array(np.ones(len(counts), np.int64)) if once else counts["n_sum"]
-            held.append(tally([pa.table({**own, "term": counts["term"], "n": n})], keys))
+        names = batch.select(keys[:-1])
+        for a, b, data, offsets in slices(batch.column("text"), LOT):
+            held.append(counted(names.slice(a, b - a), data, offsets, keys, once))
             size += len(held[-1])
             if size > limit + HELD:
                 held = [tally(held, keys)]
@@ -82,7 +116,8 @@ def vocabulary(docs: DataFrame, support: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tallies(batches, ["lang", "term"], once=True):
-            yield from part.to_batches()
+            names = part.select(["lang", "term"]).cast(pa.schema([("lang", pa.string()), ("term", pa.string())]))
+            yield from names.append_column("n", part["n"]).to_batches()
 
     seen = docs.mapInArrow(run, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
     return seen.filter(F.col("n") >= support).select("lang", "term")
@@ -151,28 +186,32 @@ class Transducer:
         arcs = np.frombuffer(data, "<i8", 3 * n, 16)
         return Transducer(arcs[:n], arcs[n : 2 * n], arcs[2 * n :], np.frombuffer(data, np.uint8, offset=16 + 24 * n).astype(bool), root)
 
-    def ordinals(self, words: list[bytes]) -> np.ndarray:
-        """The ordinal of each word, -1 for one that is not kept; all words go on by a byte at a time."""
-        lengths = np.array([len(w) for w in words], np.int64)
-        data = np.frombuffer(b"".join(words), np.uint8)
-        starts = np.cumsum(lengths) - lengths
-        state, out = np.full(len(words), self.root), np.zeros(len(words), np.int64)
-        live = np.flatnonzero(lengths > 0)
+    def ordinals(self, words: pa.Array) -> np.ndarray:
+        """The ordinal of each word (binary), -1 for one that is not kept; all words go on by a byte at a time."""
+        words = words.cast(pa.large_binary())
+        _, offsets, letters = words.buffers()
+        borders = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+        data = np.frombuffer(letters, np.uint8) if letters is not None else np.zeros(0, np.uint8)
+        starts, lengths = borders[:-1], np.diff(borders)
+        out = np.full(len(words), -1)
+        live = np.arange(len(words))
+        state, sums = np.full(len(words), self.root), np.zeros(len(words), np.int64)
         at = 0
-        while len(live) and len(self.keys):
-            wanted = state[live] << 8 | data[starts[live] + at]
+        while len(live):
+            ended = lengths[live] == at
+            done = ended & self.final[state]
+            out[live[done]] = sums[done]
+            live, state, sums = live[~ended], state[~ended], sums[~ended]
+            if not len(live) or not len(self.keys):
+                break
+            wanted = state << 8 | data[starts[live] + at]
             arc = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
             hit = self.keys[arc] == wanted
-            out[live[~hit]] = state[live[~hit]] = -1
-            live, arc = live[hit], arc[hit]
-            out[live] += self.skips[arc]
-            state[live] = self.targets[arc]
+            live, arc, sums = live[hit], arc[hit], sums[hit]
+            sums += self.skips[arc]
+            state = self.targets[arc]
             at += 1
-            live = live[lengths[live] > at]
-        stopped = state >= 0
-        accepted = stopped.copy()
-        accepted[stopped] = self.final[state[stopped]]
-        return np.where(accepted, out, -1)
+        return out
 
     def word(self, ordinal: int) -> bytes:
         """The word with this ordinal."""
@@ -255,22 +294,29 @@ def recount(docs: DataFrame, shards: DataFrame, bounds: list[tuple[bytes, int]])
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tallies(batches, ["lang", "source", "term"], once=False):
             part = part.combine_chunks()
-            codes = [part[c].combine_chunks().dictionary_encode() for c in ("lang", "term")]
-            pairs = codes[0].indices.to_numpy().astype(np.int64) * max(len(codes[1].dictionary), 1) + codes[1].indices.to_numpy()
-            distinct, back = np.unique(pairs, return_inverse=True)
-            langs, terms = ([x.encode() for x in c.dictionary.to_pylist()] for c in codes)
-            shard = np.array([bisect_right(firsts, langs[p // len(terms)] + BAR + terms[p % len(terms)]) - 1 for p in distinct.tolist()], np.int32)[back]
-            order = np.argsort(shard, kind="stable")
-            edges = np.flatnonzero(np.diff(shard[order], prepend=-2, append=-2))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if shard[order[a]] >= 0:  # before the first kept term there is none
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(shard[order[a]])], pa.int32()), pa.array([packed(part.take(pa.array(order[a:b])))])], ["shard", "payload"]
-                    )
+            lang, term = (part[c].combine_chunks().cast(pa.large_binary()) for c in ("lang", "term"))
+            coded = pc.binary_join_element_wise(lang, term, pa.scalar(BAR, pa.large_binary())).dictionary_encode()
+            sorted_ = pc.sort_indices(coded.dictionary)
+            words = coded.dictionary.take(sorted_)
+            place = np.empty(len(words), np.int64)
+            place[sorted_.to_numpy()] = np.arange(len(words))
+            codes = place[coded.indices.to_numpy()]
+            order = np.argsort(codes, kind="stable")
+            names = pa.schema([("lang", pa.string()), ("source", pa.string())])
+            rows = part.select(["lang", "source"]).cast(names).append_column("n", part["n"]).take(pa.array(order))
+            listed = words.to_pylist()
+            cuts = [*(bisect_left(listed, first) for first in firsts), len(listed)]  # words before the first kept term go to none
+            edges = np.searchsorted(codes[order], cuts).tolist()
+            for shard, (low, high, a, b) in enumerate(zip(cuts, cuts[1:], edges, edges[1:])):
+                if a < b:
+                    own = pa.DictionaryArray.from_arrays(pa.array((codes[order[a:b]] - low).astype(np.int32)), words.slice(low, high - low))
+                    stream = packed(rows.slice(a, b - a).append_column("word", own))
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([stream])], ["shard", "payload"])
 
     def count(machine: Transducer, offset: int, payload: bytes) -> Iterator[pa.RecordBatch]:
         part = unpacked(payload)
-        ordinals = machine.ordinals([lang.encode() + BAR + term.encode() for lang, term in zip(part["lang"].to_pylist(), part["term"].to_pylist())])
+        words = part["word"].combine_chunks()
+        ordinals = machine.ordinals(words.dictionary)[words.indices.to_numpy()]
         kept = np.flatnonzero(ordinals >= 0)
         out = part.select(["lang", "source", "n"]).take(pa.array(kept)).append_column("ordinal", pa.array(ordinals[kept] + offset))
         yield from out.to_batches()
