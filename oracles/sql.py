@@ -387,6 +387,7 @@ ORACLES = {
     "refresh_weather": ("SELECT * FROM weather", "weather"),
     "refresh_traffic": ("SELECT * FROM traffic", "traffic"),
     "refresh_news": ("SELECT * FROM news", "news"),
+    "rebuilt_from_fewer": ("SELECT * FROM traffic WHERE vehicle_count > 2000", "traffic"),
     "refresh_accidents": ("SELECT * FROM accidents", "accidents"),
     "run_log_of_batch": (
         " UNION ALL ".join(
@@ -538,6 +539,8 @@ ORACLES = {
 
 
 ORACLES["run_priority_score"] = ORACLES["priority_score"]
+for _scores in ("road_health_index", "priority_score", "hotspots", "accident_prediction", "damage_prediction"):
+    ORACLES[f"refresh_{_scores}"] = ORACLES[_scores]
 ORACLES["run_quality"] = ORACLES["quality_metrics"]
 
 

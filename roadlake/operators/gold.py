@@ -55,6 +55,35 @@ def report_counts(reports: DataFrame) -> DataFrame:
     return reports.groupBy("road_name").agg(F.count("*").alias("report_count"))
 
 
+# partial aggregates of a month, and the aggregates from those of all months
+
+#: Of each feed: the keys of its partial aggregates and the measure they sum up.
+PARTS = {
+    "reports": (ROAD, "severity_score"),
+    "weather": (["district"], "rainfall_mm"),
+    "traffic": (ROAD, "vehicle_count"),
+    "accidents": (ROAD, "casualties"),
+    "news": (["district"], "sentiment_score"),
+}
+
+
+def partial(feed: str, rows: DataFrame, month: Column) -> DataFrame:
+    """Rows, sum and known values of the measure, and the newest time, by month and the feed's keys."""
+    keys, measure = PARTS[feed]
+    return rows.groupBy(month.alias("month"), *keys).agg(
+        F.count("*").alias("rows"), F.sum(measure).cast("double").alias("total"),
+        F.count(measure).alias("known"), F.max("event_time").alias("latest"),
+    )
+
+
+def combined(parts: DataFrame, keys) -> DataFrame:
+    """Partial aggregates of all months as aggregates by ``keys``; a group without rows is none."""
+    sums = parts.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.sum("total").alias("total"), F.sum("known").alias("known"), F.max("latest").alias("latest")
+    )
+    return sums.filter("rows > 0").withColumn("mean", F.col("total") / F.nullif("known", F.lit(0)))
+
+
 # scores
 
 
@@ -65,9 +94,15 @@ def road_health_index(reports: DataFrame, weather: DataFrame, traffic: DataFrame
     Unknown rainfall, traffic and age count as 0; an unknown severity makes the index NULL.
     ``road_age`` optionally gives (road_name, district, road_age_score).
     """
+    return health_of(road_severity(reports), district_rainfall(weather), road_traffic(traffic), as_of, road_age, weights)
+
+
+def health_of(severity: DataFrame, rainfall: DataFrame, traffic: DataFrame, as_of: Column | None = None,
+              road_age: DataFrame | None = None, weights=rules.HEALTH_WEIGHTS) -> DataFrame:
+    """``road_health_index`` from aggregates."""
     # severity and traffic are grouped by the same key, so this join needs no further shuffle
-    roads = road_severity(reports).join(road_traffic(traffic), ROAD, "left")
-    roads = roads.join(district_rainfall(weather), "district", "left")
+    roads = severity.join(traffic, ROAD, "left")
+    roads = roads.join(rainfall, "district", "left")
     if road_age is None:
         roads = roads.withColumn("road_age_score", F.lit(0.0))
     else:
@@ -95,25 +130,23 @@ def road_context(reports: DataFrame, traffic: DataFrame, accidents: DataFrame, n
     Complaints are counted per road over all its districts. A NULL road or district matches
     nothing, so its components stay NULL.
     """
+    pairs = reports.groupBy(*ROAD).agg(F.count("*").alias("n"))
+    news_counts = news.groupBy("district").agg(F.count("*").alias("news_count"))
+    return context_of(pairs, road_traffic(traffic), road_accidents(accidents), news_counts)
+
+
+def context_of(pairs: DataFrame, traffic: DataFrame, accidents: DataFrame, news: DataFrame) -> DataFrame:
+    """``road_context`` from aggregates: reports (n), traffic and accidents by road, news by district."""
     per_road = Window.partitionBy("road_name")
-    pairs = (
-        reports.groupBy(*ROAD)
-        .agg(F.count("*").alias("n"))
-        .withColumn("report_count", F.when(F.col("road_name").isNotNull(), F.sum("n").over(per_road)))
-        .select(*ROAD, F.when(F.col("report_count").isNotNull(), complaint_score()).alias("complaint_score"))
+    pairs = pairs.withColumn("report_count", F.when(F.col("road_name").isNotNull(), F.sum("n").over(per_road))).select(
+        *ROAD, F.when(F.col("report_count").isNotNull(), complaint_score()).alias("complaint_score")
     )
     return (
-        pairs.join(road_traffic(traffic).withColumnRenamed("traffic", "traffic_score"), ROAD, "left")
-        .join(
-            road_accidents(accidents).select(
-                *ROAD, (F.col("accident_count") * rules.ACCIDENT_POINTS).alias("accident_score")
-            ),
-            ROAD,
-            "left",
-        )
+        pairs.join(traffic.withColumnRenamed("traffic", "traffic_score"), ROAD, "left")
         .join(
-            news.groupBy("district").agg((F.count("*") * rules.NEWS_POINTS).alias("news_score")), "district", "left"
+            accidents.select(*ROAD, (F.col("accident_count") * rules.ACCIDENT_POINTS).alias("accident_score")), ROAD, "left"
         )
+        .join(news.select("district", (F.col("news_count") * rules.NEWS_POINTS).alias("news_score")), "district", "left")
     )
 
 
@@ -123,7 +156,12 @@ def priority_score(reports: DataFrame, traffic: DataFrame, accidents: DataFrame,
 
     ``reports`` is read twice: pass a stored table, not a plan that deduplicates on the fly.
     """
-    context = materialize(road_context(reports, traffic, accidents, news), "road-context")
+    return priority_of(reports, road_context(reports, traffic, accidents, news), as_of, weights)
+
+
+def priority_of(reports: DataFrame, context: DataFrame, as_of: Column | None = None, weights=rules.PRIORITY_WEIGHTS) -> DataFrame:
+    """``priority_score`` from the reports and the context of their roads."""
+    context = materialize(context, "road-context")
     context = context.withColumnsRenamed({"road_name": "_road", "district": "_district"})
     here = F.col("road_name").eqNullSafe(F.col("_road")) & F.col("district").eqNullSafe(F.col("_district"))
     components = [c for c in weights if c != "severity_score"]
@@ -146,10 +184,10 @@ def risk_level(severity: str = "severity_score", bounds=rules.RISK_BOUNDS, level
     return F.when(score.between(*bounds), medium).when(score > bounds[1], high).otherwise(low)
 
 
-def damage_prediction(reports: DataFrame, as_of: Column | None = None) -> DataFrame:
+def damage_prediction(reports: DataFrame, as_of: Column | None = None, also=()) -> DataFrame:
     return reports.select(
         "report_id", *ROAD, "severity_score", risk_level().alias("predicted_risk_level"),
-        (F.current_timestamp() if as_of is None else as_of).alias("batch_time"),
+        (F.current_timestamp() if as_of is None else as_of).alias("batch_time"), *also,
     )
 
 
@@ -183,6 +221,11 @@ def hotspots(reports: DataFrame, as_of: Column | None = None, weights=rules.HOTS
     roads = reports.groupBy("road_name").agg(
         F.count("*").alias("report_count"), F.avg("severity_score").alias("avg_severity")
     )
+    return hotspots_of(roads, as_of, weights)
+
+
+def hotspots_of(roads: DataFrame, as_of: Column | None = None, weights=rules.HOTSPOT_WEIGHTS) -> DataFrame:
+    """``hotspots`` from the aggregates of each road."""
     return roads.select(
         F.col("road_name").alias("road_id"),
         "road_name",

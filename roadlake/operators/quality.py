@@ -2,6 +2,7 @@
 
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -63,6 +64,13 @@ def metrics(df: DataFrame, layer: str, name: str, keys, ranges: dict | None = No
     )
 
 
+def _records(seen: Observation) -> int:
+    try:
+        return seen.get["records"]
+    except Py4JJavaError:  # adaptive execution drops the counter along with a plan that turns out to be empty
+        return 0
+
+
 def run_logged(df: DataFrame, job: str, layer: str, write, save_log, checkpoint: str | None = None) -> None:
     """Run ``write(df)`` and pass one log row to ``save_log``, whether the run succeeds or fails.
 
@@ -73,7 +81,7 @@ def run_logged(df: DataFrame, job: str, layer: str, write, save_log, checkpoint:
     status, error, records = "success", None, None
     try:
         write(df.observe(seen, F.count(F.lit(1)).alias("records")))
-        records = seen.get["records"]
+        records = _records(seen)
     except Exception as failure:
         status, error = "failed", str(failure)
         raise

@@ -15,12 +15,14 @@ from roadlake.operators import clean, features, gold, ids, ml, news, quality, ra
 from roadlake.plans import gold as gold_plan
 from roadlake.plans import silver
 from roadlake.session import local_table, materialize, scratch_path
-from roadlake.sources import events
+from roadlake.sources import events, layers
 from roadlake.sources.views import stream_view, view
 from roadlake.streaming import jobs
 
 QUERIES = {}
 TODAY = "1996-03-13"
+#: Arrival of the second half of the events where a table is refreshed.
+LATER = "2024-02-01 00:00:00"
 # fields that articles carry and the view does not
 UNSEEN_NEWS = ("url", "published_at", "scraped_at", "extraction_confidence")
 FEATURE_MEANS = ("avg_speed", "rainfall_mm", "temperature_c", "humidity")
@@ -317,7 +319,7 @@ def _stored_run(app: str, folder: str) -> str:
     older = rain.withColumns({"precipitation_sum": F.lit(1e6), "ingestion_timestamp": F.lit("2020-01-01").cast("timestamp")})
     schemas.conform(rain.unionByName(older), StructType([*schemas.RAIN_DAY, StructField("ingestion_timestamp", TimestampType())])
                     ).write.parquet(f"{root}/raw/rain")
-    gold_plan.run(spark, root, as_of(), buckets=8)
+    gold_plan.run(spark, root, as_of())
     return root
 
 
@@ -364,11 +366,66 @@ def _refreshed(spark, folder, feed):
     """Half of the events are there when the table is made, the others arrive later, on the same days."""
     root = scratch_path(spark, f"refresh-{feed}")
     _store_raw(spark, folder, root, feed, 0)
-    first = silver.clean_batch(feed, events.read_raw(spark, root, feed))
-    events.write_buckets(first, f"{root}/silver/{feed}", silver.BATCH_KEYS[feed], 8)
-    _store_raw(spark, folder, root, feed, 1, "2024-02-01 00:00:00")
-    gold_plan.refresh(spark, root, feed, F.lit("2024-02-01").cast("timestamp"), buckets=8)
-    return plain(events.read_buckets(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]))
+    layers.write_whole(silver.clean_batch(feed, events.read_raw(spark, root, feed)), f"{root}/silver/{feed}")
+    _store_raw(spark, folder, root, feed, 1, LATER)
+    gold_plan.refresh(spark, root, feed, F.lit(LATER).cast("timestamp"))
+    return plain(gold_plan.clean_table(spark, root, feed))
+
+
+@functools.cache
+def _refreshed_run(app: str, folder: str) -> str:
+    """The folder of a batch run over half of the events and a refresh with the others, scores included."""
+    spark = SparkSession.active()
+    root = scratch_path(spark, "refreshed-run")
+    for feed in schemas.WIRE:
+        _store_raw(spark, folder, root, feed, 0)
+    gold_plan.run(spark, root, as_of())
+    for feed in schemas.WIRE:
+        _store_raw(spark, folder, root, feed, 1, LATER)
+    gold_plan.refresh_all(spark, root, F.lit(LATER).cast("timestamp"), as_of())
+    return root
+
+
+def _refreshed_table(spark, folder, name):
+    root = _refreshed_run(spark.sparkContext.applicationId, folder)
+    return plain(spark.read.parquet(events.versions(spark, f"{root}/gold/{name}")[-1]))
+
+
+@query
+def refresh_road_health_index(spark, folder):
+    """From partial aggregates by month, of which a refresh renews the months it touched."""
+    return settled(_refreshed_table(spark, folder, "road_health_index").drop("batch_time"), "rainfall", "road_health_index")
+
+
+@query
+def refresh_priority_score(spark, folder):
+    return _refreshed_table(spark, folder, "priority_score").drop("batch_time")
+
+
+@query
+def refresh_hotspots(spark, folder):
+    return _refreshed_table(spark, folder, "hotspot_analysis").drop("batch_time")
+
+
+@query
+def refresh_accident_prediction(spark, folder):
+    return settled(_refreshed_table(spark, folder, "accident_prediction").drop("batch_time", "prediction_date"), "predicted_accident_probability")
+
+
+@query
+def refresh_damage_prediction(spark, folder):
+    """Kept by month: only the months that the refresh touched are made anew."""
+    return plain(gold_plan.damage_table(spark, _refreshed_run(spark.sparkContext.applicationId, folder)), "batch_time")
+
+
+@query
+def rebuilt_from_fewer(spark, folder):
+    """A clean table that is rebuilt from fewer rows holds these alone."""
+    root = scratch_path(spark, "rebuilt")
+    path, rows = f"{root}/silver/traffic", silver.clean_batch("traffic", raw(spark, folder, "traffic"))
+    layers.write_whole(rows, path)
+    layers.write_whole(rows.filter("vehicle_count > 2000"), path)
+    return plain(gold_plan.clean_table(spark, root, "traffic"))
 
 
 @query

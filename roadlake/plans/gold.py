@@ -10,7 +10,7 @@ from roadlake import rules, schemas
 from roadlake.operators import clean, features, gold, ml, news, quality, rainfall
 from roadlake.plans import silver
 from roadlake.session import materialize
-from roadlake.sources import events
+from roadlake.sources import events, layers
 
 FEEDS = tuple(schemas.EVENT)
 # what tells the rows of a serving table apart within a batch
@@ -56,38 +56,54 @@ def score_tables(tables: dict[str, DataFrame], as_of: Column | None = None) -> d
     }
 
 
+def clean_table(spark: SparkSession, root: str, feed: str, months=None) -> DataFrame:
+    """A stored clean table, or some months of it; nothing else is read."""
+    return layers.read(spark, f"{root}/silver/{feed}", schemas.EVENT[feed], silver.BATCH_KEYS[feed], months)
+
+
 def clean_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored clean tables."""
-    return {feed: events.read_buckets(spark, f"{root}/silver/{feed}", schemas.EVENT[feed]) for feed in FEEDS}
+    return {feed: clean_table(spark, root, feed) for feed in FEEDS}
 
 
 def stored(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
     return events.read_snapshot(spark, f"{root}/{name}", schema)
 
 
+def done_jobs(spark: SparkSession, root: str, run_id: str) -> set[str]:
+    """The jobs that ended well under a run's id."""
+    log = events.read_or_empty(spark, f"{root}/logs/run_log", schemas.RUN_LOG)
+    ended = log.filter((F.col("checkpoint_path") == run_id) & (F.col("status") == "success"))
+    return {row[0] for row in ended.select("job_name").distinct().collect()}  # one for each job at most
+
+
 def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: dict[str, str] | None = None,
-        batch_id: int | None = None, buckets: int = rules.BUCKETS) -> None:
-    """One batch over the tables below ``root``: raw/<feed> to silver, enriched, features, quality and gold.
+        batch_id: int | None = None, run_id: str | None = None) -> None:
+    """One batch over the tables below ``root``: raw/<feed> to silver, enriched, features, quality, parts and gold.
 
     Each job leaves a row in logs/run_log. With ``serving`` (JDBC options) complete rows are published as well,
     under ``batch_id`` so that a repeated run adds nothing, and the others are kept under ``rejects``.
+    A run that is called again with its ``run_id`` goes on after the jobs that ended under it, whose tables it reads; it
+    should get the same ``as_of``.
     """
     now = F.current_timestamp() if as_of is None else as_of
+    done = done_jobs(spark, root, run_id) if run_id else set()
 
     def job(df: DataFrame, layer: str, name: str, write=None) -> DataFrame:
-        """Store a table as a logged job and give it back as stored."""
+        """Store a table as a logged job, if that was not done, and give it back as stored."""
         path = f"{root}/{layer}/{name}"
-        quality.run_logged(
-            df, f"{layer}_{name}", layer, write or (lambda rows: events.write_version(rows, path)),
-            lambda row: row.coalesce(1).write.mode("append").parquet(f"{root}/logs/run_log"),
-        )
+        if f"{layer}_{name}" not in done:
+            quality.run_logged(
+                df, f"{layer}_{name}", layer, write or (lambda rows: events.write_version(rows, path)),
+                lambda row: row.coalesce(1).write.mode("append").parquet(f"{root}/logs/run_log"), run_id,
+            )
         return df if write else stored(spark, root, f"{layer}/{name}", df.schema)
 
     raw = {feed: events.read_raw(spark, root, feed) for feed in FEEDS}
     for feed in FEEDS:
-        path, keys = f"{root}/silver/{feed}", silver.BATCH_KEYS[feed]
-        job(silver.clean_batch(feed, raw[feed]), "silver", feed, lambda rows, p=path, k=keys: events.write_buckets(rows, p, k, buckets))
-    refresh_rain(spark, root, job)
+        job(silver.clean_batch(feed, raw[feed]), "silver", feed, lambda rows, p=f"{root}/silver/{feed}": layers.write_whole(rows, p))
+    if "silver_rain" not in done:  # reads the table that it replaces
+        refresh_rain(spark, root, job)
     tables = clean_tables(spark, root)
     full = {feed: job(silver.clean_enriched(feed, raw[feed], now), "enriched", feed) for feed in FEEDS}
     context = job(features.district_context(full["reports"], full["traffic"], full["weather"]), "features", "district_context")
@@ -97,12 +113,94 @@ def run(spark: SparkSession, root: str, as_of: Column | None = None, serving: di
         for layer, table in (("bronze", raw), ("silver", tables)) for feed in FEEDS
     ]), "quality", "metrics")
     job(news.road_summary(tables["news"]), "gold", "news_summary")
-    for name, scores in score_tables(tables, as_of).items():
+    for feed in FEEDS:
+        parts = gold.partial(feed, tables[feed], layers.month_of())
+        job(parts, "parts", feed, lambda rows, p=f"{root}/parts/{feed}": layers.write_whole(rows, p, F.col(layers.MONTH)))
+    for name, scores in scores_of_parts(spark, root, tables["reports"], as_of).items():
         table = job(scores, "gold", name)
         if serving:
-            complete, rejected = gold.split_complete(table, schemas.REQUIRED[name])
-            events.write_jdbc(complete, name, serving, batch_id, SERVING_KEYS[name])
-            events.write_version(rejected, f"{root}/rejects/{name}")
+            publish(table, root, name, serving, batch_id)
+    damage = gold.damage_prediction(tables["reports"], as_of, also=["event_time"])
+    job(damage, "gold", "damage_prediction", lambda rows: write_damage(rows, root, layers.write_whole))
+    if serving:
+        publish(damage_table(spark, root), root, "damage_prediction", serving, batch_id)
+
+
+def publish(table: DataFrame, root: str, name: str, serving: dict[str, str], batch_id: int | None) -> None:
+    """Complete rows go to the serving table, the others to ``rejects``."""
+    complete, rejected = gold.split_complete(table, schemas.REQUIRED[name])
+    events.write_jdbc(complete, name, serving, batch_id, SERVING_KEYS[name])
+    events.write_version(rejected, f"{root}/rejects/{name}")
+
+
+# scores kept up to date: partial aggregates by month, and the months that a refresh touched
+
+
+def write_damage(rows: DataFrame, root: str, write) -> None:
+    """Predicted damage is kept by month, as it follows from each report alone."""
+    write(rows.withColumn(layers.MONTH, layers.month_of()).drop("event_time"), f"{root}/gold/damage_prediction", F.col(layers.MONTH))
+
+
+def damage_table(spark: SparkSession, root: str) -> DataFrame:
+    columns = gold.damage_prediction(spark.createDataFrame([], schemas.EVENT["reports"])).schema
+    return layers.read_months(spark, f"{root}/gold/damage_prediction", columns).filter("report_id IS NOT NULL").select(*columns.names)
+
+
+def parts_of(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """The partial aggregates of a feed, all months."""
+    shape = gold.partial(feed, spark.createDataFrame([], schemas.EVENT[feed]), layers.month_of()).drop(layers.MONTH).schema
+    return layers.read_months(spark, f"{root}/parts/{feed}", shape)
+
+
+def scores_of_parts(spark: SparkSession, root: str, reports: DataFrame, as_of: Column | None = None) -> dict[str, DataFrame]:
+    """The score tables of roads from stored partial aggregates; only the priority reads ``reports``, for its rows."""
+    as_of = F.current_timestamp() if as_of is None else as_of
+    sums = {feed: gold.combined(parts_of(spark, root, feed), keys) for feed, (keys, _) in gold.PARTS.items()}
+    severity = sums["reports"].select(*gold.ROAD, F.col("mean").alias("severity"))
+    traffic = sums["traffic"].select(*gold.ROAD, (F.col("mean") / rules.TRAFFIC_DIVISOR).alias("traffic"))
+    rainfall = sums["weather"].select("district", F.col("mean").alias("rainfall"))
+    # stored once, as it is published and feeds the accident prediction
+    health = materialize(gold.health_of(severity, rainfall, traffic, as_of), "road-health")
+    accidents = sums["accidents"].select(*gold.ROAD, F.col("rows").alias("accident_count"))
+    mentions = sums["news"].select("district", F.col("rows").alias("news_count"))
+    context = gold.context_of(sums["reports"].select(*gold.ROAD, F.col("rows").alias("n")), traffic, accidents, mentions)
+    roads = gold.combined(parts_of(spark, root, "reports"), ["road_name"])
+    return {
+        "road_health_index": health,
+        "priority_score": gold.priority_of(reports, context, as_of),
+        "accident_prediction": gold.accident_prediction(health, as_of),
+        "hotspot_analysis": gold.hotspots_of(roads.select("road_name", F.col("rows").alias("report_count"), F.col("mean").alias("avg_severity")), as_of),
+    }
+
+
+def refresh_parts(spark: SparkSession, root: str, feed: str, months: list[str]) -> None:
+    """Bring the partial aggregates of some months up to date: only these months of the clean table are read."""
+    rows = gold.partial(feed, clean_table(spark, root, feed, months), layers.month_of())
+    # a month whose rows have all moved away still replaces its former state
+    keys, _ = gold.PARTS[feed]
+    empty = spark.createDataFrame([(m,) for m in months], f"{layers.MONTH} string").select(
+        layers.MONTH, *[F.lit(None).cast("string").alias(k) for k in keys],
+        F.lit(0).cast("long").alias("rows"), F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("known"), F.lit(None).cast("timestamp").alias("latest"),
+    )
+    layers.write_delta(rows.unionByName(empty), f"{root}/parts/{feed}", F.col(layers.MONTH))
+
+
+def refresh_scores(spark: SparkSession, root: str, touched: dict[str, list[str]], as_of: Column | None = None) -> None:
+    """Bring the score tables up to date after a refresh that touched these months of each feed; equals making them anew."""
+    for feed, months in touched.items():
+        if months:
+            refresh_parts(spark, root, feed, months)
+    if not any(touched.values()):
+        return
+    for name, scores in scores_of_parts(spark, root, clean_table(spark, root, "reports"), as_of).items():
+        events.write_version(scores, f"{root}/gold/{name}")
+    if touched.get("reports"):
+        months = touched["reports"]
+        rows = gold.damage_prediction(clean_table(spark, root, "reports", months), as_of, also=["event_time"])
+        kept = rows.withColumn(layers.MONTH, layers.month_of()).drop("event_time")
+        # as above; readers leave out rows without a report
+        gone = spark.createDataFrame([(m,) for m in months], f"{layers.MONTH} string")
+        layers.write_delta(kept.unionByName(gone, allowMissingColumns=True), f"{root}/gold/damage_prediction", F.col(layers.MONTH))
 
 
 def refresh_rain(spark: SparkSession, root: str, job) -> None:
@@ -114,19 +212,43 @@ def refresh_rain(spark: SparkSession, root: str, job) -> None:
     job(rainfall.upsert(known, rolled).drop("action").select(rolled.columns), "silver", "rain")
 
 
-def refresh(spark: SparkSession, root: str, feed: str, arrived: Column, buckets: int = rules.BUCKETS) -> list[int]:
-    """Bring a clean table up to date with the raw rows that came in since ``arrived``, whatever their day.
+def upsert(spark: SparkSession, root: str, feed: str, new: DataFrame) -> tuple[list[str], int]:
+    """Merge clean rows into a clean table: (months that changed, rows that were stored).
+
+    What is stored are the new rows that win against the known ones, as a delta; copies are not. The table's key columns tell
+    which months hold a row of these keys, and only those months are read, wherever the row moves.
+    """
+    path, schema, keys = f"{root}/silver/{feed}", schemas.EVENT[feed], silver.BATCH_KEYS[feed]
+    new = materialize(new, "arrived")
+    places = layers.months_with(spark, path, schema, keys, new)
+    known = clean_table(spark, root, feed, places)
+    known = known.join(new.select(*keys), layers.same_keys(known, new, keys), "left_semi")
+    # the mark decides last, so an equal row stays the known one
+    both = known.withColumn("_known", F.lit(True)).unionByName(new.withColumn("_known", F.lit(False)))
+    changed = materialize(silver.newest(feed, both).filter("NOT _known").drop("_known"), "changed")
+    replaced = known.join(changed.select(*keys), layers.same_keys(known, changed, keys), "left_semi")
+    months = changed.select(layers.month_of().alias("m")).unionByName(replaced.select(layers.month_of().alias("m"))).distinct()
+    months = sorted(row.m for row in months.collect())  # as many as the table has, at most
+    if months:
+        layers.write_delta(changed, path)
+    return months, changed.count() if months else 0
+
+
+def refresh(spark: SparkSession, root: str, feed: str, arrived: Column) -> list[str]:
+    """Bring a clean table up to date with the raw rows that came in since ``arrived``, whatever their day; gives the months that changed.
 
-    Only the buckets of their keys are read and written; gives these buckets.
+    Reads the raw days since then, the key columns of the table and the months of these keys; writes the rows that changed. Deltas become part of the
+    table once they hold a tenth of it.
     """
-    keys = silver.BATCH_KEYS[feed]
-    new = silver.clean_batch(feed, events.read_raw(spark, root, feed, arrived=arrived))
-    new = materialize(new.withColumn("bucket", events.bucket_of(keys, buckets)), "arrived")
-    touched = sorted(row.bucket for row in new.select("bucket").distinct().collect())  # at most ``buckets``
-    if touched:
-        path = f"{root}/silver/{feed}"
-        known = events.read_buckets(spark, path, schemas.EVENT[feed], touched)
-        events.write_buckets(silver.newest(feed, known.unionByName(new.drop("bucket"))), path, keys, buckets)
+    months, _ = upsert(spark, root, feed, silver.clean_batch(feed, events.read_raw(spark, root, feed, arrived=arrived)))
+    layers.merge(spark, f"{root}/silver/{feed}", schemas.EVENT[feed], silver.BATCH_KEYS[feed])
+    return months
+
+
+def refresh_all(spark: SparkSession, root: str, arrived: Column, as_of: Column | None = None) -> dict[str, list[str]]:
+    """Refresh all clean tables and what follows from them; gives the months that changed in each."""
+    touched = {feed: refresh(spark, root, feed, arrived) for feed in FEEDS}
+    refresh_scores(spark, root, touched, as_of)
     return touched
 
 

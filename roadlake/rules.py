@@ -239,9 +239,6 @@ ARTICLES_PER_QUERY = 15
 # A report takes so many images at most.
 MOST_IMAGES = 5
 
-# Clean tables are stored in so many buckets; a refresh rewrites those it touches.
-BUCKETS = 256
-
 # Points of a hotspot: for each report, and for each point of mean severity.
 HOTSPOT_WEIGHTS = {"report_count": 5.0, "avg_severity": 0.5}
 # Confidence of a signal in a text: (without, for each keyword). A stated count and an estimated one.

@@ -1,5 +1,7 @@
 """Event sources and sinks: keyed JSON messages, raw tables, snapshots, serving tables."""
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from roadlake import rules, schemas
 from roadlake.operators import clean
 
 CORRUPT = "_corrupt_record"
+#: Partition of raw tables: the day on which a row came in.
+ARRIVAL = "arrival_day"
 ISO_SECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 KEYS = rules.MESSAGE_KEYS
 #: A message names its event by one of these.
@@ -68,14 +72,13 @@ def with_lineage(raw: DataFrame, feed: str, as_of: Column | None = None) -> Data
     """Add ingestion time, source and partition keys. News carries its own source; traffic has no district key."""
     now = F.current_timestamp() if as_of is None else as_of
     source = {} if feed == "news" else {"source": F.lit(f"kafka_{'road_reports' if feed == 'reports' else feed}")}
-    return clean.add_partition_keys(
-        raw.withColumns({"ingestion_timestamp": now, **source}), district=None if feed == "traffic" else "district"
-    )
+    arrived = {"ingestion_timestamp": now, ARRIVAL: F.date_format(now, "yyyy-MM-dd")}
+    return clean.add_partition_keys(raw.withColumns({**arrived, **source}), district=None if feed == "traffic" else "district")
 
 
 def partition_columns(feed: str) -> list[str]:
-    """By day only: district names are free text, and a folder for each would hold a few rows."""
-    return ["valid", "date_partition"]
+    """By days of arrival and event: district names are free text, and a folder for each would hold a few rows."""
+    return ["valid", ARRIVAL, "date_partition"]
 
 
 def route_weather(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,14 +113,16 @@ def read_raw(spark: SparkSession, root: str, feed: str, since: str | None = None
     rows that came in at that time or later, whatever their day (or without a known arrival)."""
     stored = StructType([
         *schemas.EVENT[feed], StructField("valid", BooleanType()), StructField("date_partition", StringType()),
-        StructField("ingestion_timestamp", TimestampType()),
+        StructField("ingestion_timestamp", TimestampType()), StructField(ARRIVAL, StringType()),
     ])
     rows = read_or_empty(spark, f"{root}/raw/{feed}", stored).filter("valid")
     if since:
         rows = rows.filter(F.col("date_partition") >= since)
     if arrived is not None:
+        day = F.col(ARRIVAL)
+        rows = rows.filter((day >= F.date_format(arrived, "yyyy-MM-dd")) | day.isNull())  # skips folders
         rows = rows.filter((F.col("ingestion_timestamp") >= arrived) | F.col("ingestion_timestamp").isNull())
-    return rows.drop("valid", "date_partition", "ingestion_timestamp")
+    return rows.select(*schemas.EVENT[feed].names)
 
 
 def write_partitioned(df: DataFrame, path: str, by) -> None:
@@ -134,7 +139,7 @@ def write_snapshot(df: DataFrame, path: str, by=None) -> None:
     writer.partitionBy(*by).parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """The file system of a path, and the path for it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -142,11 +147,11 @@ def _files(spark: SparkSession, path: str):
 
 def versions(spark: SparkSession, path: str) -> list[str]:
     """The finished versions of a snapshot, oldest first."""
-    files, place = _files(spark, path)
+    files, place = files_of(spark, path)
     if not files.exists(place):
         return []
     found = sorted(s.getPath().toString() for s in files.listStatus(place) if s.getPath().getName().startswith("version="))
-    return [v for v in found if files.exists(_files(spark, f"{v}/_SUCCESS")[1])]
+    return [v for v in found if files.exists(files_of(spark, f"{v}/_SUCCESS")[1])]
 
 
 def write_version(df: DataFrame, path: str, keep: int = 2) -> None:
@@ -157,7 +162,7 @@ def write_version(df: DataFrame, path: str, keep: int = 2) -> None:
     number = int(known[-1].rsplit("=", 1)[1]) + 1 if known else 0
     df.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
     for old in versions(spark, path)[:-keep]:
-        files, place = _files(spark, old)
+        files, place = files_of(spark, old)
         files.delete(place, True)
 
 
@@ -167,40 +172,47 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(known[-1]) if known else spark.createDataFrame([], schema)
 
 
-def bucket_of(keys, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
+def write_batch(df: DataFrame, path: str, batch: str, by=()) -> None:
+    """Store a batch of a table that only grows, in a folder of its own: a repeated batch replaces itself. The rows are
+    rebalanced by their bytes, so a partition that fills the batch is written by many tasks and small ones share files."""
+    rows = df.hint("rebalance", *by) if by else df.hint("rebalance")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/batch={batch}")
 
-def bucket_paths(spark: SparkSession, path: str) -> dict[int, str]:
-    """Where the newest state of each bucket lies: a version holds some buckets, each of them whole."""
-    newest: dict[int, str] = {}
-    for version in versions(spark, path):
-        files, place = _files(spark, version)
-        for found in files.listStatus(place):
-            if found.getPath().getName().startswith("bucket="):
-                newest[int(found.getPath().getName().split("=")[1])] = found.getPath().toString()
-    return newest
 
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """The finished batches of a table, oldest first."""
+    files, place = files_of(spark, path)
+    if not files.exists(place):
+        return []
+    found = [s for s in files.listStatus(place) if s.getPath().getName().startswith("batch=")]
+    found = [s for s in found if files.exists(files_of(spark, f"{s.getPath().toString()}/_SUCCESS")[1])]
+    return [s.getPath().toString() for s in sorted(found, key=lambda s: (s.getModificationTime(), s.getPath().toString()))]
 
-def read_buckets(spark: SparkSession, path: str, schema: StructType, only=None) -> DataFrame:
-    """A table stored in buckets, or some of its buckets; nothing else is read."""
-    places = [p for b, p in sorted(bucket_paths(spark, path).items()) if only is None or b in only]
-    return spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
 
+def compact_batches(spark: SparkSession, path: str, before: str, by=()) -> int:
+    """Gather the batches that hold only arrivals of days before ``before`` (yyyy-MM-dd) into one; gives how many there were.
 
-def write_buckets(df: DataFrame, path: str, keys, buckets: int) -> None:
-    """Store whole buckets as a new version; the others stay where they are. Versions that no bucket needs are deleted,
-    but for the one before, which readers may still use."""
-    spark = df.sparkSession
-    known = versions(spark, path)
-    number = int(known[-1].rsplit("=", 1)[1]) + 1 if known else 0
-    rows = df.withColumn("bucket", bucket_of(keys, buckets)).hint("rebalance", "bucket")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{path}/version={number:012d}")
-    used = {p.rsplit("/", 1)[0] for p in bucket_paths(spark, path).values()}
-    for old in known[:-1]:
-        if old not in used:
-            files, place = _files(spark, old)
-            files.delete(place, True)
+    The newest batch of a query may be repeated and stays. The gathered batch is written before the others go, so
+    nothing is lost; a job broken in between leaves rows twice, as a repeated delivery would, and the next one gathers them again.
+    """
+    newest: dict[str, str] = {}
+    for batch in batches(spark, path):
+        newest[batch.rsplit("batch=", 1)[1].rsplit("-", 1)[0]] = batch
+    closed = []
+    for batch in batches(spark, path):
+        if newest[batch.rsplit("batch=", 1)[1].rsplit("-", 1)[0]] != batch or "batch=closed-" in batch:
+            days = {str(r[0]) for r in spark.read.option("basePath", path).parquet(batch).select(ARRIVAL).distinct().collect()}
+            if all(day < before for day in days):
+                closed.append(batch)
+    if len(closed) < 2:
+        return 0
+    rows = spark.read.option("basePath", path).parquet(*closed).drop("batch")
+    write_batch(rows, path, f"closed-{uuid.uuid4().hex}", by)
+    for old in closed:
+        files, place = files_of(spark, old)
+        files.delete(place, True)
+    return len(closed)
 
 
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], batch_id: int | None = None, keys=()) -> None:
