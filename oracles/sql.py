@@ -451,6 +451,9 @@ ORACLES = {
         ON p.report_id = b.report_id AND rn = 1""", "photo_reports", "classified"),
     "publishable": (
         "SELECT road_name, district, round(road_health_index, 10) AS road_health_index, road_name IS NOT NULL AND district IS NOT NULL AND severity IS NOT NULL AS accepted FROM rhi", "rhi"),
+    "numbered_runs": (
+        """SELECT event_id, printf('R%03d', row_number() OVER (ORDER BY event_time IS NULL OR event_time >= TIMESTAMP '1995-01-01', event_time NULLS FIRST, event_id)) AS report_id
+        FROM reports""", "reports"),
     "sequential_ids": ("SELECT event_id, printf('R%03d', row_number() OVER (ORDER BY event_time, event_id)) AS report_id FROM reports", "reports"),
     "stats": (
         """SELECT count(*) AS total_reports, count(*) FILTER (CAST(event_time AS DATE) = DATE '1996-03-13') AS today_reports,
@@ -502,10 +505,27 @@ ORACLES = {
         row_number() OVER (PARTITION BY url ORDER BY article_no) AS rn FROM news_articles) WHERE rn = 1
         AND article_id NOT IN (SELECT article_id FROM ledger)""", "news_articles", "ledger"),
     "news_mark_seen": ("SELECT * FROM ledger UNION SELECT left(sha256(url), 16), url FROM news_articles", "ledger", "news_articles"),
+    "articles_mentions": (
+        """SELECT left(sha256(url), 16) AS event_id, TIMESTAMP '2024-02-01 00:00:00' AS event_time, 'Surabaya' AS city, district, sentiment_score,
+        x.source, complaint_count, sentiment, extraction_confidence, nullif(road_name, 'UNKNOWN') AS road_name, damage_type, severity_level,
+        severity_score, damage_type AS keyword, coalesce(confidence, 0e0) AS road_confidence
+        FROM articles x JOIN art USING (article_no) LEFT JOIN mentions m USING (article_no) WHERE article_no IN (
+          SELECT min(article_no) FROM news_articles WHERE left(sha256(url), 16) NOT IN (SELECT article_id FROM ledger) GROUP BY url)""",
+        "articles", "art", "mentions", "news_articles", "ledger"),
+    "articles_ledger": ("SELECT * FROM ledger UNION SELECT left(sha256(url), 16), url FROM news_articles", "ledger", "news_articles"),
     "news_topn": ("SELECT search, place FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY place) AS rn FROM feed_entries) WHERE rn <= 15",
                   "feed_entries"),
     "news_summary": (_SUMMARY.format("news_raw"), "news_raw"),
     "feed_dates": ("SELECT entry_no, CASE WHEN kind IS NOT NULL AND kind <> 'not a date' THEN published END AS published_at FROM feed_dates", "feed_dates"),
+    "quarantine_reports": (
+        f"SELECT event_id, violations = '' AS accepted, violations FROM (SELECT event_id, {_violations('reports')} AS violations FROM reports_raw)", "reports_raw"),
+    "rules_of_damage": (
+        """SELECT CASE lower(trim(damage_type)) WHEN 'd00_longitudinal_crack' THEN 'Longitudinal Crack' WHEN 'd10_transverse_crack' THEN 'Transverse Crack'
+        WHEN 'd20_alligator_crack' THEN 'Alligator Crack' WHEN 'd40_pothole' THEN 'Pothole' WHEN 'd50_other_damage' THEN 'Other Damage' END AS damage_type,
+        count(*) AS n FROM reports_raw GROUP BY ALL HAVING damage_type IS NOT NULL""", "reports_raw"),
+    "reports_in_bounds": (
+        """SELECT event_id, -7.2575e0 AS center_lat, 112.7521e0 AS center_lon FROM reports_raw
+        WHERE latitude BETWEEN -7.5 AND -7.0 AND longitude BETWEEN 112.5 AND 113.0""", "reports_raw"),
     "range_violations": (
         " UNION ALL ".join(f"SELECT '{f}' AS feed, event_id, {_violations(f)} AS violations FROM {f}_raw" for f in _RANGES),
         "reports_raw", "weather_raw", "traffic_raw"),
@@ -517,6 +537,13 @@ ORACLES = {
         "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw"),
     "run_log": ("SELECT 'clean_traffic' AS job_name, 'silver' AS layer, 'success' AS status, count(*) AS record_processed FROM traffic", "traffic"),
     "accident_features": (_settled("accident_rows", *_FEATURE_MEANS), "accident_rows"),
+    "ml_split": (
+        """SELECT district, count(*) FILTER (place < 800) AS training_rows, count(*) FILTER (place >= 800) AS test_rows FROM (
+        SELECT district, CAST('0x' || left(md5('42:' || accident_id), 8) AS BIGINT) % 1000 AS place FROM accident_rows) GROUP BY district""", "accident_rows"),
+    "ml_medians": (
+        "SELECT " + ", ".join(f"round(CAST(quantile_disc(CAST({c} AS FLOAT), 0.5) AS DOUBLE), 3) AS {c}" for c in (
+            "damage_report_count", "avg_severity", "max_severity", "avg_speed", "traffic_event_count", "rainfall_mm", "temperature_c", "humidity"))
+        + " FROM accident_rows WHERE CAST('0x' || left(md5('42:' || accident_id), 8) AS BIGINT) % 1000 < 800", "accident_rows"),
     "training_rows": (
         """SELECT accident_id, event_time, CAST(damage_report_count AS FLOAT) AS damage_report_count, CAST(max_severity AS FLOAT) AS max_severity,
         CAST(traffic_event_count AS FLOAT) AS traffic_event_count, CASE WHEN accident_severity IN ('High', 'Critical') THEN 1e0 ELSE 0e0 END AS label
@@ -529,6 +556,11 @@ ORACLES = {
             *((f, f"{f}_raw") for f in ("reports", "weather", "traffic", "news", "accidents")), ("rain", "rain_lines"))),
         "reports_raw", "weather_raw", "traffic_raw", "news_raw", "accidents_raw", "rain_lines"),
     "stream_dedup_odd_times": ("SELECT DISTINCT event_id, vehicle_count FROM traffic_raw", "traffic_raw"),
+    "stream_read": ("SELECT event_id, road_name, vehicle_count FROM traffic_raw", "traffic_raw"),
+    "stream_silver": ("SELECT * FROM traffic", "traffic"),
+    "stream_counts": (
+        """SELECT 'traffic' AS feed, 2 * count(*) AS messages, (SELECT count(*) FROM traffic) AS stored,
+        2 * count(*) - (SELECT count(*) FROM traffic) AS copies, 2 * count(*) AS late FROM traffic_raw""", "traffic", "traffic_raw"),
     "stream_dead_letter": ("SELECT event_id, condition IS NULL AS dead FROM weather_raw", "weather_raw"),
     "stream_dedup": ("SELECT DISTINCT event_id, road_name, vehicle_count FROM traffic_raw", "traffic_raw"),
     "stream_simple_priority": ("SELECT * FROM simple", "simple"),
@@ -539,7 +571,7 @@ ORACLES = {
 
 
 ORACLES["run_priority_score"] = ORACLES["priority_score"]
-for _scores in ("road_health_index", "priority_score", "hotspots", "accident_prediction", "damage_prediction"):
+for _scores in ("road_health_index", "priority_score", "hotspots", "accident_prediction", "damage_risk"):
     ORACLES[f"refresh_{_scores}"] = ORACLES[_scores]
 ORACLES["run_quality"] = ORACLES["quality_metrics"]
 

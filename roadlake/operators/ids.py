@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from roadlake.session import materialize
+from roadlake.sources import events
 
 
 def assign_report_ids(df: DataFrame, start: int = 1, order=("event_time", "event_id"),
@@ -33,3 +35,19 @@ def assign_report_ids(df: DataFrame, start: int = 1, order=("event_time", "event
         .withColumn("report_id", F.format_string("R%03d", number))
         .drop("_part", "_place", "_before")
     )
+
+
+def number_new(df: DataFrame, path: str, run: str, key: str = "event_id", order=("event_time", "event_id")) -> DataFrame:
+    """Number the rows that the table at ``path`` does not hold, after its highest number, and add them to it; gives what this run added.
+
+    The counter is the highest stored number, so runs follow each other without gap or overlap. A run has a name: called again with it, it
+    replaces what it stored, and its numbers are the same for the same rows as long as no other run came between.
+    """
+    spark = df.sparkSession
+    shape = StructType([f for f in df.schema if f.name == key] + [StructField("number", LongType()), StructField("batch", StringType())])
+    known = events.read_or_empty(spark, path, shape).filter(F.col("batch") != run)
+    last = known.agg(F.max("number")).first()[0] or 0
+    new = df.join(known.select(key), key, "left_anti")
+    numbered = assign_report_ids(new, last + 1, order).withColumn("number", F.substring("report_id", 2, 20).cast("long"))
+    events.write_batch(numbered, path, run)
+    return spark.read.schema(numbered.schema).parquet(f"{path}/batch={run}")

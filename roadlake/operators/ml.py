@@ -4,10 +4,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake import rules, schemas
+from roadlake.session import materialize
 
 
 def training_rows(features: DataFrame, severe=rules.SEVERE_LEVELS) -> DataFrame:
@@ -22,20 +23,32 @@ def training_rows(features: DataFrame, severe=rules.SEVERE_LEVELS) -> DataFrame:
 
 
 def split(rows: DataFrame, key: str, train_share: float = rules.TRAIN_SHARE, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Split by a hash of the key: the same rows on any cluster and in any partitioning."""
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1000))
-    is_train = place < int(train_share * 1000)
+    """Split by the MD5 of the key: the same rows on any cluster, in any partitioning and in any engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    place = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") % 1000
+    is_train = F.coalesce(place < int(train_share * 1000), F.lit(True))
     return rows.filter(is_train), rows.filter(~is_train)
 
 
+def imputer() -> Imputer:
+    """Missing inputs become the exact median, the lower one of two."""
+    names = list(rules.MODEL_FEATURES)
+    return Imputer(inputCols=names, outputCols=names, strategy="median", relativeError=0.0)
+
+
+def medians(rows: DataFrame) -> DataFrame:
+    """One row: what replaces a missing value of each input."""
+    return imputer().fit(rows).surrogateDF
+
+
 def train(rows: DataFrame, forest=rules.FOREST) -> PipelineModel:
-    """Median imputation, vector assembly and a random forest. Fails on too few rows."""
+    """Exact median imputation, vector assembly and a random forest. Fails on too few rows."""
     fewest = rules.MIN_TRAINING_ROWS
     if len(rows.select(F.lit(1)).take(fewest)) < fewest:
         raise ValueError(f"training needs at least {fewest} rows")
     names = list(rules.MODEL_FEATURES)
     stages = [
-        Imputer(inputCols=names, outputCols=names, strategy="median"),
+        imputer(),
         VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(labelCol="label", featuresCol="features", **forest),
     ]
@@ -53,6 +66,35 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     return predictions.sparkSession.createDataFrame([row], "auc_roc double, f1 double, accuracy double")
 
 
+def confusion(predictions: DataFrame) -> DataFrame:
+    """Rows by label and prediction."""
+    return predictions.groupBy("label", "prediction").agg(F.count("*").alias("rows"))
+
+
+def f1_of(table: DataFrame) -> DataFrame:
+    """Weighted F1 and accuracy from a confusion table, in SQL."""
+    label = table.groupBy(F.col("label").alias("class")).agg(F.sum("rows").alias("own"))
+    guess = table.groupBy(F.col("prediction").alias("class")).agg(F.sum("rows").alias("told"))
+    right = table.filter("label = prediction").select(F.col("label").alias("class"), F.col("rows").alias("hit"))
+    each = label.join(guess, "class", "left").join(right, "class", "left").fillna(0, ["told", "hit"])
+    return each.agg((F.sum(F.col("own") * 2 * F.col("hit") / (F.col("own") + F.col("told"))) / F.sum("own")).alias("f1"), (F.sum("hit") / F.sum("own")).alias("accuracy"))
+
+
+def auc_of(predictions: DataFrame, score: str = "score") -> DataFrame:
+    """Area under the ROC curve from rank sums; equal scores share their mean rank. Rows are first counted by score, so ranks
+    are running sums over the different scores, cut into ranges as in ``ids``."""
+    counts = predictions.groupBy(score).agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("positive"))
+    n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = materialize(counts.repartitionByRange(n, score).withColumn("_part", F.spark_partition_id()), "score-counts")
+    offsets = parts.groupBy("_part").agg(F.sum("n").alias("size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = offsets.select("_part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(score)
+    ranked = parts.join(F.broadcast(offsets), "_part").withColumn("rank", F.col("_before") + F.sum("n").over(inside) - (F.col("n") - 1) / 2)
+    total = ranked.agg(F.sum(F.col("rank") * F.col("positive")).alias("ranks"), F.sum("positive").alias("p"), (F.sum("n") - F.sum("positive")).alias("q"))
+    return total.select(((F.col("ranks") - F.col("p") * (F.col("p") + 1) / 2) / F.nullif(F.col("p") * F.col("q"), F.lit(0))).alias("auc"))
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -20,8 +20,13 @@ def published_at(raw: str) -> Column:
 
 
 def top_entries(feed: DataFrame, query: str, position: str, n: int = rules.ARTICLES_PER_QUERY) -> DataFrame:
-    """The first ``n`` entries of each search query, in feed order."""
-    return first_per_key(feed, [query], [F.asc(position)], n)
+    """The first ``n`` entries of each search query, in feed order; other columns decide between equal positions."""
+    return first_per_key(feed, [query], [F.asc(position), *_others(feed, query, position)], n)
+
+
+def _others(df: DataFrame, *named: str) -> list[Column]:
+    """The other columns that can be sorted, to settle ties the same way on any cluster."""
+    return [F.asc(c) for c, t in df.dtypes if c not in named and "map<" not in t]
 
 
 def unseen(articles: DataFrame, ledger: DataFrame, order: str, url: str = "url") -> DataFrame:
@@ -30,13 +35,15 @@ def unseen(articles: DataFrame, ledger: DataFrame, order: str, url: str = "url")
     Copies are cut per map task before the shuffle; the anti join uses the same key and so the
     same shuffle.
     """
-    first = first_per_key(articles.withColumn("article_id", article_id(url)), ["article_id"], [F.asc(order)])
+    named = articles.withColumn("article_id", article_id(url))
+    first = first_per_key(named, ["article_id"], [F.asc(order), *_others(named, "article_id", order)])
     return first.join(ledger.select("article_id"), "article_id", "left_anti")
 
 
 def mark_seen(ledger: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows to append to the ledger: articles of the batch it does not hold yet, each once."""
-    new = batch.select(*ledger.columns).dropDuplicates(["article_id"])
+    rows = batch.select(*ledger.columns)
+    new = first_per_key(rows, ["article_id"], _others(rows, "article_id") or [F.asc("article_id")])
     return new.join(ledger.select("article_id"), "article_id", "left_anti")
 
 

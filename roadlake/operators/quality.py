@@ -22,6 +22,15 @@ def check_ranges(df: DataFrame, ranges: dict) -> DataFrame:
     return df.withColumns({**flags, "violations": F.array_compact(names)})
 
 
+def quarantine(df: DataFrame, ranges: dict, path: str) -> tuple[DataFrame, DataFrame]:
+    """Store good rows and rows that break a rule apart, in one pass: (good rows, the others with ``violations``)."""
+    checked = check_ranges(df, ranges).drop(*[f"{c}_ok" for c in ranges])
+    routed = checked.withColumn("accepted", F.size("violations") == 0)
+    routed.hint("rebalance", "accepted").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("accepted").parquet(path)
+    stored = df.sparkSession.read.schema(routed.schema).parquet(path)
+    return stored.filter("accepted").drop("accepted", "violations"), stored.filter("NOT accepted").drop("accepted")
+
+
 def row_score(ranges: dict) -> Column:
     """Share of the range rules a row meets; an unknown value meets none.
 

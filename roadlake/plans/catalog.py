@@ -413,7 +413,7 @@ def refresh_accident_prediction(spark, folder):
 
 
 @query
-def refresh_damage_prediction(spark, folder):
+def refresh_damage_risk(spark, folder):
     """Kept by month: only the months that the refresh touched are made anew."""
     return plain(gold_plan.damage_table(spark, _refreshed_run(spark.sparkContext.applicationId, folder)), "batch_time")
 
@@ -464,6 +464,32 @@ def sql_functions(spark, folder):
     return spark.sql("SELECT event_id, standardize_district(district) AS district, standardize_damage_type(damage_type) AS damage_type FROM reports_named")
 
 
+@query
+def quarantine_reports(spark, folder):
+    """Reports that break a range rule are stored apart from the others, with the rules' columns."""
+    good, bad = quality.quarantine(raw(spark, folder, "reports"), rules.RANGE_RULES["reports"], scratch_path(spark, "routed"))
+    good = good.withColumn("violations", F.array().cast("array<string>"))
+    parts = good.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False)))
+    return parts.select("event_id", "accepted", F.concat_ws(",", "violations").alias("violations"))
+
+
+@query
+def rules_of_damage(spark, folder):
+    """Reports by damage type as the table of rules tells them: its keys are lower case."""
+    table = standardize.rules_table(spark).filter("domain = 'damage_types'")
+    reports = raw(spark, folder, "reports").select(F.lower(F.trim("damage_type")).alias("key"))
+    return reports.join(table, "key").groupBy(F.col("value").alias("damage_type")).agg(F.count("*").alias("n"))
+
+
+@query
+def reports_in_bounds(spark, folder):
+    """Reports inside the box of the table of bounds, which has one row."""
+    box = geo.bounds_table(spark)
+    rows = raw(spark, folder, "reports").select("event_id", "latitude", "longitude").join(F.broadcast(box), how="cross")
+    inside = F.col("latitude").between(F.col("min_lat"), F.col("max_lat")) & F.col("longitude").between(F.col("min_lon"), F.col("max_lon"))
+    return rows.filter(inside).select("event_id", "center_lat", "center_lon")
+
+
 @query
 def district_reports(spark, folder):
     """Reports per district of the fixed table, by the standard names; zero where there are none."""
@@ -626,6 +652,15 @@ def sequential_ids(spark, folder):
     return ids.assign_report_ids(reports).select("event_id", "report_id")
 
 
+@query
+def numbered_runs(spark, folder):
+    """Reports numbered in two runs, the older ones first; the second run goes on where the first one ended."""
+    reports = batch(spark, folder, "reports").select("event_id", "event_time")
+    path, old = scratch_path(spark, "numbers"), F.col("event_time") < "1995-01-01"
+    first = ids.number_new(reports.filter(old), path, "first-0")
+    return first.unionByName(ids.number_new(reports, path, "second-0")).select("event_id", "report_id")
+
+
 # serving
 
 
@@ -854,6 +889,22 @@ def ml_metrics(spark, folder):
     return gold_plan.train_model(_accident_features(spark, folder), scratch_path(spark, "accident-model"))
 
 
+@query
+def ml_split(spark, folder):
+    """Training and test rows by district."""
+    parts = ml.split(ml.training_rows(_accident_features(spark, folder)), "accident_id")
+    both = parts[0].withColumn("train", F.lit(True)).unionByName(parts[1].withColumn("train", F.lit(False)))
+    return both.groupBy("district").agg(F.count_if("train").alias("training_rows"), F.count_if(~F.col("train")).alias("test_rows"))
+
+
+@query
+def ml_medians(spark, folder):
+    """What replaces a missing input of the model."""
+    rows = ml.training_rows(_accident_features(spark, folder))
+    found = ml.medians(materialize(ml.split(rows, "accident_id")[0], "training-rows"))
+    return found.select(*[F.round(F.col(c).cast("double"), 3).alias(c) for c in rules.MODEL_FEATURES])
+
+
 @query
 def ml_scores(spark, folder):
     """Severe accidents predicted per district by a stored model."""
@@ -917,6 +968,58 @@ def stream_dedup_odd_times(spark, folder):
     return spark.read.parquet(f"{root}/traffic").select("event_id", "vehicle_count")
 
 
+@query
+def stream_read(spark, folder):
+    """Messages in text files, read as a stream by the same reader as a broker's."""
+    root = scratch_path(spark, "stream-read")
+    events.to_envelope(raw(spark, folder, "traffic"), "event_id").select("value").write.text(f"{root}/messages")
+    messages = jobs.read_stream(spark, "text", "traffic", path=f"{root}/messages")
+    jobs.finish([jobs.start_bronze(messages, "traffic", root, as_of())])
+    return events.read_raw(spark, root, "traffic").select("event_id", "road_name", "vehicle_count")
+
+
+def _streamed_silver(spark, folder):
+    """Every message comes twice."""
+    root = scratch_path(spark, "stream-silver")
+    messages = _messages(spark, folder, "traffic")
+    jobs.finish([jobs.start_silver(messages.unionByName(messages), "traffic", root, as_of=as_of())])
+    return root
+
+
+@query
+def stream_silver(spark, folder):
+    return plain(gold_plan.clean_table(spark, _streamed_silver(spark, folder), "traffic"))
+
+
+@query
+def stream_counts(spark, folder):
+    """What a stream into the clean table stored, and what came as a copy or late."""
+    counts = spark.read.parquet(f"{_streamed_silver(spark, folder)}/logs/stream_counts")
+    return counts.groupBy("feed").agg(*[F.sum(c).alias(c) for c in ("messages", "stored", "copies", "late")])
+
+
+def _articles_job(spark, folder):
+    """The articles as a stream, after those of the ledger."""
+    root = scratch_path(spark, "articles")
+    known = _ledger(spark, folder).withColumns({"seen_at": as_of(), events.ARRIVAL: F.lit("2024-01-31")})
+    events.write_batch(known, f"{root}/articles/ledger", "before-0")
+    articles = stream_view(spark, folder, "news_articles").withColumns({"published_at": F.lit(None).cast("timestamp"), "scraped_at": as_of()})
+    jobs.finish([jobs.start_articles(articles, root, "article_no", as_of())])
+    return root
+
+
+@query
+def articles_mentions(spark, folder):
+    """The road mentions that the article job stored: each article once, none of the ledger's."""
+    mentions = spark.read.parquet(f"{_articles_job(spark, folder)}/articles/mentions")
+    return plain(mentions, "article_id", "title", "url", "published_at", "scraped_at", "batch")
+
+
+@query
+def articles_ledger(spark, folder):
+    return spark.read.parquet(f"{_articles_job(spark, folder)}/articles/ledger").select("article_id", "url")
+
+
 @query
 def stream_dead_letter(spark, folder):
     """Messages cut short, here those of days without a condition, become dead letters."""

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: raw ingest, dead letters, deduplication, live scores, enrichment."""
+"""Structured Streaming jobs: raw ingest, dead letters, deduplication, clean tables, articles, live scores, enrichment."""
 
 from collections.abc import Callable
 from hashlib import md5
@@ -7,10 +7,20 @@ from time import monotonic
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from roadlake import rules, schemas
-from roadlake.operators import clean, features, gold
-from roadlake.sources import events
+from roadlake.operators import clean, features, gold, news
+from roadlake.plans import gold as gold_plan
+from roadlake.plans import silver
+from roadlake.session import materialize
+from roadlake.sources import events, layers
+
+#: The articles that were handled; ``batch`` is the folder of the batch that did.
+LEDGER = StructType([
+    StructField("article_id", StringType()), StructField("url", StringType()), StructField("seen_at", TimestampType()),
+    StructField(events.ARRIVAL, StringType()), StructField("batch", StringType()),
+])
 
 
 def read_stream(spark: SparkSession, fmt: str = "kafka", feed: str | None = None, **options: str) -> DataFrame:
@@ -46,17 +56,77 @@ def start_append(df: DataFrame, path: str, checkpoint: str, by=(), trigger=None)
     return _start(writer.option("path", path), trigger or {"availableNow": True})
 
 
+def start_batches(df: DataFrame, write: Callable[[DataFrame, str], None], checkpoint: str, trigger=None) -> StreamingQuery:
+    """``write(rows, batch)`` for each micro-batch; ``batch`` names the query and the batch, so that what a repeated batch stores
+    can replace itself."""
+    name = named(checkpoint)
+    writer = df.writeStream.outputMode("append").foreachBatch(lambda rows, number: write(rows, f"{name}-{number}"))
+    return _start(writer.option("checkpointLocation", checkpoint), trigger or {"availableNow": True})
+
+
 def start_bronze(messages: DataFrame, feed: str, root: str, as_of: Column | None = None, trigger=None) -> StreamingQuery:
     """The raw table of one feed. Dead letters go to its partition ``valid=false``, so each message is parsed once.
 
-    The rows of a micro-batch are gathered by day, so a day gets one file per batch. Daily rain, which
+    A micro-batch is stored in a folder of its own, its rows rebalanced by their bytes: a day that fills it is written by many
+    tasks, small days share a file each. ``events.compact_batches`` gathers closed days. Daily rain, which
     shares the weather topic, has a table of its own (``start_rain``).
     """
     if feed == "weather":
         messages = messages.filter(~events.is_rain())
     rows = events.with_lineage(parse(messages, feed, as_of), feed, as_of)
+    path = f"{root}/raw/{feed}"
     by = events.partition_columns(feed)
-    return start_append(rows.repartition(*by), f"{root}/raw/{feed}", f"{root}/checkpoints/raw/{feed}", by, trigger)
+    return start_batches(rows, lambda batch, name: events.write_batch(batch, path, name, by), f"{root}/checkpoints/raw/{feed}", trigger)
+
+
+def start_silver(messages: DataFrame, feed: str, root: str, late: str = "1 day", as_of: Column | None = None, trigger=None) -> StreamingQuery:
+    """The clean table of one feed, kept up to date by a stream.
+
+    Each micro-batch is cleaned and merged into the stored table, so a copy is found however late it comes; a
+    repeated batch finds its own rows and adds nothing. Every batch leaves a row of counts in logs/stream_counts: valid messages, rows stored, copies
+    (messages that are not stored, being older or equal states of their keys or without one) and those ``late`` or more behind their arrival.
+    """
+    now = F.current_timestamp() if as_of is None else as_of
+    rows = valid_rows(parse(messages, feed, as_of))
+
+    def write(batch: DataFrame, name: str) -> None:
+        batch = materialize(batch, "stream-batch")
+        _, stored = gold_plan.upsert(batch.sparkSession, root, feed, silver.clean_batch(feed, batch))
+        behind = F.col("event_time") < now - F.expr(f"INTERVAL {late}")
+        counts = batch.agg(F.count("*").alias("messages"), F.count_if(F.coalesce(behind, F.lit(False))).alias("late"))
+        counts = counts.withColumns({"feed": F.lit(feed), "stored": F.lit(stored).cast("long"), "copies": F.col("messages") - stored})
+        events.write_batch(counts, f"{root}/logs/stream_counts", name)
+        layers.merge(batch.sparkSession, f"{root}/silver/{feed}", schemas.EVENT[feed], silver.BATCH_KEYS[feed])
+
+    return start_batches(rows, write, f"{root}/checkpoints/silver/{feed}", trigger)
+
+
+def start_articles(articles: DataFrame, root: str, order: str = "scraped_at", as_of: Column | None = None,
+                   min_confidence: float = 0.0, publish: Callable[[DataFrame, str], None] | None = None, trigger=None) -> StreamingQuery:
+    """Articles (url, title, content, source, published_at, scraped_at) to road mentions, each article once.
+
+    Of each micro-batch the articles that the stored ledger does not hold are searched, their mentions stored under
+    ``articles/mentions`` and handed to ``publish(messages, batch)`` as keyed messages, and only then do the articles enter
+    ``articles/ledger``. A repeated batch does not see its own part of the ledger and replaces what it stored.
+    """
+
+    def write(batch: DataFrame, name: str) -> None:
+        spark = batch.sparkSession
+        seen = events.read_or_empty(spark, f"{root}/articles/ledger", LEDGER).filter(F.col("batch") != name).select("article_id")
+        batch = materialize(batch.withColumn("article_id", news.article_id()), "articles")
+        # only the ledger's rows for these articles: the batch is the small side, which is broadcast below the threshold
+        known = seen.join(batch.select("article_id").distinct(), "article_id", "left_semi")
+        new = materialize(news.unseen(batch.drop("article_id"), known, order), "unseen")
+        mentions = news.messages(news.extract(new.drop("article_id")), min_confidence)
+        events.write_batch(mentions, f"{root}/articles/mentions", name)
+        if publish:
+            stored = spark.read.schema(mentions.schema).parquet(f"{root}/articles/mentions/batch={name}")
+            publish(events.to_envelope(stored, events.KEYS["news"]), name)
+        arrival = F.current_timestamp() if as_of is None else as_of
+        entries = new.select("article_id", "url", arrival.alias("seen_at"), F.date_format(arrival, "yyyy-MM-dd").alias(events.ARRIVAL))
+        events.write_batch(entries, f"{root}/articles/ledger", name)
+
+    return start_batches(articles, write, f"{root}/checkpoints/articles", trigger)
 
 
 def start_rain(messages: DataFrame, root: str, as_of: Column | None = None, trigger=None) -> StreamingQuery:
