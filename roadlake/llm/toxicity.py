@@ -4,8 +4,9 @@ Examples are a sample of the labelled texts, at most EXAMPLES of each label, cho
 id. Their words and word beginnings whose share differs between the labels (likelihood ratio) are
 the terms, the TERMS strongest if there are more. Examples and texts are TF-IDF vectors over the terms; the exact cosine finds
 the nearest NEIGHBOURS examples. The examples stand in an inverted index in blocks of similar ones
-with, for each term and block, the largest weight: a text opens the blocks in the order of their bounds and stops
-when no bound exceeds its last neighbour, so the neighbours are exact.
+with, for each term and block, the largest weight: a text opens the blocks with the highest bounds, then those whose bound
+reaches its last neighbour, so the neighbours are exact. Terms are frequent (a text has a hundred, an example holds a quarter of them), so the
+postings of a block are a dense matrix, multiplied with all the texts of a batch that open it.
 
 Each neighbour votes with its label, weighted by its cosine and by how much the sampling thinned out its
 label. A text without terms gets the share of the label among such examples. Scores lie in 0 to 1.
@@ -36,6 +37,12 @@ EXAMPLES = 4000
 TERMS = 4096
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are opened before a bound is compared with the k-th cosine, and texts that are worked on together.
+EAGER, TOGETHER = 8, 256
+#: Far more than the error of a cosine in single precision.
+SLACK = 1e-4
+#: Words whose terms a worker remembers.
+REMEMBERED = 200_000
 #: Least likelihood ratio of a term, and the least texts with it: chosen with BEGINNINGS by cross-validation (README).
 RATIO, SUPPORT = 4.0, 4
 #: Lengths of word beginnings; a word must be longer.
@@ -75,55 +82,123 @@ class Model:
     votes: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     without: float = 0.0
+    _blocks: tuple | None = None
+    _words: dict[str, tuple] = field(default_factory=dict)
 
     def known(self) -> tuple[frozenset, dict[int, frozenset]]:
         starts = [t[:-1] for t in self.idf if t[-1] == "|"]
         return frozenset(t for t in self.idf if t[-1] != "|"), {k: frozenset(t for t in starts if len(t) == k) for k in BEGINNINGS}
 
+    def blocks(self) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+        """The index by block: number of each term, its IDF, the weights of its examples (a row of terms each) and block maxima."""
+        if self._blocks is None:
+            numbers = {t: i for i, t in enumerate(sorted(self.idf))}
+            weights = np.zeros((len(self.votes), len(numbers)), np.float32)
+            maxima = np.zeros((-(-len(self.votes) // BLOCK), len(numbers)), np.float32)
+            for term, (own, most, examples, values) in self.index.items():
+                weights[examples, numbers[term]] = values
+                maxima[own, numbers[term]] = most
+            self._blocks = (numbers, np.array([self.idf[t] for t in numbers]), weights, maxima)
+        return self._blocks
+
     def vector(self, counts: Counter) -> dict[str, float]:
         raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items()) if t in self.idf}
         norm = math.sqrt(sum(v * v for v in raw.values()))
         return {t: v / norm for t, v in raw.items()} if norm else {}
 
+    def profile(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of a text's terms; what a word counts for is looked up once while it is remembered."""
+        numbers, idf, *_ = self.blocks()
+        counts: dict[int, int] = {}
+        if len(self._words) > REMEMBERED:
+            self._words.clear()
+        for word, n in Counter(WORDS((text or "").lower())).items():
+            own = self._words.get(word)
+            if own is None:
+                names = [word, *(word[:size] + "|" for size in BEGINNINGS if len(word) > size)]
+                own = self._words[word] = tuple(numbers[t] for t in names if t in numbers)
+            for term in own:
+                counts[term] = counts.get(term, 0) + n
+        terms = np.array(sorted(counts), np.int64)
+        weights = (1 + np.log(np.array([counts[t] for t in terms.tolist()], float))) * idf[terms]
+        return terms, weights / np.sqrt((weights * weights).sum()) if len(terms) else weights
+
+    def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, cosines) of the k nearest of each vector, by falling cosine, then by place; zero cosines do not count.
+
+        A vector opens the EAGER blocks of the highest bounds, then those whose bound reaches its k-th cosine; a block is worked on for
+        all vectors that open it. Single precision only chooses: SLACK is far above its error, and the chosen are computed again.
+        """
+        *_, weights, maxima = self.blocks()
+        size = len(self.votes)
+        query = np.zeros((len(vectors), weights.shape[1]), np.float32)
+        for row, (terms, own) in enumerate(vectors):
+            query[row, terms] = own
+        bounds = query @ maxima.T
+        cosines = np.zeros((len(vectors), size), np.float32)
+        opened = np.zeros(bounds.shape, bool)
+        np.put_along_axis(opened, np.argsort(-bounds, axis=1, kind="stable")[:, :EAGER], True, axis=1)
+        opened &= bounds > 0
+        done = np.zeros(bounds.shape, bool)
+        limit = np.zeros((len(vectors), 1), np.float32)
+        for _ in range(2):
+            for block in np.flatnonzero(opened.any(0)).tolist():
+                rows = np.flatnonzero(opened[:, block])
+                part = slice(block * BLOCK, (block + 1) * BLOCK)
+                cosines[rows, part] = query[rows] @ weights[part].T
+            if size >= k:
+                limit = np.partition(cosines, size - k, axis=1)[:, size - k, None]
+            done |= opened
+            opened = (bounds >= limit - SLACK) & (bounds > 0) & ~done
+        out = []
+        for (terms, own), row, least in zip(vectors, cosines, limit[:, 0].tolist()):
+            near = np.flatnonzero((row > 0) & (row >= least - SLACK))
+            exact = weights[near][:, terms].astype(float) @ own
+            best = np.lexsort((near, -exact))[:k]
+            out.append((near[best], exact[best]))
+        return out
+
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest, by falling cosine, then by place; zero cosines do not count."""
-        blocks = -(-len(self.votes) // BLOCK)
-        places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        lists = [(w, *self.index[t]) for t, w in vector.items() if t in self.index]
-        if not lists:
-            return places, cosines
-        bounds = np.bincount(
-            np.concatenate([own for _, own, *_ in lists]), np.concatenate([w * most for w, _, most, *_ in lists]), blocks
-        )
-        examples = np.concatenate([e for *_, e, _ in lists])
-        values = np.concatenate([w * v for w, *_, v in lists])
-        within = examples // BLOCK
-        order = np.argsort(-bounds, kind="stable")
-        done, step = 0, 4
-        while done < blocks and bounds[order[done]] > 0:
-            if len(cosines) >= k and bounds[order[done]] < cosines[k - 1] - 1e-9:
-                break
-            opened = np.zeros(blocks, bool)
-            opened[order[done : done + step]] = True
-            done, step = done + step, 4 * step  # terms are many: steps grow, as each walks over all lists
-            part = opened[within]
-            got = np.bincount(examples[part], values[part])
-            hit = np.flatnonzero(got > 0)
-            places, cosines = np.concatenate([places, hit]), np.concatenate([cosines, got[hit]])
-            best = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[best], cosines[best]
-        return places, cosines
+        numbers, *_ = self.blocks()
+        terms = sorted(t for t in vector if t in numbers)
+        return self.search([(np.array([numbers[t] for t in terms], np.int64), np.array([vector[t] for t in terms]))], k)[0]
 
-    def score(self, counts: Counter) -> float:
-        vector = self.vector(counts)
-        if not vector:
-            return self.without
-        places, cosines = self.nearest(vector)
+    def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         if not len(places):
             return self.without
         weights = self.weights[places] * np.maximum(cosines, 0) ** 2
         return float(min(1.0, max(0.0, (weights * self.votes[places]).sum() / weights.sum())))
 
+    def score(self, counts: Counter) -> float:
+        return self.vote(*self.nearest(self.vector(counts)))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """Each different text is scored once."""
+        found = dict.fromkeys(texts, self.without)
+        different = list(found)
+        for first in range(0, len(different), TOGETHER) if len(self.votes) else ():
+            some = different[first : first + TOGETHER]
+            for text, near in zip(some, self.search([self.profile(t) for t in some])):
+                found[text] = self.vote(*near)
+        return [found[t] for t in texts]
+
+
+def halves(weights: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """An order in which similar examples share a block: cut in two along the direction of the largest spread, again and again."""
+    if len(places) <= BLOCK:
+        return places
+    part = weights[places]
+    mean = part.mean(0)
+    along = np.cos(np.arange(1, len(places) + 1)).astype(np.float32)  # any fixed beginning
+    for _ in range(6):
+        axis = along @ part - along.sum() * mean
+        along = part @ axis - mean @ axis
+        along /= np.linalg.norm(along) + 1e-30
+    del part
+    ordered = places[np.argsort(along, kind="stable")]
+    middle = max(len(places) // 2 // BLOCK, 1) * BLOCK
+    return np.concatenate([halves(weights, ordered[:middle]), halves(weights, ordered[middle:])])
+
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
     """Learn from labelled documents. The sample is bounded by EXAMPLES, its vectors by TERMS."""
@@ -174,42 +249,58 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     )
     terms = {r.term: r.n for r in kept.select("term", n.alias("n")).collect()}
     known = spark.createDataFrame([(t,) for t in sorted(terms)], "term string") if terms else None
-    vectors: dict = {}
+    numbers = {t: i for i, t in enumerate(sorted(terms))}
+    keys: dict[tuple, int] = {}
+    owners, columns, counts = [], [], []
     if terms:
         held = rows.select("_key", "_y", F.inline("_terms")).join(F.broadcast(known), "term")
-        own = {t: t for t in terms}  # one string for each term
-        for batch in held.select("_key", "_y", "term", "n").toArrow().to_batches(max_chunksize=10_000):
-            for name, y, term, count in zip(*(c.to_pylist() for c in batch.columns)):
-                vectors.setdefault((name, y), Counter())[own[term]] += count
-    return build(terms, vectors, (n0, n1), sizes)
+        for batch in held.select("_key", "_y", "term", "n").toArrow().to_batches(max_chunksize=100_000):
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            owners.append(np.array([keys.setdefault(pair, len(keys)) for pair in pairs], np.int32))
+            columns.append(np.array([numbers[t] for t in batch.column(2).to_pylist()], np.int32))
+            counts.append(batch.column(3).to_numpy())
+    parts = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (owners, columns, counts)]
+    return assemble(terms, list(keys), *parts, (n0, n1), sizes)
 
 
 def build(terms: dict[str, int], vectors: dict, totals: tuple[int, int], sizes: dict[int, int]) -> Model:
     """``terms``: texts with each; ``vectors``: (key, label) -> counts of the examples that have any."""
+    numbers = {t: i for i, t in enumerate(sorted(terms))}
+    cells = [(i, numbers[t], n) for i, counts in enumerate(vectors.values()) for t, n in counts.items()]
+    return assemble(terms, list(vectors), *np.array(cells, np.int64).reshape(-1, 3).T, totals, sizes)
+
+
+def assemble(
+    terms: dict[str, int], keys: list[tuple], owner: np.ndarray, column: np.ndarray, n: np.ndarray, totals: tuple[int, int], sizes: dict[int, int]
+) -> Model:
+    """The model from (example, term, count): ``keys`` names the examples (key, label), terms count in sorted order."""
     n0, n1 = totals
     model = Model({t: math.log((1 + n0 + n1) / (1 + n)) + 1 for t, n in terms.items()})
     # how many labelled texts an example stands for
     each = [sizes.get(0, 0) / max(n0, 1), sizes.get(1, 0) / max(n1, 1)]
-    bare = [n0 - sum(y == 0 for _, y in vectors), n1 - sum(y == 1 for _, y in vectors)]
+    bare = [n0 - sum(y == 0 for _, y in keys), n1 - sum(y == 1 for _, y in keys)]
     mass = [bare[0] * each[0], bare[1] * each[1]]
     if sum(mass):
         model.without = mass[1] / sum(mass)
     else:
         model.without = n1 * each[1] / max(n0 * each[0] + n1 * each[1], 1e-300)
-    units = [(y, model.vector(counts), str(key)) for (key, y), counts in vectors.items()]
-    # similar examples share a block: the same strongest terms, then the same label
-    units.sort(key=lambda u: (sorted(u[1], key=lambda t: (-u[1][t], t))[:3], u[0], u[2]))
-    model.votes = np.array([u[0] for u in units], float)
-    model.weights = np.array([each[u[0]] for u in units])
-    lists: dict[str, list[tuple[int, float]]] = {}
-    for place, (_, vector, _) in enumerate(units):
-        for term, weight in vector.items():
-            lists.setdefault(term, []).append((place, weight))
-    for term, postings in lists.items():
-        examples = np.array([p for p, _ in postings])
-        weights = np.array([w for _, w in postings])
-        own, first = np.unique(examples // BLOCK, return_index=True)
-        model.index[term] = (own, np.maximum.reduceat(weights, first), examples, weights)
+    names = sorted(terms)
+    place = np.empty(len(keys), np.int64)  # examples in the order of their ids, whatever the order of the rows
+    place[sorted(range(len(keys)), key=lambda i: (str(keys[i][0]), keys[i][1]))] = np.arange(len(keys))
+    weights = np.zeros((len(keys), len(names)), np.float32)  # at most 2 * EXAMPLES by TERMS
+    weights[place[owner], column] = (1 + np.log(n.astype(float))) * np.array([model.idf[t] for t in names])[column]
+    weights /= np.sqrt(np.einsum("ij,ij->i", weights, weights))[:, None]
+    order = halves(weights, np.arange(len(keys)))
+    labels = np.empty(len(keys), np.int64)
+    labels[place] = [y for _, y in keys]
+    model.votes = labels[order].astype(float)
+    model.weights = np.array(each)[labels[order]]
+    for number, term in enumerate(names):
+        values = weights[order, number]
+        examples = np.flatnonzero(values).astype(np.int32)
+        if len(examples):
+            own, first = np.unique(examples // BLOCK, return_index=True)
+            model.index[term] = (own, np.maximum.reduceat(values[examples], first), examples, values[examples])
     return model
 
 
@@ -220,11 +311,8 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "score")
     @F.arrow_udf("double")
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = Model(*shared.value)
-        known = model.known()
         for batch in texts:
-            yield pa.chunked_array(
-                [pa.array([model.score(terms_of(t, known)) for t in part.to_pylist()], pa.float64()) for part in arrays(batch)], pa.float64()
-            ).combine_chunks()
+            yield pa.chunked_array([pa.array(model.scores(part.to_pylist()), pa.float64()) for part in arrays(batch)], pa.float64()).combine_chunks()
 
     return df.withColumn(into, scored(F.col(text)))
 
