@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import arrays, table
+from roadlake.llm.common import arrays, table, trim
 from roadlake.session import materialize
 
 EXAMPLES = 4000
@@ -187,7 +187,7 @@ def halves(weights: np.ndarray, places: np.ndarray) -> np.ndarray:
     """An order in which similar examples share a block: cut in two along the direction of the largest spread, again and again."""
     if len(places) <= BLOCK:
         return places
-    part = weights[places]
+    part = weights if len(places) == len(weights) else weights[places]  # the first cut gets all of them, in their order
     mean = part.mean(0)
     along = np.cos(np.arange(1, len(places) + 1)).astype(np.float32)  # any fixed beginning
     for _ in range(6):
@@ -288,7 +288,11 @@ def assemble(
     place = np.empty(len(keys), np.int64)  # examples in the order of their ids, whatever the order of the rows
     place[sorted(range(len(keys)), key=lambda i: (str(keys[i][0]), keys[i][1]))] = np.arange(len(keys))
     weights = np.zeros((len(keys), len(names)), np.float32)  # at most 2 * EXAMPLES by TERMS
-    weights[place[owner], column] = (1 + np.log(n.astype(float))) * np.array([model.idf[t] for t in names])[column]
+    weights[place[owner], column] = n
+    held = weights > 0
+    np.log(weights, out=weights, where=held)  # in place: the driver holds no second copy
+    weights += held
+    weights *= np.array([model.idf[t] for t in names], np.float32)
     weights /= np.sqrt(np.einsum("ij,ij->i", weights, weights))[:, None]
     order = halves(weights, np.arange(len(keys)))
     labels = np.empty(len(keys), np.int64)
@@ -301,6 +305,8 @@ def assemble(
         if len(examples):
             own, first = np.unique(examples // BLOCK, return_index=True)
             model.index[term] = (own, np.maximum.reduceat(values[examples], first), examples, values[examples])
+    del weights
+    trim()
     return model
 
 
