@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import arrays, table
+from roadlake.llm.common import arrays, table, unused
 
 RATE = 0.05
 LOT_BYTES = 16 << 20
@@ -207,5 +207,6 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a test item go."""
-    found = find(docs, table(spark, sf_dir, "benchmark"), into="_leaks")
-    return found.filter(F.size("_leaks") == 0).select(docs.columns)
+    leaks = unused(docs, "_leaks")
+    found = find(docs, table(spark, sf_dir, "benchmark"), into=leaks)
+    return found.filter(F.size(leaks) == 0).select(docs.columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import per_group, slices, table
+from roadlake.llm.common import per_group, slices, table, unused
 from roadlake.llm.components import components
 from roadlake.llm.hashing import Powers, U, mix, runs_of, words
 from roadlake.session import materialize
@@ -264,10 +264,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of similar documents the one with the least id stays, and of its repeated rows one."""
-    stay = join(docs.select("doc_id", "text")).filter("stays").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
-    own = docs.withColumn("_own", F.xxhash64("text"))
-    kept = own.join(stay.distinct(), own["doc_id"].eqNullSafe(F.col("_id")) & (own["_own"] == F.col("_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).select(docs.columns)
+    key, hashed, mark = (unused(docs, c) for c in ("_id", "_hash", "_own"))
+    stay = join(docs.select("doc_id", "text")).filter("stays").select(F.col("doc_id").alias(key), F.col("hash").alias(hashed))
+    own = docs.withColumn(mark, F.xxhash64("text"))
+    kept = own.join(stay.distinct(), own["doc_id"].eqNullSafe(F.col(key)) & (own[mark] == F.col(hashed)), "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).select(docs.columns)
 
 
 ORACLE = r"""

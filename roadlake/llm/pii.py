@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import arrays, table
+from roadlake.llm.common import arrays, table, unused
 
 KINDS = ("email", "ip", "card", "phone", "url", "account", "secret")
 BASE = KINDS[:4]
@@ -190,5 +190,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data in the texts is replaced by marks; n_chars follows the new text."""
-    clean = redact(find(docs, into="_spans"), spans="_spans").drop("_spans")
+    spans = unused(docs, "_spans")
+    clean = redact(find(docs, into=spans), spans=spans).drop(spans)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)

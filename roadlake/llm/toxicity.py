@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import arrays, table, trim
+from roadlake.llm.common import arrays, table, trim, unused
 from roadlake.session import materialize
 
 EXAMPLES = 4000
@@ -346,5 +346,6 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with a score of THRESHOLD or more go."""
-    judged = score(docs, learned(spark, docs, sf_dir), into="_toxicity")
-    return judged.filter(F.col("_toxicity") < THRESHOLD).select(docs.columns)
+    into = unused(docs, "_toxicity")
+    judged = score(docs, learned(spark, docs, sf_dir), into=into)
+    return judged.filter(F.col(into) < THRESHOLD).select(docs.columns)

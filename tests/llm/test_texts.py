@@ -324,3 +324,15 @@ def test_pipeline_stages_on_odd_tables(spark, frame, tmp_path):
 def test_numbers_of_tokens(frame):
     row = pieces.stage(None, frame("doc_id long, text string", (1, "a b")), "").select(F.col("n_tokens")).first()
     assert row[0] == 4
+
+
+@needs_tables
+@pytest.mark.parametrize("number", range(4))
+def test_stages_keep_columns_with_names_of_their_own(frame, number):
+    """Columns that a stage would like to add for itself stay as they are."""
+    names = ("_id", "_hash", "_own", "_spans", "_SPANS_", "_toxicity", "_leaks", "n_chars")
+    rows = [(n, f"some words of text number {n} that nobody else has", *([7] * len(names))) for n in range(3)] + [(None, None, *([7] * len(names)))]
+    docs = frame("doc_id long, text string, " + ", ".join(f"{c} long" for c in names), *rows)
+    kept = corpus_pipeline.STAGES[number][1](docs.sparkSession, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert len(values(kept)) == 4 and all(r[2:-1] == (7,) * (len(names) - 1) for r in values(kept))
