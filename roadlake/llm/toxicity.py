@@ -183,21 +183,28 @@ class Model:
         return [found[t] for t in texts]
 
 
-def halves(weights: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """An order in which similar examples share a block: cut in two along the direction of the largest spread, again and again."""
-    if len(places) <= BLOCK:
+def halves(places: np.ndarray, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, terms: int) -> np.ndarray:
+    """The places in an order in which similar examples share a block: cut in two along the direction of the largest spread, again and
+    again. Their vectors are given by cells; a row is a number of ``places``."""
+    n = len(places)
+    if n <= BLOCK:
         return places
-    part = weights if len(places) == len(weights) else weights[places]  # the first cut gets all of them, in their order
-    mean = part.mean(0)
-    along = np.cos(np.arange(1, len(places) + 1)).astype(np.float32)  # any fixed beginning
+    mean = np.bincount(columns, values, terms) / n
+    along = np.cos(np.arange(1, n + 1))  # any fixed beginning
     for _ in range(6):
-        axis = along @ part - along.sum() * mean
-        along = part @ axis - mean @ axis
+        axis = np.bincount(columns, values * along[rows], terms) - along.sum() * mean
+        along = np.bincount(rows, values * axis[columns], n) - mean @ axis
         along /= np.linalg.norm(along) + 1e-30
-    del part
-    ordered = places[np.argsort(along, kind="stable")]
-    middle = max(len(places) // 2 // BLOCK, 1) * BLOCK
-    return np.concatenate([halves(weights, ordered[:middle]), halves(weights, ordered[middle:])])
+    order = np.argsort(along, kind="stable")
+    middle = max(n // 2 // BLOCK, 1) * BLOCK
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    at = rank[rows]
+    low, high = at < middle, at >= middle
+    return np.concatenate([
+        halves(places[order[:middle]], at[low], columns[low], values[low], terms),
+        halves(places[order[middle:]], at[high] - middle, columns[high], values[high], terms),
+    ])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
@@ -287,25 +294,23 @@ def assemble(
     names = sorted(terms)
     place = np.empty(len(keys), np.int64)  # examples in the order of their ids, whatever the order of the rows
     place[sorted(range(len(keys)), key=lambda i: (str(keys[i][0]), keys[i][1]))] = np.arange(len(keys))
-    weights = np.zeros((len(keys), len(names)), np.float32)  # at most 2 * EXAMPLES by TERMS
-    weights[place[owner], column] = n
-    held = weights > 0
-    np.log(weights, out=weights, where=held)  # in place: the driver holds no second copy
-    weights += held
-    weights *= np.array([model.idf[t] for t in names], np.float32)
-    weights /= np.sqrt(np.einsum("ij,ij->i", weights, weights))[:, None]
-    order = halves(weights, np.arange(len(keys)))
+    rows = place[owner]
+    values = (1 + np.log(n.astype(float))) * np.array([model.idf[t] for t in names])[column]
+    values = (values / np.sqrt(np.bincount(rows, values * values, len(keys)))[rows]).astype(np.float32)
+    order = halves(np.arange(len(keys)), rows, column, values, len(names))
     labels = np.empty(len(keys), np.int64)
     labels[place] = [y for _, y in keys]
     model.votes = labels[order].astype(float)
     model.weights = np.array(each)[labels[order]]
-    for number, term in enumerate(names):
-        values = weights[order, number]
-        examples = np.flatnonzero(values).astype(np.int32)
-        if len(examples):
-            own, first = np.unique(examples // BLOCK, return_index=True)
-            model.index[term] = (own, np.maximum.reduceat(values[examples], first), examples, values[examples])
-    del weights
+    final = np.empty(len(keys), np.int32)
+    final[order] = np.arange(len(keys))
+    sorted_ = np.lexsort((final[rows], column))
+    examples, values = final[rows][sorted_], values[sorted_]
+    edges = np.searchsorted(column[sorted_], np.arange(len(names) + 1)).tolist()
+    for term, low, high in zip(names, edges, edges[1:]):
+        if low < high:
+            own, first = np.unique(examples[low:high] // BLOCK, return_index=True)
+            model.index[term] = (own, np.maximum.reduceat(values[low:high], first), examples[low:high], values[low:high])
     trim()
     return model
 
