@@ -3,7 +3,7 @@
 A window is ``width`` consecutive tokens (words or bytes) of one text. The anchor of a window is the least of its
 ``gram``-token hashes: windows with equal tokens have the same anchor at the same place. The windows
 of a text that share one anchor are neighbours and form a record: (anchor hash, hash of all tokens of these
-windows). Records with equal anchors meet in one task, sorted, and are read as a stream:
+windows). Records are counted by anchor and tokens, folded before they are shuffled:
 
 - records with equal tokens hold equal windows throughout; nothing else has to be known of them;
 - an anchor whose records differ needs a closer look at one record of each kind. Their tokens are
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from roadlake.llm.common import slices
 from roadlake.llm.hashing import BYTE, Powers, U, words
+from roadlake.session import materialize
 
 LAST = (1 << 63) - 1
 #: Bits of a place within a slice, below the bits of a gram's hash.
@@ -117,57 +118,21 @@ def records(rows: DataFrame, tokenize: Callable, width: int, gram: int) -> DataF
 def sifted(found: DataFrame, everywhere: bool) -> DataFrame:
     """(place, id, hash, size, start, end, closer): records whose windows are all repeated, and those to look at closer.
 
-    Repeated means: before, in the order of id, hash and start; or, if ``everywhere``, at any other place.
+    Repeated means: before, in the order of id, hash and start; or, if ``everywhere``, at any other place. A kind (equal
+    place and tokens) is folded to its first record and count before it is shuffled; what is joined are stored tables, so a
+    place that a third of all records share is split among tasks.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: pa.RecordBatch | None = None  # first record of the kind that is being read
-        told = many = False  # it was given out as repeated; its anchor has several kinds
-        for batch in batches:
-            if not len(batch):
-                continue
-            table = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks()
-            skip = 0 if before is None else 1
-            place, tokens, hashes, start = (table[c].to_numpy() for c in ("place", "tokens", "hash", "start"))
-            new_place = np.append(True, place[1:] != place[:-1])
-            new_kind = new_place | np.append(True, tokens[1:] != tokens[:-1])
-            n = len(place)
-            heads = np.flatnonzero(new_kind)
-            head = np.repeat(heads, np.diff(np.append(heads, n)))  # the first record of each one's kind
-            later = ~new_kind
-            if everywhere:
-                whole = later.copy()
-                repeated = heads[np.diff(np.append(heads, n)) > 1]
-                if skip and told:
-                    repeated = repeated[repeated != 0]
-                whole[repeated] = True
-            else:
-                whole = later & ((hashes != hashes[head]) | (start != start[head]))
-            # kinds of an anchor: a first record is looked at if another kind follows or goes before
-            other_before = ~new_place[heads]
-            other_after = np.append(~new_place[heads[1:]], False)
-            if skip:
-                other_before[0] = many
-            closer = heads[other_before | other_after]
-            if skip and many:
-                closer = closer[closer != 0]  # given out already
-            whole = np.flatnonzero(whole)
-            out = np.concatenate([whole, closer])
-            if len(out):
-                part = table.take(pa.array(out)).drop_columns(["tokens"])
-                flag = np.arange(len(out)) >= len(whole)
-                yield from part.append_column("closer", pa.array(flag)).to_batches()
-            last = heads[-1]
-            size = n - last
-            told = (size > 1 or (skip and last == 0 and told)) if everywhere else False
-            many = bool(other_before[-1])
-            before = pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.slice(last, 1).columns], schema=table.schema)
-
-    columns = ["place", "tokens", "id", "hash", "start"]
-    return (
-        found.repartition("place").sortWithinPartitions(*columns)
-        .mapInArrow(run, "place long, id long, hash long, size int, start int, end int, closer boolean")
-    )
+    found = materialize(found, "found")
+    first = F.min(F.struct("id", "hash", "start", "size", "end")).alias("first")
+    kinds = materialize(found.groupBy("place", "tokens").agg(first, F.count("*").alias("n")), "kinds")
+    several = materialize(kinds.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1").select("place"), "places")
+    again = materialize(kinds.filter("n > 1").select("place", "tokens", F.struct("first.hash", "first.start").alias("head")), "again")
+    closer = kinds.join(several, "place", "left_semi").select("place", "first.*", F.lit(True).alias("closer"))
+    whole = found.join(again, ["place", "tokens"])
+    if not everywhere:
+        whole = whole.filter(F.struct("hash", "start") != F.col("head"))
+    columns = ["place", "id", "hash", "size", "start", "end", "closer"]
+    return whole.withColumn("closer", F.lit(False)).select(columns).unionByName(closer.select(columns))
 
 
 def contents(rows: DataFrame, closer: DataFrame, cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]]) -> DataFrame:

@@ -9,14 +9,18 @@ from roadlake.session import materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round: every neighbour of a node (larger ones, or the others and the node itself) moves to the least one."""
+    """One round: every neighbour of a node (larger ones, or the others and the node itself) moves to the least one.
+
+    The least neighbours are stored, so that the edges of a hub meet them in a join of plain tables, which is split.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if large:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialize(least, "least")
         moved = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         down = both.filter(F.col("b") < F.col("a"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
@@ -38,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
-        edges = materialize(_star(_star(edges, True), False), "edges")
+        larger = materialize(_star(edges, True), "edges")
+        edges = materialize(_star(larger, False), "edges")
         before, state = state, _state(edges)
         if before == state:
             break
