@@ -2,13 +2,18 @@
 
 Texts are sets of five-word shingles (words as they are, split at white space; a text with fewer words
 is one shingle). Texts with equal sets form a class; only classes are compared. Each class has
-TREES * DEPTH minimum hashes, DEPTH for each tree. Classes with the same first hashes of a tree share a node. How many
-is one number for all: the formula of ``depth`` gives the longest prefix with which pairs at the threshold share a node in some
-tree with the target recall. There is no sorted trie, and no prefix is shortened for single classes. Within a node,
-canopies of all hashes keep the pairs that can be similar: around each class in turn, all classes within
-reach are linked, and only those close by are done with, so that by the triangle inequality every similar pair
-meets in some canopy. Connected canopies form clusters; in each cluster the exact Jaccard similarity
-of all pairs decides.
+TREES * DEPTH minimum hashes, DEPTH for each tree, and a label in each tree: its hashes in order, so that sorted labels
+are a prefix trie and the classes under a node are those whose labels begin alike. The forest is searched from the longest
+matches on. At each length of LEVELS, classes that share a node and differ in at most FAR hashes get a representative, which
+takes over their labels; the others have their prefixes shortened to the next length. Adaptive is thus who is shortened: a class
+that a long prefix has matched leaves the tries, one that none has matched goes down to the last length. That one is
+set by the target recall: ``depth`` gives the longest prefix with which pairs at the threshold share a node in some tree often
+enough. A label without company at that length can match at no other and is left out from the start.
+
+Within a node of the last length, canopies of all hashes keep the pairs that can be similar: around each class in
+turn, all classes within reach are linked, and only those close by are done with, so that by the triangle inequality every
+similar pair, or its representatives, meets in some canopy. Connected canopies and represented classes form clusters; in
+each cluster the exact Jaccard similarity of all pairs of classes decides.
 
 Nodes and clusters of more than NODE_ROWS or CLUSTER_ROWS classes are split into chunks, and every pair
 of chunks is a group of its own. Pairs are counted within the groups, never written.
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.llm.common import per_group, slices, table, unused
@@ -38,9 +43,15 @@ RECALL = 0.9999
 TREES, DEPTH = 16, 8
 NODE_ROWS = 4096
 CLUSTER_ROWS = 2048
-#: Share of equal hashes from which classes are linked, and from which a linked one is done with. Hashes of a
-#: pair at 0.8 agree on 0.62 of 128 places or less once in 10^6: 1 - LINKED >= (1 - 0.62) + (1 - DONE).
-LINKED, DONE = 0.5, 0.88
+#: Lengths of prefixes, longest first, at which classes get representatives before the last length.
+LEVELS = (8, 6, 4)
+#: Bytes of a hash in a label. Equal bytes of different hashes only make more candidates.
+PLACE = 2
+#: Hashes in which a class and its representative may differ, over all levels together.
+FAR = 3
+#: Share of equal hashes from which classes are linked, and from which a linked one is done with. Hashes of a pair at 0.8
+#: agree on 0.62 of 128 places or less once in 10^6: 1 - LINKED >= (1 - 0.62) + (1 - DONE) + 2 * FAR / 128.
+LINKED, DONE = 0.45, 0.88
 #: Stands for a null id, which comes last.
 LAST = (1 << 63) - 1
 
@@ -51,8 +62,10 @@ def depth(threshold: float, recall: float, trees: int = TREES, longest: int = DE
     return next(fits, 1)
 
 
-def sketch(docs: DataFrame, k: int, prefix: int) -> DataFrame:
-    """(doc_id, id, hash, key, prefixes, signature) of the texts that have words, key: the set of shingles."""
+def sketch(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, id, hash, key, labels, signature) of the texts that have words, key: the set of shingles.
+
+    A label is the number of its tree and PLACE bytes of each hash; the signature has one byte of every hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, random = Powers(), np.random.RandomState(11)
@@ -67,11 +80,11 @@ def sketch(docs: DataFrame, k: int, prefix: int) -> DataFrame:
                     continue
                 has, at = np.unique(owner, return_index=True)
                 least = np.stack([np.minimum.reduceat(shingles * a + b, at) for a, b in zip(factors, shifts)], 1)
-                trees = least.reshape(len(has), TREES, DEPTH)
-                prefixes = np.tile(np.arange(TREES, dtype=np.uint64), (len(has), 1))
-                for level in range(prefix):
-                    prefixes = mix(prefixes * U(31) + trees[:, :, level])
-                signature = mix(least).astype(np.uint8)
+                mixed = mix(least)
+                labels = np.empty((len(has), TREES, 1 + PLACE * DEPTH), np.uint8)
+                labels[:, :, 0] = np.arange(TREES)
+                labels[:, :, 1:] = mixed.view(np.uint8).reshape(len(has), TREES, DEPTH, 8)[..., :PLACE].reshape(len(has), TREES, -1)
+                signature = mixed.astype(np.uint8)
                 keys = [
                     hashlib.blake2b(np.unique(part).tobytes(), digest_size=16).digest() for part in np.split(shingles, at[1:])
                 ]
@@ -79,14 +92,14 @@ def sketch(docs: DataFrame, k: int, prefix: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).take(own) for c in ("doc_id", "id", "hash")), pa.array(keys, pa.binary()),
-                        pa.array(list(prefixes.view(np.int64)), pa.list_(pa.int64())),
+                        pa.array([[label.tobytes() for label in row] for row in labels], pa.list_(pa.binary())),
                         pa.array([row.tobytes() for row in signature], pa.binary()),
                     ],
-                    ["doc_id", "id", "hash", "key", "prefixes", "signature"],
+                    ["doc_id", "id", "hash", "key", "labels", "signature"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, id long, hash long, key binary, prefixes array<long>, signature binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, id long, hash long, key binary, labels array<binary>, signature binary")
 
 
 def split(rows: DataFrame, sizes: DataFrame, group: str, most: int) -> DataFrame:
@@ -123,6 +136,66 @@ def canopies(signatures: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
+def represented(nodes: DataFrame) -> DataFrame:
+    """(key, to, far): classes and others of their node that may stand for them; far bounds the hashes in which ``to``
+    differs from the class and all it stands for. Nodes are worked on in parts; a part need not see the others."""
+
+    def work(group: pa.Table) -> pa.Table | None:
+        keys = np.array(group["key"].to_pylist(), object)
+        order = np.argsort(keys)  # least first, so that two nodes don't turn the same pair round
+        signatures = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(len(keys), -1)
+        radius = group["radius"].to_numpy()
+        found: list[tuple[bytes, bytes, int]] = []
+        while len(order) > 1:
+            pivot, order = order[0], order[1:]
+            far = (signatures[order] != signatures[pivot]).sum(1) + radius[order]
+            near = (far <= FAR) & (keys[order] != keys[pivot])
+            found += [(keys[row], keys[pivot], int(f)) for row, f in zip(order[near], far[near])]
+            order = order[~near]
+        if not found:
+            return None
+        own, to, far = zip(*found)
+        return pa.table({"key": pa.array(own, pa.binary()), "to": pa.array(to, pa.binary()), "far": pa.array(far, pa.int32())})
+
+    return per_group(nodes.select("node", "part", "key", "signature", "radius"), ["node", "part"], work, "key binary, to binary, far int")
+
+
+def node(level: int) -> Column:
+    """The node of a label at a length."""
+    return F.substring("label", 1, 1 + PLACE * level)
+
+
+def company(tries: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """(node, key) at a length, and (node, n) of the nodes that several classes share, which is stored."""
+    named = tries.select(node(level).alias("node"), "key").distinct()
+    sizes = named.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return named, materialize(sizes, "sizes")
+
+
+def forest(sketches: DataFrame, classes: DataFrame, last: int) -> tuple[DataFrame, DataFrame]:
+    """(key, label) of the classes that remain at the last length, and (a, b) of classes with their representatives."""
+    labels = sketches.select("key", F.explode("labels").alias("label")).distinct()
+    shared = labels.groupBy(node(last).alias("node")).agg(F.count_distinct("key").alias("n")).filter(F.col("n") > 1)
+    shared = materialize(shared.select("node"), "shared")
+    tries = materialize(labels.withColumn("node", node(last)).join(shared, "node").select("key", "label"), "tries")
+    moved = sketches.sparkSession.createDataFrame([], "key binary, to binary, far int")
+    for level in [at for at in LEVELS if at > last]:
+        named, sizes = company(tries, level)
+        parts = F.ceil(F.col("n") / NODE_ROWS)
+        met = named.join(sizes, "node").withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), parts)).drop("n")
+        radii = moved.groupBy(F.col("to").alias("key")).agg(F.max("far").alias("radius"))
+        members = met.join(classes.hint("merge"), "key").join(radii, "key", "left").fillna(0, ["radius"])
+        found = materialize(represented(members), "represented")
+        # a class that may be represented itself represents nobody at this length
+        free = found.join(found.select(F.col("key").alias("to")).distinct(), "to", "left_anti")
+        chosen = free.groupBy("key").agg(F.min(F.struct("far", "to")).alias("best"))
+        moves = materialize(chosen.select("key", "best.to", "best.far"), "moves")
+        short = tries.join(moves, "key", "left").select(F.coalesce("to", "key").alias("key"), node(level).alias("label"))
+        tries = materialize(short.distinct(), "tries")
+        moved = moved.unionByName(moves)
+    return tries, moved.select(F.col("key").alias("a"), F.col("to").alias("b"))
+
+
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """(a, b) links within the parts of nodes. Parts that come as one only make further candidates."""
 
@@ -223,15 +296,16 @@ def join(
         F.col(key).alias("doc_id"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"),
         F.xxhash64(F.col(text)).alias("hash"),
     )
-    sketches = materialize(sketch(plain, k, depth(threshold, recall)), "sketches")
+    sketches = materialize(sketch(plain, k), "sketches")
     counts = materialize(
         sketches.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct("id", "hash")).alias("example")), "classes"
     )
-    classes = sketches.select("key", "signature").dropDuplicates(["key"])
-    nodes = sketches.select("key", F.explode("prefixes").alias("node")).distinct()
-    crowded = nodes.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    met = split(nodes, crowded, "node", NODE_ROWS)
-    clusters = components(candidate_links(met.join(classes.hint("merge"), "key"))).withColumnRenamed("node", "key")
+    classes = materialize(sketches.select("key", "signature").dropDuplicates(["key"]), "signatures")
+    last = depth(threshold, recall)
+    tries, standing = forest(sketches, classes, last)
+    met = split(*company(tries, last), "node", NODE_ROWS)
+    links = candidate_links(met.join(classes.hint("merge"), "key")).unionByName(standing)
+    clusters = components(links).withColumnRenamed("node", "key")
     members = materialize(clusters.join(counts, "key"), "clusters")
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
     # always shuffled: which side is small depends on the corpus, and members grow with it

@@ -89,6 +89,35 @@ def test_prefixes_are_shortened_until_the_recall_is_met():
     assert neardup.depth(0.8, 0.9999) == 3 and neardup.depth(0.8, 0.99) > 3 and neardup.depth(0.5, 0.999999) == 1
 
 
+def test_close_classes_leave_the_tries(frame):
+    """What long prefixes match is represented, directly or by steps, within FAR hashes; the rest keeps its labels."""
+    rng = random.Random(5)
+    base = [rng.choice(WORDS) + str(n) for n in range(3000)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, 40):  # one word of 3,000 differs: most hashes stay
+        rows.append((n, " ".join([*base[: 70 * n], "other", *base[70 * n + 1 :]])))
+    rows += [(100 + n, " ".join(rng.choice(WORDS) for _ in range(80))) for n in range(20)]
+    df = frame("doc_id long, id long, text string, hash long", *((n, n, t, n) for n, t in rows))
+    sketches = neardup.sketch(df, 5)
+    classes = sketches.select("key", "signature")
+    signatures = dict(values(classes))
+    tries, moved = neardup.forest(sketches, classes, 3)
+    left, moved = {k for k, _ in values(tries)}, values(moved)
+    assert moved and len({a for a, _ in moved}) == len(moved)  # each is represented once
+    assert not left & {a for a, _ in moved}
+    to = dict(moved)
+    for a in to:
+        end = a
+        while end in to:
+            end = to[end]
+        assert sum(x != y for x, y in zip(signatures[a], signatures[end])) <= neardup.FAR and end in left
+    assert len(left) + len(moved) == 40  # the twenty others share no prefix
+
+
+def test_bounds_of_canopies_hold():
+    assert 1 - neardup.LINKED >= (1 - 0.62) + (1 - neardup.DONE) + 2 * neardup.FAR / (neardup.TREES * neardup.DEPTH)
+
+
 def test_components_of_a_long_path(frame):
     edges = [(i, i + 1) for i in range(60) if i != 30] + [(5, 5), (1, 0)]
     assert sorted(values(components(frame("a long, b long", *edges)))) == [(i, 0 if i <= 30 else 31) for i in range(61)]
