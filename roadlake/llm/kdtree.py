@@ -1,11 +1,12 @@
 """Exact top-k inner products with a KD-tree per shard (operator 8).
 
-Candidates are dealt to shards by a hash of their id, queries to blocks. A shard's tree splits at the
+Candidates are dealt to shards by a hash of their id and vector. A shard's tree splits at the
 median of the widest component down to small leaves with tight bounding boxes. For a query, the
 largest inner product that a box can hold bounds its leaf; leaves are visited best first until the
-bound falls below the query's k-th score. Each block first visits one shard; the k-th scores found
-there go along to all other shards, which return only what can still matter. A block meets each shard
-once, so the work is a query set against all rows, in blocks.
+bound falls below the query's k-th score. Each query first visits one shard; the k-th score found
+there goes along to all other shards, which return only what can still matter. A task reads the candidates of a
+shard, makes their tree once and lets the shard's queries stream through it, batch by batch: candidates are shuffled
+twice whatever the number of queries, and a task holds one tree. The work is a query set against all rows.
 
 Vectors are whole numbers. Only vectors of equal length are compared. A vector that is null or holds
 null or non-finite components takes no part, nor does one with a null id. The rows with a query's own
@@ -15,6 +16,11 @@ Scores are exact below 2^63.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from copy import copy
+from functools import cached_property
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +31,6 @@ from roadlake.session import materialize
 
 K = 20
 SHARD_ROWS = 8192
-BLOCK_ROWS = 2048
 LEAF_ROWS = 128
 RESULT = "query_id long, vec_id long, score long"
 
@@ -44,6 +49,13 @@ class Tree:
         self.low = np.stack([rows[leaf].min(0) for leaf in self.leaves])
         self.high = np.stack([rows[leaf].max(0) for leaf in self.leaves])
 
+    @cached_property
+    def doubles(self) -> Tree:
+        """The same tree over doubles, whose products are faster."""
+        tree = copy(self)
+        tree.rows, tree.low, tree.high = (a.astype(np.float64) for a in (self.rows, self.low, self.high))
+        return tree
+
     def split(self, members: np.ndarray) -> None:
         if len(members) <= LEAF_ROWS or not self.rows.shape[1]:
             self.leaves.append(members)
@@ -88,67 +100,81 @@ class Tree:
         return row[keep], ids[row[keep], place[keep]], scores[row[keep], place[keep]]
 
 
-def matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Vectors of one length as doubles, if all inner products are exact in doubles, else as 64-bit integers."""
-    column = column.combine_chunks()
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as 64-bit integers."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     values = column.flatten().to_numpy(zero_copy_only=False)
     return values.reshape(len(column), -1)
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether all inner products are exact in doubles."""
     most = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0))
     return most * max(a.shape[1], 1) < 2.0**52
 
 
 def searcher(k: int):
-    def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
-        if not len(candidates) or not len(queries):
-            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score")})
-        rows, wanted = matrix(candidates["vector"]), matrix(queries["vector"])
-        if exact(rows, wanted):
-            rows, wanted = rows.astype(np.float64), wanted.astype(np.float64)
-        names = queries["query_id"].to_numpy()
-        tree = Tree(candidates["vec_id"].to_numpy(), rows)
-        row, ids, scores = tree.search(names, wanted, queries["least"].to_numpy(), k)
-        return pa.table({"query_id": names[row], "vec_id": ids, "score": scores})
+    """Rows come sorted by shard, length and ``asks``: candidates of a shard before its queries."""
+
+    def found(tree: Tree, queries: pa.RecordBatch) -> pa.RecordBatch:
+        wanted, fit = matrix(queries.column("vector")), tree
+        if exact(tree.rows, wanted):
+            wanted, fit = wanted.astype(np.float64), tree.doubles
+        names = queries.column("id").to_numpy()
+        row, ids, scores = fit.search(names, wanted, queries.column("least").to_numpy(), k)
+        return pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spot, tree = None, None
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            place = np.stack([batch.column(c).to_numpy() for c in ("shard", "length", "asks")])
+            cuts = [0, *(np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1).tolist(), len(batch)]
+            for a, b in pairwise(cuts):
+                here, part = tuple(place[:2, a].tolist()), batch.slice(a, b - a)
+                if here != spot:
+                    spot, tree, held = here, None, []
+                if not place[2, a]:
+                    held.append(part)
+                    continue
+                if held:
+                    own = pa.Table.from_batches(held).combine_chunks()
+                    tree, held = Tree(own["id"].to_numpy(), matrix(own["vector"])), []
+                if tree is not None:
+                    yield found(tree, part)
 
-    return search
+    return walk
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for (vec_id, vector) tables of whole-number vectors."""
-    spark = vectors.sparkSession
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull()
-    rows = vectors.filter(usable).select("vec_id", "vector", F.size("vector").alias("length"))
-    asked = queries.filter(usable).select(F.col("vec_id").alias("query_id"), "vector", F.size("vector").alias("length")).distinct()
+    columns = [F.col("vec_id").alias("id"), "vector", F.size("vector").alias("length")]
+    asked = queries.filter(usable).select(columns).distinct()
+    rows = vectors.filter(usable).select(columns)
     shards = -(-rows.count() // SHARD_ROWS) or 1
-    blocks = -(-asked.count() // BLOCK_ROWS) or 1
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)))
-    keys = ("shard", "block", "length")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards)))
+    start = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))
+    lowest = F.lit(-(1 << 63)).cast("long")
+    order = ["shard", "length", "asks"]
 
-    def meet(asked: DataFrame, pairs: Column) -> DataFrame:
-        """Each shard with each of the blocks that ``pairs`` (an array of blocks) names."""
-        left = rows.withColumn("block", F.explode(pairs))
-        asked = asked.toDF(*asked.columns)  # own column identities: both sides stem from one table
-        return left.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(searcher(k), RESULT)
+    def meet(asked: DataFrame) -> DataFrame:
+        """The queries, which name a shard each time, with its candidates."""
+        sides = rows.withColumns({"asks": F.lit(0), "least": lowest}).unionByName(asked.withColumn("asks", F.lit(1)))
+        return sides.repartition("shard").sortWithinPartitions(*order).mapInArrow(searcher(k), RESULT)
 
-    lowest = F.lit(-(1 << 63)).cast("long")
-    # block b starts in shard b mod shards
-    own = F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")
-    starts = F.filter(own, lambda b: b % shards == F.col("shard"))
-    first = materialize(
-        meet(asked.withColumns({"shard": F.col("block") % shards, "least": lowest}), starts), "topk"
-    )
+    first = materialize(meet(asked.withColumns({"shard": start, "least": lowest})), "topk")
     known = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
-    bounded = asked.join(known, "query_id", "left").withColumn("least", F.when(F.col("n") >= k, F.col("kth")).otherwise(lowest))
-    others = F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")
-    rest = bounded.withColumn("shard", F.explode(F.filter(others, lambda s: s != F.col("block") % shards))).select(
-        *keys, "query_id", "vector", "least"
-    )
-    found = first.unionByName(meet(rest, F.filter(own, lambda b: b % shards != F.col("shard"))))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    bound = F.when(F.col("n") >= k, F.col("kth")).otherwise(lowest)
+    bounded = asked.join(known, asked["id"] == known["query_id"], "left").withColumn("least", bound)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")), lambda s: s != start)
+    rest = bounded.select("id", "vector", "length", F.explode(others).alias("shard"), "least")
+    found = first.unionByName(meet(rest))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

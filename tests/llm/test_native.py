@@ -62,7 +62,6 @@ def brute(rows, queries, k):
 @pytest.mark.parametrize("seed, span, shard", [(1, 3, 40), (2, 1000, 40), (3, 1, 10_000)])
 def test_top_k_with_ties_and_equal_vectors(frame, monkeypatch, seed, span, shard):
     monkeypatch.setattr(kdtree, "SHARD_ROWS", shard)
-    monkeypatch.setattr(kdtree, "BLOCK_ROWS", 7)
     monkeypatch.setattr(kdtree, "LEAF_ROWS", 8)
     rng = np.random.RandomState(seed)
     rows = [(i, rng.randint(-span, span + 1, 5).tolist()) for i in range(150)] + [(i, [1, 1, 1, 1, 1]) for i in range(150, 200)]
