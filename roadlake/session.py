@@ -65,6 +65,16 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once what was made of it is stored itself."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if f"/roadlake/{spark.sparkContext.applicationId}/" not in path.toString():
+            raise ValueError(f"{path} is no scratch table of this application")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
