@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from roadlake.llm.common import slices
 from roadlake.llm.hashing import BYTE, Powers, U, words
-from roadlake.session import materialize
+from roadlake.session import discard, materialize
 
 LAST = (1 << 63) - 1
 #: Bits of a place within a slice, below the bits of a gram's hash.
@@ -120,7 +120,7 @@ def sifted(found: DataFrame, everywhere: bool) -> DataFrame:
 
     Repeated means: before, in the order of id, hash and start; or, if ``everywhere``, at any other place. A kind (equal
     place and tokens) is folded to its first record and count before it is shuffled; what is joined are stored tables, so a
-    place that a third of all records share is split among tasks.
+    place that a third of all records share is split among tasks. The result is stored, the tables on the way are deleted.
     """
     found = materialize(found, "found")
     first = F.min(F.struct("id", "hash", "start", "size", "end")).alias("first")
@@ -132,7 +132,10 @@ def sifted(found: DataFrame, everywhere: bool) -> DataFrame:
     if not everywhere:
         whole = whole.filter(F.struct("hash", "start") != F.col("head"))
     columns = ["place", "id", "hash", "size", "start", "end", "closer"]
-    return whole.withColumn("closer", F.lit(False)).select(columns).unionByName(closer.select(columns))
+    result = materialize(whole.withColumn("closer", F.lit(False)).select(columns).unionByName(closer.select(columns)), "records")
+    for used in (found, kinds, several, again):
+        discard(used)
+    return result
 
 
 def contents(rows: DataFrame, closer: DataFrame, cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]]) -> DataFrame:

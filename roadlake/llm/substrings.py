@@ -141,7 +141,7 @@ def removed(rows: DataFrame, width: int) -> DataFrame:
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): for each row the words that stay, joined by single blanks."""
     rows = anchors.plain(docs, text, key)
-    sifted = materialize(anchors.sifted(anchors.records(rows, anchors.word_tokens, width, gram), everywhere=False), "records")
+    sifted = anchors.sifted(anchors.records(rows, anchors.word_tokens, width, gram), everywhere=False)
     closer = materialize(anchors.contents(rows, sifted.filter("closer"), cut(width)), "contents")
     whole = sifted.filter("not closer").select("hash", "size", "start", "end")
     repeated = whole.unionByName(parsed(closer.filter("not crowded"), width))

@@ -165,7 +165,7 @@ def dedup(
     """(doc_id, n_bytes, n_removed, n_spans, kept): for each row the bytes that stay."""
     rows = anchors.plain(docs, text, key)
     found = anchors.records(rows, anchors.byte_tokens, width, gram)
-    sifted = materialize(anchors.sifted(found, everywhere=not keep_first), "records")
+    sifted = anchors.sifted(found, everywhere=not keep_first)
     closer = materialize(anchors.contents(rows, sifted.filter("closer"), cut(width)), "contents")
     whole = sifted.filter("not closer").select("hash", "size", "start", "end")
     spans = whole.unionByName(repeated(closer.filter("not crowded"), width, keep_first))
