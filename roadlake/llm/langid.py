@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import table
+from roadlake.llm.common import table, unused
 from roadlake.session import materialize
 
 DIM = 512
@@ -29,6 +29,8 @@ DIM = 512
 MAX_LANGUAGES = 4096
 #: Characters that are worked on at once.
 CHUNK = 1 << 17
+#: Distinct trigrams, and counts of texts by trigrams, that are bundled at once.
+BLOCK, CELLS = 1 << 13, 1 << 22
 UNKNOWN = "und"
 
 
@@ -42,7 +44,7 @@ class Letters:
         self.vectors = [self.draw(32)]
 
     def draw(self, point: int) -> np.ndarray:
-        return np.random.RandomState(point).randint(0, 2, self.dim).astype(np.float32) * 2 - 1
+        return np.random.RandomState(point).randint(0, 2, self.dim).astype(np.int8) * 2 - 1
 
     def numbers(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -82,8 +84,29 @@ class Letters:
 
     def bound(self, grams: np.ndarray) -> np.ndarray:
         """The vectors of the trigrams."""
-        vectors = np.stack(self.vectors)
-        return np.roll(vectors, 2, 1)[grams[0]] * np.roll(vectors, 1, 1)[grams[1]] * vectors[grams[2]]
+        numbers, at = np.unique(grams, return_inverse=True)
+        vectors, at = np.stack([self.vectors[n] for n in numbers.tolist()]), at.reshape(grams.shape)
+        out = np.roll(vectors, 2, 1)[at[0]]
+        out *= np.roll(vectors, 1, 1)[at[1]]
+        out *= vectors[at[2]]
+        return out
+
+    def bundled(self, owner: np.ndarray, index: np.ndarray, grams: np.ndarray, rows: int) -> np.ndarray:
+        """The sums of the trigram vectors of each of ``rows`` owners, in blocks of at most CELLS counts."""
+        width = grams.shape[1]
+        block = min(BLOCK, max(64, CELLS // max(rows, 1)))
+        if width > block:
+            order = np.argsort(index, kind="stable")
+            owner, index = owner[order], index[order]
+        most = np.bincount(owner, minlength=1).max()
+        kind = np.float32 if most < 1 << 24 else np.float64  # exact sums of whole numbers
+        out = np.zeros((rows, self.dim))
+        for first in range(0, width, block):
+            size = min(block, width - first)
+            own = slice(*np.searchsorted(index, [first, first + size])) if width > block else slice(None)
+            counts = np.bincount(owner[own] * size + index[own] - first, minlength=rows * size).reshape(rows, size)
+            out += counts.astype(kind) @ self.bound(grams[:, first : first + size]).astype(kind)
+        return out
 
 
 def prepared(text: str | None) -> str:
@@ -115,11 +138,9 @@ def learn(df: DataFrame, text: str = "text", label: str = "lang", dim: int = DIM
                 names = langs[first : first + len(run)]
                 known = sorted(set(names))
                 of = np.array([known.index(n) for n in names])
-                width = grams.shape[1]
-                if not width:
+                if not grams.shape[1]:
                     continue
-                counts = np.bincount(of[owner] * width + index, minlength=len(known) * width).reshape(len(known), width)
-                for name, row in zip(known, counts.astype(np.float64) @ letters.bound(grams)):
+                for name, row in zip(known, letters.bundled(of[owner], index, grams, len(known))):
                     sums[name] = sums.get(name, 0) + row.astype(np.int64)
         for name, row in sums.items():
             yield pa.RecordBatch.from_arrays(
@@ -151,20 +172,19 @@ def predict(df: DataFrame, prototypes: DataFrame, text: str = "text", into: str
             langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for first, run in chunks(texts if names else []):
                 owner, index, grams = letters.trigrams(run)
-                width = grams.shape[1]
-                if not width:
+                if not grams.shape[1]:
                     continue
-                counts = np.bincount(owner * width + index, minlength=len(run) * width).reshape(len(run), width)
-                kind = np.float32 if counts.sum(1).max() < 1 << 24 else np.float64  # exact sums of whole numbers
-                vectors = (counts.astype(kind) @ letters.bound(grams)).astype(np.float64)
+                vectors = letters.bundled(owner, index, grams, len(run))
                 norms = np.linalg.norm(vectors, axis=1)
                 cosines = (vectors @ matrix) / np.maximum(norms, 1e-300)[:, None]
-                for i in np.flatnonzero(counts.any(1)).tolist():
+                for i in np.unique(owner).tolist():
                     winner = int(cosines[i].argmax())
                     langs[first + i], scores[first + i] = names[winner], min(1.0, max(0.0, cosines[i, winner]))
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang", "score"])
 
-    return df.withColumn("_best", best(F.col(text))).withColumns({into: F.col("_best.lang"), score: F.col("_best.score")}).drop("_best")
+    found = unused(df, "_best")
+    judged = df.withColumn(found, best(F.col(text)))
+    return judged.withColumns({into: F.col(f"{found}.lang"), score: F.col(f"{found}.score")}).drop(found)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -83,6 +84,64 @@ def test_a_texts_vector_is_the_sum_of_its_bound_trigrams():
     assert (got[0] == bundle(" ab a ")).all() and (got[1] == bundle(" ba ")).all()
 
 
+def test_sums_in_blocks(monkeypatch):
+    letters, rng = langid.Letters(32), np.random.RandomState(3)
+    owner, index, grams = letters.trigrams(["".join(map(chr, rng.randint(97, 123, n))) for n in (40, 0, 300, 7)])
+    whole = letters.bundled(owner, index, grams, 4)
+    vectors = letters.bound(grams)
+    assert all((whole[i] == vectors[index[owner == i]].sum(0)).all() for i in range(4)) and not whole[1].any()
+    monkeypatch.setattr(langid, "BLOCK", 5)
+    assert (letters.bundled(owner, index, grams, 4) == whole).all()
+
+
+def test_memory_of_many_letters(monkeypatch):
+    """A thousand texts with 131 letters each that no other has. Drawing their vectors takes long and is left out."""
+    monkeypatch.setattr(langid.Letters, "draw", lambda self, point: np.full(self.dim, 1 - point % 2 * 2, np.int8))
+    points = [c for c in map(chr, range(0x110000)) if c.isalpha()][:131000]
+    run = ["".join(points[i::1000]) for i in range(1000)]
+    tracemalloc.start()
+    letters = langid.Letters(langid.DIM)
+    owner, index, grams = letters.trigrams(run)
+    found = letters.bundled(owner, index, grams, len(run))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.shape == (1000, langid.DIM) and len(letters.vectors) == 131001 and peak < 400 << 20
+
+
+def test_predictions_against_plain_sums(spark, frame):
+    """The whole result, letter by letter: prototypes, cosines and ties."""
+    rng = random.Random(8)
+    known = {"aa": "abcde", "bb": "cdefg", "cc": "efgЖЯ"}
+    learned = [("".join(rng.choices(known[name] + " 1", k=rng.randrange(1, 60))), name) for name in sorted(known) for _ in range(12)]
+    asked = [(n, "".join(rng.choices(rng.choice(list(known.values())) + "  -", k=rng.randrange(0, 40)))) for n in range(60)] + [(99, None)]
+    letters = langid.Letters(langid.DIM)
+
+    def vector(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        joined = f" {' '.join(words)} " if words else ""
+        one = {c: letters.draw(ord(c)).astype(int) for c in joined}
+        grams = [np.roll(one[a], 2) * np.roll(one[b], 1) * one[c] for a, b, c in zip(joined, joined[1:], joined[2:])]
+        return sum(grams, np.zeros(langid.DIM, int))
+
+    prototypes = {name: sum(vector(t) for t, n in learned if n == name) for name in sorted(known)}
+    found = langid.predict(frame("doc_id long, text string", *asked), langid.learn(frame("text string, lang string", *learned)))
+    rows = {i: (lang, score) for i, lang, score in values(found, "doc_id", "lang_pred", "score")}
+    for n, text in asked:
+        own = vector(text)
+        if not own.any():
+            assert not any(map(str.isalpha, text or "")) and rows[n] == ("und", 0)
+            continue
+        cosines = {k: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for k, v in prototypes.items()}
+        name = max(cosines, key=cosines.get)
+        assert rows[n][0] == name and abs(rows[n][1] - max(0, cosines[name])) < 1e-9
+
+
+def test_a_table_with_a_column_of_the_same_name(frame):
+    learned = langid.learn(frame("text string, lang string", ("the fox", "en")))
+    found = langid.predict(frame("text string, _best long, _BEST_ long", ("the fox", 7, 8)), learned)
+    assert found.columns == ["text", "_best", "_BEST_", "lang_pred", "score"] and found.first()[1:4] == (7, 8, "en")
+
+
 @needs_tables
 def test_held_out_languages(spark):
     truth = dict(values(texts(spark), "doc_id", "lang"))
@@ -281,6 +340,17 @@ def test_items_in_lots(frame, monkeypatch):
     assert [x["item_id"] for x in df.first().leaks] == [1, 3]
 
 
+def test_the_plan_of_many_lots_is_that_of_one(frame, monkeypatch):
+    rows = [(n, f"text {n} holds item number {n % 7} here", n) for n in range(20)]
+    docs, items = frame("doc_id long, text string, _leaks long", *rows), [(n, f"item number {n}") for n in range(7)]
+    whole = decontam.find(docs, frame("item_id long, text string", *items))
+    monkeypatch.setattr(decontam, "LOT_BYTES", 1)
+    parts = decontam.find(docs, frame("item_id long, text string", *items))
+    assert parts.columns == whole.columns == ["doc_id", "text", "_leaks", "leaks"]
+    assert sorted(values(parts)) == sorted(values(whole))
+    assert parts._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 # --- pipeline
 
 
