@@ -6,7 +6,8 @@ at least one piece stays whole in any such stretch. An Aho-Corasick pass over ea
 pieces; around each hit Myers' bit-parallel distance decides. Texts and items are compared in lower
 case with white space collapsed to single blanks.
 
-Items are sent to all tasks in lots of at most LOT_BYTES of text, one pass over the texts for each lot.
+Items are sent to all tasks in lots of at most LOT_BYTES of text, one pass over the texts for each lot;
+the table is stored between two passes.
 
 A null or blank item, and a null text, match nothing. Items shorter than 1 / rate characters must occur
 exactly. Equal items are reported each. Repeated rows and further columns are kept.
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.llm.common import arrays, table, unused
+from roadlake.session import materialize
 
 RATE = 0.05
 LOT_BYTES = 16 << 20
@@ -189,11 +190,14 @@ def find(
 
     ``start`` and ``end`` are code points of the text as it is, widened to whole words.
     """
-    parts = []
-    for lot in lots(benchmark, item_id, item_text):
-        parts.append(f"_{into}{len(parts)}")
-        df = search(df, lot, text, parts[-1], rate)
-    return df.withColumn(into, reduce(F.concat, map(F.col, parts))).drop(*parts)
+    found, lot_leaks = df, unused(df, f"_{into}")
+    for number, lot in enumerate(lots(benchmark, item_id, item_text)):
+        if number:  # so that the plan, and what its tasks hold, is that of one lot
+            found = materialize(found, "leaks")
+        found = search(found, lot, text, lot_leaks, rate)
+        leaks = F.concat(into, lot_leaks) if number else F.col(lot_leaks)
+        found = found.withColumn(into, leaks).drop(lot_leaks)
+    return found
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
