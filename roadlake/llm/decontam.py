@@ -3,8 +3,9 @@
 A text holds a test item if some stretch of it lies within ``rate`` times the item's length in edits
 (insertions, deletions, substitutions). The item is cut into one piece more than the edits allowed, so
 at least one piece stays whole in any such stretch. An Aho-Corasick pass over each text finds the
-pieces; around each hit Myers' bit-parallel distance decides. Texts and items are compared in lower
-case with white space collapsed to single blanks.
+pieces; around each hit Myers' bit-parallel distance decides, unless so many of the item's runs of GRAM characters are
+missing there that the edits can't account for it: each edit changes at most GRAM of them. Texts and items are compared
+in lower case with white space collapsed to single blanks.
 
 Items are sent to all tasks in lots of at most LOT_BYTES of text, one pass over the texts for each lot;
 the table is stored between two passes.
@@ -27,6 +28,7 @@ from roadlake.llm.common import arrays, table, unused
 from roadlake.session import materialize
 
 RATE = 0.05
+GRAM = 4
 LOT_BYTES = 16 << 20
 LEAKS = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
 
@@ -45,6 +47,16 @@ def cut(item: str, parts: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(ends, ends[1:])]
 
 
+def grams(text: str) -> list[str]:
+    return [text[i : i + GRAM] for i in range(len(text) - GRAM + 1)]
+
+
+def missing(item: str, window: str) -> int:
+    """How many runs of GRAM characters of the item the window lacks."""
+    seen = set(grams(window))
+    return sum(run not in seen for run in grams(item))
+
+
 def best_end(item: str, text: str) -> tuple[int, int]:
     """(distance, end) of the stretch of ``text`` closest to ``item``; the first of equals. Myers 1999, one word."""
     places: dict[str, int] = {}
@@ -104,6 +116,8 @@ class Items:
                 window = text[done : last + len(item) + most]
                 if (at := window.find(item)) >= 0:
                     hit = (0, done + at, done + at + len(item))
+                elif missing(item, window) > GRAM * most:
+                    continue
                 else:
                     distance, end = best_end(item, window)
                     if distance > most:
