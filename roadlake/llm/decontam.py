@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from roadlake.llm.common import arrays, table, unused
 from roadlake.session import materialize
 
-RATE = 0.05
+RATE = 0.08
 GRAM = 4
 LOT_BYTES = 16 << 20
 LEAKS = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
