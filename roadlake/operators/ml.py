@@ -31,14 +31,35 @@ def split(rows: DataFrame, key: str, train_share: float = rules.TRAIN_SHARE, see
 
 
 def imputer() -> Imputer:
-    """Missing inputs become the exact median, the lower one of two."""
+    """Missing inputs become the median. Fit it on the one row of ``medians``, of which each median is itself."""
     names = list(rules.MODEL_FEATURES)
-    return Imputer(inputCols=names, outputCols=names, strategy="median", relativeError=0.0)
+    return Imputer(inputCols=names, outputCols=names, strategy="median")
 
 
-def medians(rows: DataFrame) -> DataFrame:
-    """One row: what replaces a missing value of each input."""
-    return imputer().fit(rows).surrogateDF
+def medians(rows: DataFrame, names=rules.MODEL_FEATURES) -> DataFrame:
+    """One row: the exact median of each input, the lower one of two; NULL and NaN do not count.
+
+    Equal values are counted before the shuffle. The counts are cut into ranges as in ``ids``, and only the range in which a
+    median lies is looked through, so no task holds the values of a column.
+    """
+    spark = rows.sparkSession
+    measures = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])
+    counts = rows.select(F.inline(measures)).filter("value IS NOT NULL AND NOT isnan(value)")
+    counts = counts.groupBy("name", "value").agg(F.count("*").alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = counts.repartitionByRange(parts, "name", "value").withColumn("_part", F.spark_partition_id())
+    ranges = materialize(ranges, "value-counts")
+    sizes = ranges.groupBy("name", "_part").agg(F.sum("n").alias("_size"))  # a row for each partition and name at most
+    up_to = Window.partitionBy("name").orderBy("_part")
+    sizes = sizes.withColumns({
+        "_before": F.sum("_size").over(up_to) - F.col("_size"),
+        "_rank": F.expr("(sum(_size) OVER (PARTITION BY name) + 1) DIV 2"),
+    })
+    hit = sizes.filter((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_size")))
+    inside = Window.partitionBy("name").orderBy("value")
+    reached = ranges.join(F.broadcast(hit), ["name", "_part"]).withColumn("_reached", F.col("_before") + F.sum("n").over(inside))
+    median = reached.filter("_reached >= _rank").groupBy("name").agg(F.min("value").alias("value"))
+    return median.agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in names])
 
 
 def train(rows: DataFrame, forest=rules.FOREST) -> PipelineModel:
@@ -48,7 +69,7 @@ def train(rows: DataFrame, forest=rules.FOREST) -> PipelineModel:
         raise ValueError(f"training needs at least {fewest} rows")
     names = list(rules.MODEL_FEATURES)
     stages = [
-        imputer(),
+        imputer().fit(medians(rows, names)),
         VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(labelCol="label", featuresCol="features", **forest),
     ]

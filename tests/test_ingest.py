@@ -168,3 +168,20 @@ def test_split_and_medians(spark, frame):
     assert train.count() + test.count() == 501
     inputs = schemas.ensure_columns(frame("avg_speed double", 1.0, 2.0, 8.0, 9.0, None), rules.MODEL_FEATURES)
     assert ml.medians(inputs.withColumn("avg_speed", F.col("avg_speed").cast("double"))).first()["avg_speed"] == 2.0
+
+
+def test_medians_are_counted(spark, monkeypatch):
+    """The quantile sketch, whose size is that of its input, sees one row; the medians are those of sorted values."""
+    fitted, fit = [], ml.Imputer.fit
+    monkeypatch.setattr(ml.Imputer, "fit", lambda self, rows: fitted.append(rows.count()) or fit(self, rows))
+    value = F.when(F.col("id") % 9 == 0, None).when(F.col("id") % 11 == 0, float("nan"))
+    rows = spark.range(0, 600, 1, 7).withColumns(
+        {c: value.otherwise(F.col("id") * 7919 % (601 + i) - 50.0) for i, c in enumerate(rules.MODEL_FEATURES)})
+    rows = rows.withColumn("humidity", F.lit(0.5)).withColumn("label", F.col("id") % 2 + 0.0)
+    ids = [n for n in range(600) if n % 9 and n % 11]
+    found = ml.medians(rows).first()
+    for i, c in enumerate(rules.MODEL_FEATURES[:-1]):
+        assert found[c] == sorted(n * 7919 % (601 + i) - 50.0 for n in ids)[(len(ids) - 1) // 2]
+    assert found["humidity"] == 0.5
+    model = ml.train(rows, {"numTrees": 1, "maxDepth": 1, "seed": 1})
+    assert model.stages[0].surrogateDF.first()["avg_speed"] == found["avg_speed"] and fitted == [1]
