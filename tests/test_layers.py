@@ -194,3 +194,50 @@ def test_a_broken_run_goes_on_after_the_jobs_that_ended(spark, frame, tmp_path,
     assert layers.all_layers(spark, f"{root}/silver/traffic") == silver_layers
     gold_plan.run(spark, root, now, run_id="night-8")
     assert spark.read.parquet(f"{root}/logs/run_log").count() == 50 and len(layers.all_layers(spark, f"{root}/silver/traffic")) == 2
+
+
+def shuffle_written(spark, run):
+    """Bytes that tasks write to shuffles while ``run`` runs."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    total = lambda: sum(store.executorList(False).apply(i).totalShuffleWrite() for i in range(store.executorList(False).size()))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = total()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_a_refresh_shuffles_its_rows_twice_and_the_table_not_at_all(spark, tmp_path):
+    root, since = str(tmp_path), F.lit("2024-02-01").cast("timestamp")
+    stored(traffic(spark, 0, 100_000), root, "traffic", "2024-01-01")
+    layers.write_whole(silver.clean_batch("traffic", events.read_raw(spark, root, "traffic")), f"{root}/silver/traffic")
+    stored(traffic(spark, 100_000, 9_000), root, "traffic", "2024-02-01")
+    once = shuffle_written(spark, lambda: silver.clean_batch("traffic", events.read_raw(spark, root, "traffic", arrived=since)).write.format("noop").mode("overwrite").save())
+    table = shuffle_written(spark, lambda: gold_plan.clean_table(spark, root, "traffic").repartition(4).write.format("noop").mode("overwrite").save())
+    written = shuffle_written(spark, lambda: gold_plan.refresh(spark, root, "traffic", since))
+    assert written < 2.5 * once + table / 3  # of the table only the keys pass a shuffle
+    assert gold_plan.clean_table(spark, root, "traffic").count() == 109_000
+
+
+def test_large_changes_become_a_whole_layer_at_once(spark, frame, tmp_path):
+    root, path = str(tmp_path), f"{tmp_path}/silver/traffic"
+    rows = lambda *r: schemas.conform(frame(SCHEMA, *r), schemas.EVENT["traffic"])
+    layers.write_whole(rows(*((f"e{i}", day(1, 1 + i % 3), i) for i in range(30))), path)
+    assert gold_plan.upsert(spark, root, "traffic", rows(("e1", day(2, 5), 7))) == (["2024-02", "2024-05"], 1)
+    assert [f[-5:] for f in layers.layers(spark, path)] == ["whole", "delta"]
+    months, n = gold_plan.upsert(spark, root, "traffic", rows(("e1", day(9, 5), 8), ("e2", day(1, 1), 9), ("new", None, 1), ("new2", day(1), 1)))
+    # e2 came with an older time and stays
+    assert (months, n) == (["2024-01", "2024-05", layers.UNKNOWN], 3)
+    assert [f[-5:] for f in layers.layers(spark, path)] == ["whole"]
+    found = dict(values(gold_plan.clean_table(spark, root, "traffic"), "event_id", "vehicle_count"))
+    assert len(found) == 32 and (found["e1"], found["e2"], found["new"], found["new2"]) == (8, 2, 1, 1)
+
+
+def test_a_run_does_only_what_a_table_is_made_from(spark, frame, tmp_path):
+    root, now = str(tmp_path), F.lit(NOW).cast("timestamp")
+    stored(traffic(spark, 0, 20), root, "traffic", "2024-01-01")
+    gold_plan.run(spark, root, now, only=["gold_hotspot_analysis"])
+    jobs = sorted(r[0] for r in spark.read.parquet(f"{root}/logs/run_log").select("job_name").collect())
+    assert jobs == ["gold_hotspot_analysis", "parts_reports", "silver_reports"]
+    assert gold_plan.feeds_of(["features_accidents"]) == [f for f in gold_plan.FEEDS if f != "news"]
+    assert gold_plan.feeds_of(["quality_metrics"]) == list(gold_plan.FEEDS)
