@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake import rules
+from roadlake.session import materialize
 
 LATEST = ("event_time", "event_id")
 
@@ -29,16 +30,43 @@ def with_keys(df: DataFrame, keys) -> DataFrame:
     return df
 
 
-def latest_per_key(df: DataFrame, keys, order=LATEST, null_keys: bool = False) -> DataFrame:
+def latest_per_key(df: DataFrame, keys, order=LATEST, null_keys: bool = False, used=None) -> DataFrame:
     """One row per key, the newest one. NULL keys are dropped, or count as a key with ``null_keys``.
 
     Where the order leaves a tie, such as a corrected redelivery with the time of the first one, the other
     columns decide, larger values first and NULL last, so that the survivor does not depend on how the rows are
     spread. Call it on cleaned rows: then a refresh gives the same survivor as a rebuild.
+    Of the columns in ``used`` the survivor has the same values without those that decide after the last of them, which are left out.
     """
+    rows = df if null_keys else with_keys(df, keys)
     named = [c for c in order if c not in keys]
-    deciding = newest_first([*named, *(c for c in df.columns if c not in named and c not in keys)])
-    return first_per_key(df if null_keys else with_keys(df, keys), keys, deciding)
+    deciding = [*named, *(c for c in df.columns if c not in named and c not in keys)]
+    if used:
+        deciding = deciding[:max([i + 1 for i, c in enumerate(deciding) if c in used], default=0)]
+        rows = rows.select(*keys, *deciding)
+    # a key may be all that is used
+    found = first_per_key(rows, keys, newest_first(deciding or keys))
+    return found.select(*used) if used else found
+
+
+def latest_of_repeated(df: DataFrame, keys, order=LATEST, null_keys: bool = False, used=None, few: int = 500_000) -> DataFrame:
+    """``latest_per_key`` of a table in which few keys come more than once.
+
+    A narrow aggregate of key hashes finds these keys and is run at once. Only their rows are shuffled and sorted, the others
+    stay where they are; rows whose hashes merely meet are told apart by their keys. Where more than ``few`` keys repeat, all rows are
+    sorted. The table is read up to three times: it should be stored, or made from a stored one row by row.
+    """
+    rows = df if null_keys else with_keys(df, keys)
+    marked = rows.withColumn("_key", F.xxhash64(*keys))
+    repeated = materialize(marked.groupBy("_key").agg(F.count("*").alias("_rows")).filter("_rows > 1").select("_key"), "repeated-keys")
+    found = repeated.count()
+    if found == 0:
+        return rows.select(*used) if used else rows
+    if found > few:
+        return latest_per_key(rows, keys, order, True, used)
+    once = marked.join(F.broadcast(repeated), "_key", "left_anti").drop("_key")
+    copies = marked.join(F.broadcast(repeated), "_key", "left_semi").drop("_key")
+    return (once.select(*used) if used else once).unionByName(latest_per_key(copies, keys, order, True, used))
 
 
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:

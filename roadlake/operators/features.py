@@ -1,5 +1,7 @@
 """District features joined to accidents."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,5 +58,7 @@ def enrich(accidents: DataFrame, context: DataFrame, fill=rules.ACCIDENT_FEATURE
     )
 
 
-def accident_features(accidents: DataFrame, reports: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
-    return enrich(accidents, materialize(district_context(reports, traffic, weather), "district-context"))
+def accident_features(accidents: DataFrame, reports: DataFrame, traffic: DataFrame, weather: DataFrame,
+                      settle: Callable[[DataFrame], DataFrame] = lambda context: context) -> DataFrame:
+    """``settle`` is applied to the district features, of which there are few rows, before they meet the accidents."""
+    return enrich(accidents, materialize(settle(district_context(reports, traffic, weather)), "district-context"))

@@ -25,6 +25,8 @@ ENRICHED_KEYS = {
     "news": ["event_id", "road_name"],
     "accidents": ["accident_id", "event_time"],
 }
+# keys that come again and again by nature: the states of a report, the deliveries of an article; copies of other keys are rare
+RECURRING = {"reports": "report_id", "news": "event_id"}
 # order of the copies of a key; the news order is total because titles differ between copies
 ORDER = {"news": ("event_time", "event_id", "title")}
 
@@ -32,20 +34,25 @@ _NAMES = ("road_name", "district", "village", "city")
 _TRIMMED = ("status", "condition", "congestion_level", "source")
 
 
-def clean_batch(feed: str, raw: DataFrame) -> DataFrame:
-    """Drop rows without a key or, for reports, without a place on earth; keep the newest row per key."""
+def _latest(feed: str, keys):
+    """How copies are found. A time in the key tells the states of an event apart."""
+    return clean.latest_per_key if RECURRING.get(feed) in keys and "event_time" not in keys else clean.latest_of_repeated
+
+
+def clean_batch(feed: str, raw: DataFrame, used=None) -> DataFrame:
+    """Drop rows without a key or, for reports, without a place on earth; keep the newest row per key, or its columns ``used``."""
     if feed == "reports":
         raw = raw.filter(geo.inside("latitude", "longitude", rules.WORLD_BOX))
     names = {c: standardize.clean_name(c) for c in _NAMES if c in raw.columns}
     trimmed = {c: F.trim(c) for c in _TRIMMED if c in raw.columns}
     rows = schemas.conform(raw.withColumns({**names, **trimmed}), schemas.EVENT[feed])
-    return newest(feed, rows)
+    return newest(feed, rows, _latest(feed, BATCH_KEYS[feed]), used)
 
 
-def newest(feed: str, rows: DataFrame) -> DataFrame:
+def newest(feed: str, rows: DataFrame, latest=clean.latest_per_key, used=None) -> DataFrame:
     """One row per key of a feed, from clean rows."""
     needed = [k for k in BATCH_KEYS[feed] if k not in OPTIONAL.get(feed, ())]
-    return clean.latest_per_key(clean.with_keys(rows, needed), BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST), null_keys=True)
+    return latest(clean.with_keys(rows, needed), BATCH_KEYS[feed], ORDER.get(feed, clean.LATEST), True, used)
 
 
 def refresh_batch(feed: str, clean_rows: DataFrame, new_raw: DataFrame) -> DataFrame:
@@ -58,7 +65,7 @@ def clean_enriched(feed: str, raw: DataFrame, as_of: Column | None = None) -> Da
     now = F.current_timestamp() if as_of is None else as_of
     keys = ENRICHED_KEYS[feed]
     # an unknown time or road is one more key of its event, not a missing key
-    rows = clean.latest_per_key(raw, keys, ORDER.get(feed, clean.LATEST), null_keys=True)
+    rows = _latest(feed, keys)(raw, keys, ORDER.get(feed, clean.LATEST), null_keys=True)
     rows = rows.withColumn("district", standardize.district("district"))
     if feed == "reports":
         rows = rows.withColumns(

@@ -41,6 +41,35 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert unique.count() == 67 and values(unique.filter("report_id = 'hot'"), "event_id") == [("99",)]
 
 
+def test_only_copies_are_sorted(spark, frame):
+    schema = "event_id string, event_time timestamp, x int, y int"
+    df = frame(schema, ("a", T1, 1, 9), ("a", T2, 2, 8), ("a", T2, 3, 7), ("b", T1, 4, None), (None, T1, 5, 5), (None, T1, 6, 5), (None, None, 7, 5), ("c", None, 8, 5))
+    for keys, nulls, few, used in (
+        (["event_id"], True, 9, None), (["event_id", "event_time"], False, 9, None), (["event_id"], True, 9, ["y", "event_id"]),
+        (["event_id"], True, 0, ["x"]), (["event_id", "x"], True, 9, ["x"]), (["event_id"], True, 9, ["event_id"]),
+    ):
+        kept = clean.latest_of_repeated(df, keys, null_keys=nulls, used=used, few=few)
+        whole = clean.latest_per_key(df, keys, null_keys=nulls).select(*(used or df.columns))
+        assert sorted(values(kept), key=str) == sorted(values(whole), key=str)
+        assert kept.columns == whole.columns
+    text = plan(clean.latest_of_repeated(df, ["event_id"]))
+    assert "LeftAnti" in text and "LeftSemi" in text.split("WindowGroupLimit")[-1]
+    # no copies: nothing is shuffled
+    rows = frame(schemas.EVENT["accidents"], *[(f"e{i}", T1, f"a{i}", "r", "d", None, None, "low", 1, 2, None) for i in range(9)])
+    enriched = silver.clean_enriched("accidents", rows)
+    assert "Window" not in plan(enriched) and enriched.count() == 9
+
+
+def test_unused_columns_are_not_shuffled(spark, frame, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [(f"e{i % 7}", T1 if i % 2 else T2, f"r{i % 3}", f"road {i}", "gubeng", i / 9, 1.0) for i in range(20)]
+    frame(REPORT, *rows).write.parquet(path)
+    reports = spark.read.parquet(path)
+    used = silver.clean_batch("reports", reports, ["event_id", "event_time"])
+    assert sorted(values(used)) == sorted(values(silver.clean_batch("reports", reports), "event_id", "event_time"))
+    assert "road_name" not in details(used)
+
+
 def test_validity_comes_before_deduplication(frame):
     df = frame(
         REPORT,
