@@ -88,10 +88,12 @@ def route_weather(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def is_rain() -> Column:
-    """A message of the weather topic that names a day instead of an event."""
+    """A message of the weather topic that names a day instead of an event. Only texts that can hold the name, spelled out
+    or with escapes, are parsed for it."""
     text = F.col("value").cast("string")
     event, day = F.get_json_object(text, "$.event_id"), F.get_json_object(text, "$.date")
-    return F.coalesce(event.isNull() & day.isNotNull(), F.lit(False))
+    named = F.contains(text, F.lit("date")) | F.contains(text, F.lit("\\"))
+    return F.coalesce(named & event.isNull() & day.isNotNull(), F.lit(False))
 
 
 def rain_days(messages: DataFrame) -> DataFrame:

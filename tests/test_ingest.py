@@ -16,7 +16,7 @@ from roadlake.operators import ids, ml, quality
 from roadlake.plans import gold as gold_plan
 from roadlake.sources import events
 from roadlake.streaming import jobs
-from tests.conftest import details, values
+from tests.conftest import details, plan, values
 from tests.test_streaming import feed, report  # noqa: F401  (a fixture)
 
 NOW = "2024-02-01"
@@ -185,3 +185,12 @@ def test_medians_are_counted(spark, monkeypatch):
     assert found["humidity"] == 0.5
     model = ml.train(rows, {"numTrees": 1, "maxDepth": 1, "seed": 1})
     assert model.stages[0].surrogateDF.first()["avg_speed"] == found["avg_speed"] and fitted == [1]
+
+
+def test_only_texts_that_can_name_a_day_are_parsed(frame):
+    texts = ['{"date": "2020-01-01"}', '{"d\\u0061te": "2020-01-01"}', "{'date': '2020-01-01'}", '{"event_id": "date", "date": "2020-01-01"}',
+             '{"event_id": "e"}', '{"day": 1}', '{"date": null}', "no date", None]
+    rows = frame("value string", *texts)
+    kinds = [rain for _, rain in rows.select("value", events.is_rain()).collect()]
+    assert kinds == [True, True, True, False, False, False, False, False, False]
+    assert "contains(" in plan(rows.withColumn("rain", events.is_rain()).filter("rain")).lower()
