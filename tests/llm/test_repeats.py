@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlake.llm import anchors, substrings, suffixes
+from roadlake.session import materialize
 from tests.conftest import values
+from tests.test_scale import final_plan, small_partitions  # noqa: F401
 
 
 def brute_words(rows, width):
@@ -129,3 +131,16 @@ def test_spans_that_many_batches_tell_are_kept_once(frame):
     found = {r.doc_id: r for r in anchors.with_spans(rows, told).collect()}
     assert [sorted(map(tuple, found[i].spans)) for i in (1, 2)] == [[(0, 1), (0, 2)]] * 2
     assert found[3].spans is None and found[1].copies == 2
+
+
+def test_records_of_a_hot_place_are_split_before_their_contents_are_cut(spark, monkeypatch, small_partitions):  # noqa: F811
+    monkeypatch.setattr(anchors, "CROWD", 10_000)
+    texts = spark.range(2000).select("id", F.concat(F.lit("text number "), "id").alias("text"))
+    rows = texts.withColumns({"hash": F.xxhash64("text"), "size": F.octet_length("text")})
+    place = F.when(F.col("n") % 3 == 0, 7).otherwise(F.col("n") % 50 + 100)
+    own = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("n"), (F.col("id") % 2000).alias("id"))
+    closer = own.join(rows, "id").select(place.alias("place"), "id", "hash", "size", F.lit(0).alias("start"), F.lit(3).alias("end"))
+    found = anchors.contents(rows, materialize(closer, "closer"), suffixes.cut(1))
+    assert "skew=true" in final_plan(found)
+    counted = found.groupBy("crowded", F.col("place") == 7, F.col("content").cast("string")).count()
+    assert sorted(values(counted)) == [(False, False, "text", 40_000), (True, True, "text", 20_000)]
