@@ -17,6 +17,12 @@ ISO_SECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat":
 KEYS = rules.MESSAGE_KEYS
 #: A message names its event by one of these.
 IDS = ("event_id", "report_id", "accident_id")
+#: How tables of events are stored: about half the bytes of the default codec, in row groups that one task can sort in memory,
+#: without dictionaries of values that hardly repeat.
+STORED = {
+    "compression": "zstd", "parquet.block.size": str(16 << 20),
+    **{f"parquet.enable.dictionary#{c}": "false" for c in IDS},
+}
 
 
 def topic_options(feed: str, servers: str) -> dict[str, str]:
@@ -162,7 +168,7 @@ def write_version(df: DataFrame, path: str, keep: int = 2) -> None:
     spark = df.sparkSession
     known = versions(spark, path)
     number = int(known[-1].rsplit("=", 1)[1]) + 1 if known else 0
-    df.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+    df.write.mode("overwrite").options(**STORED).parquet(f"{path}/version={number:012d}")
     for old in versions(spark, path)[:-keep]:
         files, place = files_of(spark, old)
         files.delete(place, True)

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from roadlake.sources.events import files_of
+from roadlake.session import settings
+from roadlake.sources.events import STORED, files_of
 
 MONTH = "month"
 #: Month of rows without a time.
@@ -21,6 +22,10 @@ UNKNOWN = "unknown"
 MERGE_SHARE = 0.1
 #: Files of a month, on average, up to which a merge may leave its rows where they lie.
 MONTH_FILES = 8
+#: Months that a task may hold open while it writes its partitions; rows of further ones are sorted together.
+OPEN_MONTHS = 240
+#: Bytes of the source from which a core is worth a task that writes a file a month, and those that one task takes on.
+CORE_BYTES, TASK_BYTES = 8 << 20, 256 << 20
 
 
 def month_of(time: str = "event_time") -> Column:
@@ -49,7 +54,13 @@ def _keys_place(layer: str) -> str:
     return f"{path}/replaced={name.split('-')[0]}"
 
 
-def _write(df: DataFrame, path: str, kind: str, by_month: bool, replaced: DataFrame | None = None) -> None:
+def writers(spark: SparkSession, source: str) -> int:
+    """Tasks that write a whole table made from the one at ``source`` without a shuffle: a core each, more where they would write too much."""
+    size = size_of(spark, source) if files_of(spark, source)[0].exists(files_of(spark, source)[1]) else 0
+    return max(1, min(spark.sparkContext.defaultParallelism, size // CORE_BYTES), size // TASK_BYTES)
+
+
+def _write(df: DataFrame, path: str, kind: str, by_month: bool, replaced: DataFrame | None = None, tasks: int | None = None) -> None:
     spark = df.sparkSession
     known = all_layers(spark, path)
     number = int(known[-1].rsplit("=", 1)[1].split("-")[0]) + 1 if known else 0
@@ -58,9 +69,10 @@ def _write(df: DataFrame, path: str, kind: str, by_month: bool, replaced: DataFr
     files.delete(keys, True)  # an unfinished layer may have left them
     if replaced is not None:
         replaced.write.mode("overwrite").parquet(keys.toString())
-    rows = df if by_month else df.hint("rebalance", MONTH)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(MONTH).parquet(layer)
+    rows = df if by_month else df.sortWithinPartitions(MONTH).coalesce(tasks) if tasks else df.hint("rebalance", MONTH)
+    writer = rows.write.mode("overwrite").options(**STORED if tasks else {}).option("partitionOverwriteMode", "static")
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_MONTHS)} if tasks else {}):
+        writer.partitionBy(MONTH).parquet(layer)
     if kind == "whole":  # readers may still use the whole layer before
         before = max((i for i, f in enumerate(known) if f.endswith("-whole")), default=0)
         for old in known[:before]:
@@ -68,10 +80,12 @@ def _write(df: DataFrame, path: str, kind: str, by_month: bool, replaced: DataFr
                 files.delete(place, True)
 
 
-def write_whole(df: DataFrame, path: str, month: Column | None = None, by_month: bool = False) -> None:
+def write_whole(df: DataFrame, path: str, month: Column | None = None, by_month: bool = False, tasks: int | None = None) -> None:
     """Store the table; whatever it held before is superseded. Rows that come straight from files kept by month are said to lie
-    ``by_month`` and pass no shuffle: the new table has as many files as these."""
-    _write(df.withColumn(MONTH, month_of() if month is None else month), path, "whole", by_month)
+    ``by_month`` and pass no shuffle: the new table has as many files as these. With ``tasks`` so many tasks at most write the rows
+    without a shuffle, each a file a month; a task sorts one of its partitions after the other by month and keeps the files open. These are stored
+    as ``events.STORED`` says, as they hold all rows."""
+    _write(df.withColumn(MONTH, month_of() if month is None else month), path, "whole", by_month, tasks=tasks)
 
 
 def write_delta(df: DataFrame, path: str, month: Column | None = None, replaced: DataFrame | None = None, by_month: bool = False) -> None:

@@ -241,3 +241,47 @@ def test_a_run_does_only_what_a_table_is_made_from(spark, frame, tmp_path):
     assert jobs == ["gold_hotspot_analysis", "parts_reports", "silver_reports"]
     assert gold_plan.feeds_of(["features_accidents"]) == [f for f in gold_plan.FEEDS if f != "news"]
     assert gold_plan.feeds_of(["quality_metrics"]) == list(gold_plan.FEEDS)
+
+
+def codecs(path):
+    import pyarrow.parquet as pq
+
+    files = glob.glob(f"{path.removeprefix('file:')}/**/*.parquet", recursive=True)
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups}
+
+
+def test_a_run_makes_clean_tables_of_rare_copies_without_shuffling_them(spark, tmp_path):
+    root, now = str(tmp_path), F.lit(NOW).cast("timestamp")
+    stored(traffic(spark, 0, 60_000).unionByName(traffic(spark, 0, 50)), root, "traffic", "2024-01-01")
+    raw = events.read_raw(spark, root, "traffic")
+    whole = shuffle_written(spark, lambda: raw.repartition(4).write.format("noop").mode("overwrite").save())
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    written = shuffle_written(spark, lambda: gold_plan.run(spark, root, now, only=["silver_traffic", "enriched_traffic"]))
+    assert written < whole  # hashes of the keys, once for each table; a table would pass whole
+    assert (spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"), spark.conf.get("spark.sql.files.maxPartitionBytes")) == before
+    table, again = gold_plan.clean_table(spark, root, "traffic"), silver.clean_batch("traffic", raw)
+    assert table.count() == 60_000 and table.exceptAll(again).count() == 0
+    log = dict(values(spark.read.parquet(f"{root}/logs/run_log"), "job_name", "record_processed"))
+    assert log == {"silver_traffic": 60_000, "enriched_traffic": 60_000}
+    months = glob.glob(f"{layers.all_layers(spark, f'{root}/silver/traffic')[0].removeprefix('file:')}/{layers.MONTH}=*")
+    most = layers.writers(spark, f"{root}/raw/traffic")
+    assert len(months) == 36 and all(len(glob.glob(f"{m}/*.parquet")) <= most for m in months)
+    assert codecs(f"{root}/silver/traffic") == codecs(f"{root}/enriched/traffic") == {"ZSTD"}
+
+
+def test_tasks_that_write_a_whole_table(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert layers.writers(spark, path) == 1
+    monkeypatch.setattr(layers, "size_of", lambda *_: 3 * layers.CORE_BYTES)
+    os.makedirs(path)
+    assert layers.writers(spark, path) == 3
+    monkeypatch.setattr(layers, "size_of", lambda *_: 90 * layers.TASK_BYTES)
+    assert layers.writers(spark, path) == 90
+    # more months than are kept open, one of them unknown, and more partitions than tasks
+    monkeypatch.setattr(layers, "OPEN_MONTHS", 3)
+    rows = frame(SCHEMA, *((f"e{i}", day(1 + i % 28, 1 + i % 12) if i % 13 else None, i) for i in range(300)))
+    layers.write_whole(rows.repartition(7), path, tasks=2)
+    found = layers.read(spark, path, rows.schema, ["event_id"])
+    assert found.count() == 300 and found.exceptAll(rows).count() == 0
+    months = glob.glob(f"{layers.all_layers(spark, path)[0].removeprefix('file:')}/{layers.MONTH}=*")
+    assert len(months) == 13 and all(len(glob.glob(f"{m}/*.parquet")) <= 2 for m in months)
