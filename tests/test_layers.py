@@ -285,3 +285,20 @@ def test_tasks_that_write_a_whole_table(spark, frame, tmp_path, monkeypatch):
     assert found.count() == 300 and found.exceptAll(rows).count() == 0
     months = glob.glob(f"{layers.all_layers(spark, path)[0].removeprefix('file:')}/{layers.MONTH}=*")
     assert len(months) == 13 and all(len(glob.glob(f"{m}/*.parquet")) <= 2 for m in months)
+
+
+def test_the_priority_run_shuffles_the_reports_once(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(0, 60_000, 1, 4).select(
+        F.concat(F.lit("E"), "id").alias("event_id"), (F.lit("2021-01-01").cast("timestamp") + F.make_dt_interval(F.col("id") % 1095)).alias("event_time"),
+        F.concat(F.lit("R"), F.xxhash64("id") % 40_000).alias("report_id"), F.lit("a").alias("road_name"), F.lit("gubeng").alias("district"),
+        (F.col("id") % 100).cast("int").alias("severity_score"), F.rand(1).alias("confidence"), F.lit(-7.0).alias("latitude"), F.lit(112.0).alias("longitude"),
+    )
+    stored(rows, root, "reports", "2024-01-01")
+    reports = silver.clean_batch("reports", events.read_raw(spark, root, "reports"))
+    once = shuffle_written(spark, lambda: reports.write.format("noop").mode("overwrite").save())
+    written = shuffle_written(spark, lambda: gold_plan.run(spark, root, F.lit(NOW).cast("timestamp"), only=["gold_priority_score"]))
+    assert written < 1.3 * once  # to find the newest row of each report; not again to lay them out by month
+    table = gold_plan.stored(spark, root, "gold/priority_score", spark.read.parquet(events.versions(spark, f"{root}/gold/priority_score")[-1]).schema)
+    assert table.count() == reports.count() == table.select("report_id").distinct().count()
+    assert codecs(f"{root}/gold/priority_score") == {"ZSTD"}
